@@ -79,9 +79,9 @@ def _scorer(hit_schema: T.StructType, tile: int = 256):
                             heapq.heapreplace(heap, entry)
                     if len(heap) == k:
                         floor[q] = heap[0][0]
-        for (query_id, variant, _, _), heap in zip(query_rows, kept):
+        for (query_id, variant, _, k), heap in zip(query_rows, kept):
             for score, last in heap:
-                yield query_id, variant, last.id, score
+                yield query_id, variant, last.id, score, k
 
     def chunk_batches(record_batches):
         import numpy as np
@@ -106,9 +106,8 @@ def _scorer(hit_schema: T.StructType, tile: int = 256):
 
     def score_partition(query_rows):
         def run(record_batches):
-            limited = [r for r in query_rows if r[3] > 0]
-            if limited:
-                yield from hits(best(limited, chunk_batches(record_batches)))
+            if query_rows:
+                yield from hits(best(query_rows, chunk_batches(record_batches)))
 
         return run
 
@@ -119,7 +118,6 @@ def _scorer(hit_schema: T.StructType, tile: int = 256):
         rows = list(
             zip(*[queries.column(c).to_pylist() for c in ("query_id", "variant", "embedding", "k")])
         )
-        rows = [r for r in rows if r[3] > 0]
         if rows and chunks.num_rows:
             found = hits(best(rows, chunk_batches(chunks.to_batches())))
             return pa.Table.from_batches(list(found), schema=schema)
@@ -146,9 +144,19 @@ def similarity_topk(
     larger query tables are cut into slices and chunks into parts, and the tasks work
     on slice and part pairs.
     """
+    return bounded_topk(queries, chunks, max_broadcast_queries, chunks_per_part)[0]
+
+
+def bounded_topk(
+    queries: DataFrame,
+    chunks: DataFrame,
+    max_broadcast_queries: int = MAX_BROADCAST_QUERIES,
+    chunks_per_part: int = CHUNKS_PER_PART,
+) -> tuple[DataFrame, int | None]:
+    """``similarity_topk`` and an upper bound of its row count, if known."""
     vectors = chunks.select("chunk_id", "embedding").where(F.col("embedding").isNotNull())
     wanted = queries.select(*QUERY_KEYS, "embedding", F.col("k").cast("int").alias("k")).where(
-        F.col("embedding").isNotNull()
+        F.col("embedding").isNotNull() & (F.col("k") > 0)
     )
     hit_schema = T.StructType(
         [
@@ -156,6 +164,7 @@ def similarity_topk(
             wanted.schema["variant"],
             vectors.schema["chunk_id"],
             T.StructField("similarity_score", T.DoubleType()),
+            T.StructField("k", T.IntegerType()),
         ]
     )
     score_partition, score_pair = _scorer(hit_schema)
@@ -163,9 +172,13 @@ def similarity_topk(
     # at most max_broadcast_queries + 1 rows reach the driver
     rows = wanted.limit(max_broadcast_queries + 1).collect()
     if len(rows) <= max_broadcast_queries:
+        bound = sum(r["k"] for r in rows)
+        largest = max((r["k"] for r in rows), default=0)
         partial = vectors.mapInArrow(score_partition([tuple(r) for r in rows]), hit_schema)
     else:
-        slices = wanted.count() // max_broadcast_queries + 1
+        bound = None
+        asked, largest = wanted.agg(F.count("*"), F.max("k")).first()
+        slices = asked // max_broadcast_queries + 1
         parts = vectors.count() // chunks_per_part + 1
         each_slice = F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice")
         each_part = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
@@ -180,14 +193,9 @@ def similarity_topk(
             .applyInArrow(score_pair, hit_schema)
         )
     order = Window.partitionBy(*QUERY_KEYS).orderBy(F.desc("similarity_score"), "chunk_id")
-    ranked = partial.withColumn("rank", F.row_number().over(order))
-    top = max((r["k"] for r in rows if r["k"] is not None), default=0)
-    if len(rows) > max_broadcast_queries:
-        top = wanted.agg(F.max("k")).first()[0] or 0
     # the constant limit lets Spark cut each group before the shuffle
-    return ranked.where(F.col("rank") <= top).join(
-        wanted.select(*QUERY_KEYS, "k"), QUERY_KEYS
-    ).where(F.col("rank") <= F.col("k")).drop("k")
+    ranked = partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= largest)
+    return ranked.where(F.col("rank") <= F.col("k")).drop("k"), bound
 
 
 def merge_variants(hits: DataFrame) -> DataFrame:

@@ -21,10 +21,10 @@ from folioscope.operators.search import (
     best_hits,
     boost_by_query,
     boost_by_text,
+    bounded_topk,
     improvement_factor,
     merge_variants,
     result_count,
-    similarity_topk,
 )
 
 Encoder = Callable[[DataFrame], DataFrame]
@@ -61,8 +61,9 @@ def enhanced_search(
     counted = _with_count(queries, default_results)
     variants = query_variants(_asked(counted), fv.SEARCHED_VARIANTS)
     encoded = encode(variants).withColumn("k", F.col("n") * fv.OVERFETCH)
-    hits = merge_variants(similarity_topk(encoded, chunks))
-    boosted = boost_by_query(attach_chunks(hits, chunks).join(_asked(counted), "query_id"))
+    hits, bound = bounded_topk(encoded, chunks)
+    merged = merge_variants(hits)
+    boosted = boost_by_query(attach_chunks(merged, chunks, bound).join(_asked(counted), "query_id"))
     return best_hits(boosted).select(
         "query_id",
         "rank",
@@ -94,10 +95,9 @@ def retrieve_contexts(
         "n",
     )
     encoded = encode(enhanced).withColumn("k", F.col("n") * fv.OVERFETCH)
-    hits = similarity_topk(encoded, chunks).drop("variant", "rank")
-    boosted = boost_by_text(
-        attach_chunks(hits, chunks).join(counted.select("query_id", "n"), "query_id")
-    )
+    hits, bound = bounded_topk(encoded, chunks)
+    found = attach_chunks(hits.drop("variant", "rank"), chunks, bound)
+    boosted = boost_by_text(found.join(counted.select("query_id", "n"), "query_id"))
     return best_hits(boosted).select(
         "query_id",
         "rank",

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.functions.text import bind
-from folioscope.sources.pages import as_pages
+from folioscope.sources.pages import as_pages, spread
 
 LINES_PER_PAGE = 10
 
@@ -106,3 +106,78 @@ def legal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.posexplode(bind(F.split("text", "\n"), pages)).alias("page_index", "native_text"),
     )
     return as_pages(cut.withColumn("page_no", F.col("page_index") + 1))
+
+
+def spread_legal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``legal_pages`` over all cores, also from a file with a single row group."""
+    return spread(legal_pages(spark, sf_dir), "doc_id", "page_no")
+
+
+def chunk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a vector, as searchable chunks."""
+    i = F.col("vec_id")
+
+    def every(n: int, words: str) -> Column:
+        return F.when(i % n == 0, words).otherwise("")
+
+    embeddings = table(spark, sf_dir, "embeddings")
+    documents = table(spark, sf_dir, "documents")
+    return embeddings.join(documents, F.col("doc_id") == i).select(
+        i.alias("chunk_id"),
+        "embedding",
+        F.concat(
+            every(3, "Yekatom "),
+            every(4, "Ngaïssona "),
+            every(5, "war crime "),
+            every(7, "persecution Muslim "),
+            F.col("text"),
+        ).alias("content"),
+        F.when(
+            i % 10 != 0,
+            F.concat(F.lit("Text in "), "lang", F.lit(" from "), "source", every(6, " about Alkanto, a Christian")),
+        ).alias("summary"),
+        pick(SEARCH_SECTIONS, i).alias("section_type"),
+        F.concat(i, F.lit("-"), i + 1).alias("page_range"),
+    )
+
+
+def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sample queries extended by the benchmark texts."""
+    i = F.col("item_id")
+    return table(spark, sf_dir, "benchmark").select(
+        i.alias("query_id"),
+        F.concat(pick(SAMPLE_QUERIES, i), F.lit(" "), "text").alias("query"),
+        F.when(i % 5 != 0, 5 + i % 4).alias("num_results"),
+        F.when(i % 3 != 0, i).alias("conversation_id"),
+    )
+
+
+def stored_encoder(spark: SparkSession, sf_dir: str):
+    """Gives variant v of query q the stored vector (7 q + 11 v) mod 500."""
+
+    def encode(variants: DataFrame) -> DataFrame:
+        vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+        wanted = (F.col("query_id") * 7 + F.col("variant") * 11) % 500
+        return variants.withColumn("vec_id", wanted).join(vectors, "vec_id").drop("vec_id")
+
+    return encode
+
+
+def snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two versions of a chunk table: the labelled documents, then the documents with a
+    vector, each with the section its label gives."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content"))
+
+    def version(labels: DataFrame, accepted: Column) -> DataFrame:
+        return labels.join(documents, "doc_id").select(
+            F.col("doc_id").alias("chunk_id"),
+            "content",
+            F.when(accepted, "VERDICT").otherwise("HEADER").alias("section_type"),
+        )
+
+    old = version(table(spark, sf_dir, "labels"), F.col("quality") == 1)
+    new = version(
+        table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "doc_id"),
+        F.col("label") >= 5,
+    )
+    return old, new
