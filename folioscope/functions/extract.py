@@ -256,12 +256,14 @@ def bracket_paragraphs(text: Column) -> Column:
 
 def section_marker(text: Column) -> Column:
     """Label of the first section pattern, in list order, found on the page."""
-    patterns = [p for _, p in fv.SECTION_PATTERNS]
     first = F.coalesce(
         *[
             F.when(found(text, pattern, ignore_case=True), F.lit(label))
             for label, pattern in fv.SECTION_PATTERNS
         ]
     )
-    # One pass rules out the many pages without any heading.
-    return F.when(any_found(text, patterns, ignore_case=True), first)
+    # All headings are a numeral ending in I or V, a dot and a title; one search for
+    # any of them rules out the many pages without one.
+    titles = [pattern.split(r"\.\s+", 1)[1] for _, pattern in fv.SECTION_PATTERNS]
+    any_heading = r"[IV]\.\s+(?:" + "|".join(titles) + ")"
+    return F.when(found(text, any_heading, ignore_case=True), first)

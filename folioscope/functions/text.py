@@ -7,6 +7,7 @@ line feed as the only line break (``d``).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -18,6 +19,11 @@ from folioscope import fixed_values as fv
 FLAGS = "(?dU)"
 FLAGS_ANY_CASE = "(?diuU)"
 
+# the characters that str.strip() removes
+WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(
+    map(chr, [*range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
+
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, however often it is used.
@@ -33,8 +39,22 @@ def found(text: Column, pattern: str, ignore_case: bool = False) -> Column:
 
 
 def any_found(text: Column, patterns: Sequence[str], ignore_case: bool = False) -> Column:
-    """True if one of the patterns occurs; one pass over the text for all of them."""
-    return found(text, "|".join(f"(?:{p})" for p in patterns), ignore_case)
+    """True if one of the patterns occurs.
+
+    Alternatives that are plain words are looked up as substrings, which costs a
+    fraction of a pattern search; the search for the next one starts only if all
+    before failed.
+    """
+    plain, other = [], []
+    for pattern in patterns:
+        parts = [pattern] if "(" in pattern else pattern.split("|")
+        for part in parts:
+            is_plain = not ignore_case and re.search(r"[\\^$.*+?{}\[\]()]", part) is None
+            (plain if is_plain else other).append(part)
+    return reduce(
+        lambda a, b: a | b,
+        [text.contains(p) for p in plain] + [found(text, p, ignore_case) for p in other],
+    )
 
 
 def any_contained(text: Column, words: Sequence[str]) -> Column:
@@ -47,12 +67,13 @@ def contained(text: Column, words: Sequence[str]) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|(?<!\s)\s+\z", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def squeeze(text: Column) -> Column:
     """Every run of white space becomes one space; ends are stripped."""
-    return F.btrim(F.regexp_replace(text, r"(?U)\s+", " "))
+    # single spaces are left alone instead of being replaced by themselves
+    return strip(F.regexp_replace(text, r"(?U)\s{2,}|[^\S ]", " "))
 
 
 def word_count(text: Column) -> Column:
@@ -64,14 +85,8 @@ def token_estimate(text: Column) -> Column:
 
 
 def text_lines(text: Column) -> Column:
-    """Stripped, non-blank lines of a page as ``array<string>``.
-
-    White space around a line break is removed for the whole page in one pass.
-    The look-behind lets a match start only at the head of a run of blanks, which
-    keeps the pass linear on pages with long runs.
-    """
-    packed = F.regexp_replace(strip(text), r"(?U)(?<!\s)\s*\n\s*", "\n")
-    return F.filter(F.split(packed, "\n"), lambda line: line != "")
+    """Stripped, non-blank lines of a page as ``array<string>``."""
+    return F.filter(F.transform(F.split(text, "\n"), strip), lambda line: line != "")
 
 
 def without_headers(lines: Column, patterns: Sequence[str] = fv.HEADER_PATTERNS) -> Column:

@@ -10,8 +10,6 @@ summary rows, and a block at most PAGES_PER_BLOCK pages.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +39,11 @@ def earlier_blocks():
 
 
 def carry_last(pages: DataFrame, column: str, pages_per_block: int = PAGES_PER_BLOCK) -> DataFrame:
-    """Fill ``column`` with its last non-null value at or before each page."""
+    """Fill ``column`` with its last non-null value at or before each page.
+
+    The shuffle by block is written out: it sits directly on the scan, so that a plan
+    that uses the result twice runs it once.
+    """
     blocked = pages.withColumn("page_block", page_block(pages_per_block))
     summaries = blocked.groupBy(*BLOCK_KEYS).agg(
         F.max_by(column, F.when(F.col(column).isNotNull(), F.col("page_no"))).alias("_tail")
@@ -53,7 +55,10 @@ def carry_last(pages: DataFrame, column: str, pages_per_block: int = PAGES_PER_B
         F.last(column, ignorenulls=True).over(within_block()), F.col("_carried")
     )
     return (
-        blocked.join(carried, BLOCK_KEYS, "left").withColumn(column, filled).drop("_carried")
+        blocked.repartition(*BLOCK_KEYS)
+        .join(carried, BLOCK_KEYS, "left")
+        .withColumn(column, filled)
+        .drop("_carried")
     )
 
 
@@ -86,6 +91,3 @@ def running_total(
         .drop("_before", "page_block")
     )
 
-
-def columns_without(df: DataFrame, dropped: Sequence[str]) -> list[str]:
-    return [c for c in df.columns if c not in dropped]

@@ -26,8 +26,13 @@ def semantic_chunks(extracted: DataFrame, pages_per_block: int = PAGES_PER_BLOCK
     One number runs through a document: by page, paragraphs before footnotes.
     ``extracted`` is the result of ``extract_pages``, best read from a table.
     """
-    counted = extracted.where(F.col("n_paragraphs") > 0).select(
-        "*", (F.col("n_paragraphs") + F.col("n_footnotes")).alias("n_chunks")
+    # No filter on the counts: it would be pushed below the extraction and run it again.
+    has_paragraphs = F.col("n_paragraphs") > 0
+    counted = extracted.select(
+        "*",
+        F.when(has_paragraphs, F.col("n_paragraphs") + F.col("n_footnotes"))
+        .otherwise(0)
+        .alias("n_chunks"),
     )
     numbered = running_total(counted, counted, "n_chunks", "chunks_before", pages_per_block)
     method = F.lit(None).cast("string")
@@ -69,7 +74,9 @@ def semantic_chunks(extracted: DataFrame, pages_per_block: int = PAGES_PER_BLOCK
         "doc_id",
         "page_no",
         "chunks_before",
-        F.posexplode(F.concat(paragraphs, footnotes)).alias("position", "c"),
+        F.posexplode(F.when(has_paragraphs, F.concat(paragraphs, footnotes))).alias(
+            "position", "c"
+        ),
     ).select(
         "doc_id",
         F.concat(prefix, F.col("chunks_before") + F.col("position") + 1).alias("chunk_id"),
@@ -116,7 +123,7 @@ def main_text_chunks(
         "tokens",
     )
     numbers = assign_chunks(sectioned, pages, budget, pages_per_block)
-    text = bracketed.where(F.size("paragraphs") > 0).select("doc_id", "page_no", "paragraphs")
+    text = bracketed.select("doc_id", "page_no", "paragraphs")
     z = F.col("z")
     members = (
         text.join(numbers, ["doc_id", "page_no"])

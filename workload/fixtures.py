@@ -84,7 +84,8 @@ def _marked(doc_id: Column, i: Column, line: Column) -> Column:
 
 def legal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` as marked pages.  A page is a slice of its document's lines, so
-    the pages come out of the scan without a shuffle."""
+    the pages come out of the scan without a shuffle; a file with a single row group
+    is spread over the cores first."""
 
     def pages(lines: Column) -> Column:
         return F.transform(
@@ -100,19 +101,14 @@ def legal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             ),
         )
 
-    documents = table(spark, sf_dir, "documents")
-    cut = documents.select(
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = spread(documents, "doc_id").select(
         "doc_id",
         F.posexplode(bind(F.split("text", "\n"), pages)).alias("page_index", "native_text"),
     )
     return as_pages(cut.withColumn("page_no", F.col("page_index") + 1))
 
 
-def spread_legal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``legal_pages`` over all cores, also from a file with a single row group."""
-    return spread(legal_pages(spark, sf_dir), "doc_id", "page_no")
-
-
 def chunk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a vector, as searchable chunks."""
     i = F.col("vec_id")

@@ -22,12 +22,12 @@ from folioscope.sources.tables import table_counts
 from folioscope.streaming.changes import snapshot_diff
 from workload.fixtures import (
     chunk_search,
+    legal_pages,
     search_queries,
     snapshots,
     stored_encoder,
     table,
 )
-from workload.fixtures import spread_legal_pages as legal_pages
 
 SKIP = 1
 BUDGET = 200
