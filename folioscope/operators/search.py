@@ -85,14 +85,15 @@ def _scorer(hit_schema: T.StructType, tile: int = 256):
 
     def chunk_batches(record_batches):
         import numpy as np
+        import pyarrow.compute as pc
 
         for batch in record_batches:
             if batch.num_rows == 0:
                 continue
             vectors = batch.column("embedding")
-            flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            if len(flat) % batch.num_rows:
+            if len(pc.unique(pc.list_value_length(vectors))) != 1:
                 raise ValueError("chunk vectors differ in length")
+            flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             yield batch.column("chunk_id").to_pylist(), flat.reshape(batch.num_rows, -1)
 
     def hits(rows):
