@@ -18,6 +18,7 @@ from folioscope.functions.text import (
     first_of_each,
     found,
     squeeze,
+    squeezed_word_count,
     strip,
     text_lines,
     token_estimate,
@@ -251,7 +252,10 @@ def bracket_paragraphs(text: Column) -> Column:
     clean = F.transform(
         pieces, lambda p: F.struct(p["number"].alias("number"), squeeze(p["raw"]).alias("content"))
     )
-    return F.transform(clean, lambda p: p.withField("token_count", token_estimate(p["content"])))
+    return F.transform(
+        clean,
+        lambda p: p.withField("token_count", token_estimate(p["content"], squeezed_word_count)),
+    )
 
 
 def section_marker(text: Column) -> Column:

@@ -80,8 +80,13 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"(?U)\S+"))
 
 
-def token_estimate(text: Column) -> Column:
-    return F.floor(word_count(text) * F.lit(fv.TOKENS_PER_WORD)).cast("int")
+def squeezed_word_count(text: Column) -> Column:
+    """Words of a non-empty text in which single spaces are the only white space."""
+    return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1
+
+
+def token_estimate(text: Column, words: Callable[[Column], Column] = word_count) -> Column:
+    return F.floor(words(text) * F.lit(fv.TOKENS_PER_WORD)).cast("int")
 
 
 def text_lines(text: Column) -> Column:

@@ -19,7 +19,18 @@ BLOCK_KEYS = ["doc_id", "page_block"]
 
 
 def page_block(pages_per_block: int = PAGES_PER_BLOCK) -> Column:
-    return F.floor(F.col("page_no") / F.lit(pages_per_block)).cast("int")
+    block = F.floor(F.col("page_no") / F.lit(pages_per_block)).cast("int")
+    return F.coalesce(block, F.lit(0))
+
+
+def keyed(pages: DataFrame) -> DataFrame:
+    """Pages with a full key.
+
+    Joins would add these filters to one branch of a plan and not to another; with
+    them everywhere, and ``page_block`` never null, equal branches stay equal and
+    Spark runs their common shuffle once.
+    """
+    return pages.where(F.col("doc_id").isNotNull() & F.col("page_no").isNotNull())
 
 
 def within_block():

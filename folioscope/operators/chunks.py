@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folioscope import fixed_values as fv
 from folioscope.functions.text import token_estimate
-from folioscope.operators.blocks import PAGES_PER_BLOCK, carry_last, running_total
+from folioscope.operators.blocks import PAGES_PER_BLOCK, carry_last, keyed, running_total
 from folioscope.operators.conservative import bracketed_pages
 from folioscope.operators.extraction import (
     FOOTNOTE_METHOD,
@@ -108,7 +108,7 @@ def main_text_chunks(
     counts; the text is then joined by page and grouped by chunk, so it is
     shuffled twice whatever the shape of the documents.
     """
-    bracketed = bracketed_pages(pages, max_pages)
+    bracketed = bracketed_pages(keyed(pages), max_pages)
     counts = bracketed.select(
         "doc_id",
         "page_no",

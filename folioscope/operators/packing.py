@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope import fixed_values as fv
-from folioscope.operators.blocks import PAGES_PER_BLOCK
+from folioscope.operators.blocks import BLOCK_KEYS, PAGES_PER_BLOCK, page_block
 
 RUN_KEYS = ["doc_id", "section_type"]
 RUN_BLOCK_KEYS = [*RUN_KEYS, "page_block"]
@@ -164,9 +164,15 @@ def assign_chunks(
     kernel = _kernels(budget)
     runs = block_runs(sectioned)
 
-    long_documents = pages.where(F.col("page_no") >= pages_per_block).select("doc_id").distinct()
+    # The keys are those by which the runs already lie, so only this side moves.
+    long_documents = (
+        pages.where(F.col("page_no") >= pages_per_block)
+        .groupBy("doc_id")
+        .agg(F.max(page_block(pages_per_block)).alias("last_block"))
+        .select("doc_id", F.explode(F.sequence(F.lit(0), "last_block")).alias("page_block"))
+    )
     chains = (
-        runs.join(long_documents, "doc_id", "left_semi")
+        runs.join(long_documents, BLOCK_KEYS, "left_semi")
         .select(*RUN_BLOCK_KEYS, kernel.steps("tokens").alias("steps"))
         .groupBy(*RUN_KEYS)
         .agg(F.array_sort(F.collect_list(F.struct("page_block", "steps"))).alias("blocks"))
