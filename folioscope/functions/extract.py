@@ -33,11 +33,11 @@ PARAGRAPH_START = r"^\d{1,4}\."
 
 
 def is_footnote(text: Column) -> Column:
-    """Long enough, not a date, and carries a citation."""
+    """Long enough, carries a citation, and no date."""
     return (
         (F.length(text) >= 10)
-        & ~any_found(text, fv.DATE_PATTERNS, ignore_case=True)
         & any_found(text, fv.CITATION_PATTERNS)
+        & ~any_found(text, fv.DATE_PATTERNS, ignore_case=True)
     )
 
 

@@ -7,7 +7,6 @@ line feed as the only line break (``d``).
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -34,27 +33,50 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def found(text: Column, pattern: str, ignore_case: bool = False) -> Column:
-    return text.rlike((FLAGS_ANY_CASE if ignore_case else FLAGS) + pattern)
+def _literal_head(pattern: str) -> tuple[str, bool]:
+    """The plain text every match starts with, and whether it is the whole pattern."""
+    head, i = "", 0
+    while i < len(pattern):
+        char, step = pattern[i], 1
+        if char == "\\" and i + 1 < len(pattern) and not pattern[i + 1].isalnum():
+            char, step = pattern[i + 1], 2
+        elif char in "\\^$.*+?{}[]()|":
+            break
+        if pattern[i + step : i + step + 1] in ("?", "*", "{"):
+            break
+        head, i = head + char, i + step
+    return head, i == len(pattern)
 
 
-def any_found(text: Column, patterns: Sequence[str], ignore_case: bool = False) -> Column:
-    """True if one of the patterns occurs.
+def found(text: Column, pattern: str, ignore_case: bool = False) -> Column:
+    """True if the pattern occurs.
 
-    Alternatives that are plain words are looked up as substrings, which costs a
-    fraction of a pattern search; the search for the next one starts only if all
-    before failed.
+    A pattern that starts with plain text is looked for only where that text is: the
+    byte search costs a fraction of decoding the string for the pattern matcher.
     """
-    plain, other = [], []
-    for pattern in patterns:
-        parts = [pattern] if "(" in pattern else pattern.split("|")
-        for part in parts:
-            is_plain = not ignore_case and re.search(r"[\\^$.*+?{}\[\]()]", part) is None
-            (plain if is_plain else other).append(part)
-    return reduce(
-        lambda a, b: a | b,
-        [text.contains(p) for p in plain] + [found(text, p, ignore_case) for p in other],
-    )
+    search = text.rlike((FLAGS_ANY_CASE if ignore_case else FLAGS) + pattern)
+    if ignore_case or "|" in pattern:
+        return search
+    if pattern.startswith("^"):
+        head, whole = _literal_head(pattern[1:])
+        guard = text.startswith(head)
+    else:
+        head, whole = _literal_head(pattern)
+        guard = text.contains(head)
+    if not head:
+        return search
+    return guard if whole else guard & search
+
+
+def any_found(text: Column, patterns: Sequence[str], ignore_case: bool = False) -> Column:
+    """True if one of the patterns occurs; the cheap ones are tried first."""
+    parts = [
+        part
+        for pattern in patterns
+        for part in ([pattern] if "(" in pattern or ignore_case else pattern.split("|"))
+    ]
+    parts.sort(key=lambda part: not _literal_head(part.removeprefix("^"))[0])
+    return reduce(lambda a, b: a | b, [found(text, p, ignore_case) for p in parts])
 
 
 def any_contained(text: Column, words: Sequence[str]) -> Column:
