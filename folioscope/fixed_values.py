@@ -1,7 +1,7 @@
 """Patterns, word lists, weights and texts.
 
-Everything in this file is data that decides results.  Operators take these as
-defaults and accept replacements as arguments.
+Everything in this file is data that decides results.  Budgets, limits, page ranges
+and the header and date patterns are defaults of keyword arguments.
 """
 
 # --- fixed values: page furniture and paragraph / footnote shapes -----------

@@ -6,6 +6,8 @@ row, as an array column: no explode-and-regroup, hence no shuffle of page text.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,12 +34,12 @@ FOOTNOTE_START = r"\d{1,3}[^\S\n]"
 PARAGRAPH_START = r"^\d{1,4}\."
 
 
-def is_footnote(text: Column) -> Column:
+def is_footnote(text: Column, date_patterns: Sequence[str] = fv.DATE_PATTERNS) -> Column:
     """Long enough, carries a citation, and no date."""
     return (
         (F.length(text) >= 10)
         & any_found(text, fv.CITATION_PATTERNS)
-        & ~any_found(text, fv.DATE_PATTERNS, ignore_case=True)
+        & ~any_found(text, date_patterns, ignore_case=True)
     )
 
 
@@ -47,13 +49,17 @@ def hybrid_confidence(text: Column) -> Column:
     return F.least(score, F.lit(1.0))
 
 
-def page_footnotes(text: Column) -> Column:
+def page_footnotes(
+    text: Column,
+    header_patterns: Sequence[str] = fv.HEADER_PATTERNS,
+    date_patterns: Sequence[str] = fv.DATE_PATTERNS,
+) -> Column:
     """Multi-line footnotes: ``array<struct<number, content, confidence>>``.
 
     The page is cut in front of every numbered line.  A block counts if its first
     line is a valid footnote; longer continuation lines are appended.
     """
-    cleaned = F.array_join(without_headers(text_lines(text)), "\n")
+    cleaned = F.array_join(without_headers(text_lines(text), header_patterns), "\n")
     blocks = F.filter(
         F.split(cleaned, rf"(?U)\n(?={FOOTNOTE_START})"),
         lambda b: found(b, "^" + FOOTNOTE_START),
@@ -69,7 +75,7 @@ def page_footnotes(text: Column) -> Column:
         ),
     )
     return F.transform(
-        F.filter(parts, lambda p: is_footnote(p["head"])),
+        F.filter(parts, lambda p: is_footnote(p["head"], date_patterns)),
         lambda p: F.struct(
             p["number"].alias("number"),
             F.array_join(F.concat(F.array(p["head"]), p["tail"]), " ").alias("content"),
@@ -89,7 +95,9 @@ def footnote_references(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"(?U)(\d{1,3})"), F.lit(1))
 
 
-def page_paragraphs(text: Column) -> Column:
+def page_paragraphs(
+    text: Column, header_patterns: Sequence[str] = fv.HEADER_PATTERNS
+) -> Column:
     """Dotted paragraphs, the first valid one per number, in page order:
     ``array<struct<number, content, start_line, end_line, token_count,
     footnote_references>>``."""
@@ -134,7 +142,7 @@ def page_paragraphs(text: Column) -> Column:
         )
 
     valid = F.filter(
-        bind(without_headers(text_lines(text)), with_content),
+        bind(without_headers(text_lines(text), header_patterns), with_content),
         lambda b: is_paragraph(b["content"]),
     )
     in_page_order = F.array_sort(
@@ -234,14 +242,14 @@ def conservative_page_footnotes(
     )
 
 
-def bracket_paragraphs(text: Column) -> Column:
-    """``[n] text`` paragraphs up to the next bracket of any kind, longer than 50
-    characters: ``array<struct<number, content, token_count>>``."""
+def _bracketed(text: Column) -> Column:
+    """``[n] text`` up to the next bracket of any kind, longer than 50 characters."""
     pieces = F.filter(
+        F.split(F.concat(F.lit(" "), text), r"\["), lambda x: found(x, r"^\d+\]")
+    )
+    return F.filter(
         F.transform(
-            F.filter(
-                F.split(F.concat(F.lit(" "), text), r"\["), lambda x: found(x, r"^\d+\]")
-            ),
+            pieces,
             lambda x: F.struct(
                 F.regexp_extract(x, r"(?U)^(\d+)", 1).alias("number"),
                 strip(F.regexp_replace(x, r"(?U)^\d+\]", "")).alias("raw"),
@@ -249,8 +257,13 @@ def bracket_paragraphs(text: Column) -> Column:
         ),
         lambda p: F.length(p["raw"]) > 50,
     )
+
+
+def bracket_paragraphs(text: Column) -> Column:
+    """Bracketed paragraphs: ``array<struct<number, content, token_count>>``."""
     clean = F.transform(
-        pieces, lambda p: F.struct(p["number"].alias("number"), squeeze(p["raw"]).alias("content"))
+        _bracketed(text),
+        lambda p: F.struct(p["number"].alias("number"), squeeze(p["raw"]).alias("content")),
     )
     return F.transform(
         clean,
@@ -258,6 +271,11 @@ def bracket_paragraphs(text: Column) -> Column:
     )
 
 
+def bracket_tokens(text: Column) -> Column:
+    """Token counts of the bracketed paragraphs alone, without cleaning their text."""
+    return F.transform(_bracketed(text), lambda p: token_estimate(p["raw"]))
+
+
 def section_marker(text: Column) -> Column:
     """Label of the first section pattern, in list order, found on the page."""
     first = F.coalesce(

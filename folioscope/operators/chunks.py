@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope import fixed_values as fv
+from folioscope.functions.extract import bracket_paragraphs, bracket_tokens, section_marker
 from folioscope.functions.text import token_estimate
 from folioscope.operators.blocks import PAGES_PER_BLOCK, carry_last, keyed, running_total
-from folioscope.operators.conservative import bracketed_pages
+from folioscope.operators.conservative import up_to_page
 from folioscope.operators.extraction import (
     FOOTNOTE_METHOD,
     PARAGRAPH_CONFIDENCE,
@@ -108,12 +109,13 @@ def main_text_chunks(
     counts; the text is then joined by page and grouped by chunk, so it is
     shuffled twice whatever the shape of the documents.
     """
-    bracketed = bracketed_pages(keyed(pages), max_pages)
-    counts = bracketed.select(
+    full = keyed(pages)
+    native = F.col("native_text")
+    counts = full.select(
         "doc_id",
         "page_no",
-        "marker",
-        F.col("paragraphs")["token_count"].alias("tokens"),
+        section_marker(native).alias("marker"),
+        up_to_page(bracket_tokens(native), max_pages).alias("tokens"),
     )
     sectioned = carry_last(counts, "marker", pages_per_block).select(
         "doc_id",
@@ -123,7 +125,9 @@ def main_text_chunks(
         "tokens",
     )
     numbers = assign_chunks(sectioned, pages, budget, pages_per_block)
-    text = bracketed.select("doc_id", "page_no", "paragraphs")
+    text = full.select(
+        "doc_id", "page_no", up_to_page(bracket_paragraphs(native), max_pages).alias("paragraphs")
+    )
     z = F.col("z")
     members = (
         text.join(numbers, ["doc_id", "page_no"])

@@ -3,7 +3,7 @@ paragraphs."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioscope import fixed_values as fv
@@ -49,20 +49,11 @@ def conservative_footnotes(
     )
 
 
-def bracketed_pages(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
-    """Pages with their section heading, if any, and their bracketed paragraphs.
-
-    The page limit holds for paragraphs only; later pages still count for sections.
-    """
-    paragraphs = bracket_paragraphs(F.col("native_text"))
-    if max_pages is not None:
-        paragraphs = F.when(F.col("page_no") <= max_pages, paragraphs)
-    return pages.select(
-        "doc_id",
-        "page_no",
-        section_marker(F.col("native_text")).alias("marker"),
-        paragraphs.alias("paragraphs"),
-    )
+def up_to_page(paragraphs: Column, max_pages: int | None) -> Column:
+    """The page limit holds for paragraphs only; later pages still count for sections."""
+    if max_pages is None:
+        return paragraphs
+    return F.when(F.col("page_no") <= max_pages, paragraphs)
 
 
 def clean_paragraphs(
@@ -70,7 +61,14 @@ def clean_paragraphs(
 ) -> DataFrame:
     """Bracketed paragraphs with the section of their page."""
     p = F.col("p")
-    sectioned = carry_last(bracketed_pages(pages, max_pages), "marker", pages_per_block)
+    native = F.col("native_text")
+    bracketed = pages.select(
+        "doc_id",
+        "page_no",
+        section_marker(native).alias("marker"),
+        up_to_page(bracket_paragraphs(native), max_pages).alias("paragraphs"),
+    )
+    sectioned = carry_last(bracketed, "marker", pages_per_block)
     return sectioned.select(
         "doc_id",
         F.col("page_no").alias("page"),

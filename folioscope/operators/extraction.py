@@ -3,6 +3,8 @@ recognised text, page by page."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,11 @@ PARAGRAPH_CONFIDENCE = 0.8
 
 
 def extract_pages(
-    pages: DataFrame, skip: int = fv.SKIP_FIRST_PAGES, max_pages: int | None = None
+    pages: DataFrame,
+    skip: int = fv.SKIP_FIRST_PAGES,
+    max_pages: int | None = None,
+    header_patterns: Sequence[str] = fv.HEADER_PATTERNS,
+    date_patterns: Sequence[str] = fv.DATE_PATTERNS,
 ) -> DataFrame:
     """One row per page with its paragraphs and footnotes as arrays.
 
@@ -25,12 +31,14 @@ def extract_pages(
     results below are wanted; the counts beside the arrays let reports read
     two integers per page.
     """
+    paragraphs = page_paragraphs(F.col("ocr_text"), header_patterns)
+    footnotes = page_footnotes(F.col("native_text"), header_patterns, date_patterns)
     arrays = page_slice(pages, skip, max_pages).select(
         "doc_id",
         "page_no",
         (F.col("native_text").isNotNull()).alias("success"),
-        F.coalesce(page_paragraphs(F.col("ocr_text")), F.array()).alias("paragraphs"),
-        F.coalesce(page_footnotes(F.col("native_text")), F.array()).alias("footnotes"),
+        F.coalesce(paragraphs, F.array()).alias("paragraphs"),
+        F.coalesce(footnotes, F.array()).alias("footnotes"),
     )
     return arrays.select(
         "*",

@@ -28,6 +28,12 @@ def save_table(
     writer.saveAsTable(name)
 
 
+def load_table(spark: SparkSession, path: str, name: str, fmt: str = "parquet") -> DataFrame:
+    """Turn a Parquet folder into a managed table and return the table."""
+    save_table(spark.read.parquet(path), name, fmt)
+    return spark.table(name)
+
+
 def save_extraction(paragraphs: DataFrame, footnotes: DataFrame, prefix: str, fmt: str = "parquet"):
     """Writes ``<prefix>_paragraphs`` and ``<prefix>_footnotes``."""
     save_table(paragraphs, f"{prefix}_paragraphs", fmt)

@@ -40,6 +40,22 @@ def test_read_pages_and_slices(spark, pages, scratch):
     assert "GreaterThan(page_no,2)" in plan and "LessThanOrEqual(page_no,5)" in plan
 
 
+def test_load_table(spark, pages, scratch):
+    chunks.flatten_chunks(chunks.main_text_chunks(pages, 60)).write.parquet(f"{scratch}/c")
+    loaded = tables.load_table(spark, f"{scratch}/c", "loaded_chunks")
+    sample = analytics.sample_rows(loaded, ["chunk_id"], ["chunk_id"], 2).collect()
+    assert [r[0] for r in sample] == ["main_chunk_0001", "main_chunk_0002"]
+
+
+def test_other_patterns(make_pages):
+    page = make_pages([(1, 1, "page 9 of 10\n5 Rule 7 of the year 1999\npage 10 of 10")])
+    none = extraction.hybrid_footnotes(extraction.extract_pages(page, 0))
+    assert none.count() == 0
+    some = extraction.extract_pages(page, 0, header_patterns=[r"^page \d+"], date_patterns=[r"\bnever\b"])
+    (got,) = extraction.hybrid_footnotes(some).collect()
+    assert (got["footnote_number"], got["content"]) == ("5", "Rule 7 of the year 1999")
+
+
 def test_process_hybrid_saves_tables(spark, pages):
     result = documents.process_hybrid(pages, table_prefix="hyb")
     assert spark.table("hyb_paragraphs").count() == spark.table("hyb_footnotes").count() == 4
