@@ -79,26 +79,24 @@ def token_histogram(chunks: DataFrame) -> DataFrame:
     return chunks.agg(*[F.count_if(band(lo, hi)).alias(name) for name, lo, hi in TOKEN_BANDS])
 
 
-def conservative_statistics(
-    chunks: DataFrame, paragraphs: DataFrame, footnotes: DataFrame
-) -> DataFrame:
+def conservative_statistics(chunks: DataFrame, footnotes: DataFrame) -> DataFrame:
     """Number of chunks, paragraphs and footnotes, and mean footnote confidence
-    (0 without footnotes), in one row."""
-    # one row each, tagged with the same constant
+    (0 without footnotes), in one row.
+
+    ``chunks`` is the flat chunk table; each paragraph is in one chunk, so its counts
+    give the number of paragraphs without extracting them again.
+    """
     one = F.lit(1).alias("_row")
-    return (
-        chunks.agg(F.count("*").alias("main_text_chunks"))
-        .select(one, "*")
-        .join(paragraphs.agg(F.count("*").alias("clean_paragraphs")).select(one, "*"), "_row")
-        .join(
-            footnotes.agg(
-                F.count("*").alias("conservative_footnotes"),
-                F.coalesce(F.avg("confidence"), F.lit(0.0)).alias("avg_confidence"),
-            ).select(one, "*"),
-            "_row",
-        )
-        .drop("_row")
+    chunk_row = chunks.agg(
+        F.count("*").alias("main_text_chunks"),
+        F.coalesce(F.sum("paragraph_count"), F.lit(0)).alias("clean_paragraphs"),
     )
+    footnote_row = footnotes.agg(
+        F.count("*").alias("conservative_footnotes"),
+        F.coalesce(F.avg("confidence"), F.lit(0.0)).alias("avg_confidence"),
+    )
+    # one row each, tagged with the same constant
+    return chunk_row.select(one, "*").join(footnote_row.select(one, "*"), "_row").drop("_row")
 
 
 def sample_rows(table: DataFrame, columns: list[str], order: list[str], limit: int = 10) -> DataFrame:

@@ -28,17 +28,17 @@ def process_conservative(
 
     With ``table_name`` the flat chunk table is written first.
     """
-    chunks = counted = main_text_chunks(pages, budget, max_pages)
+    chunks = main_text_chunks(pages, budget, max_pages)
+    flat = flatten_chunks(chunks)
     if table_name is not None:
-        save_table(flatten_chunks(chunks), table_name)
-        counted = pages.sparkSession.table(table_name)
-    paragraphs = clean_paragraphs(pages, max_pages)
+        save_table(flat, table_name)
+        flat = pages.sparkSession.table(table_name)
     footnotes = conservative_footnotes(pages)
     return {
         "chunks": chunks,
         "footnotes": footnotes,
-        "paragraphs": paragraphs,
-        "statistics": conservative_statistics(counted, paragraphs, footnotes),
+        "paragraphs": clean_paragraphs(pages, max_pages),
+        "statistics": conservative_statistics(flat, footnotes),
     }
 
 
