@@ -118,10 +118,12 @@ def search_text(content: Column, summary: Column) -> Column:
     return F.lower(F.concat(content, F.lit(" "), F.coalesce(summary, F.lit(""))))
 
 
-def data_driven_relevance(query: Column) -> Column:
-    """Similarity times section, person, concept and focus boosts."""
-    entities, focus = query_entities(query), query_focus(query)
-    text = search_text(F.col("content"), F.col("summary"))
+def data_driven_relevance(entities: Column, focus: Column, text: Column) -> Column:
+    """Similarity times section, person, concept and focus boosts.
+
+    ``entities`` and ``focus`` describe the query, ``text`` is the search text of the
+    chunk.  Pass columns, not expressions: each is used once per entity.
+    """
     section = F.col("section_type")
     score = (
         F.col("similarity_score")
@@ -135,10 +137,9 @@ def data_driven_relevance(query: Column) -> Column:
     return score
 
 
-def rag_relevance() -> Column:
+def rag_relevance(text: Column) -> Column:
     """Similarity times section weight times one factor for persons and terms found in
-    the text.  The query plays no part."""
-    text = search_text(F.col("content"), F.col("summary"))
+    the search text of the chunk.  The query plays no part."""
     boost = F.lit(1.0)
     for words, unit in ((fv.PERSONS, fv.RAG_PERSON_BOOST), (fv.RAG_TERMS, fv.RAG_TERM_BOOST)):
         for word in words:

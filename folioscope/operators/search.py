@@ -7,7 +7,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioscope.functions.queries import data_driven_relevance, rag_relevance, section_weight
+from folioscope.functions.queries import (
+    data_driven_relevance,
+    query_entities,
+    query_focus,
+    rag_relevance,
+    search_text,
+    section_weight,
+)
 
 # A query matrix up to this many rows is sent to every executor.
 MAX_BROADCAST_QUERIES = 10_000
@@ -218,15 +225,30 @@ def attach_chunks(hits: DataFrame, chunks: DataFrame, hit_limit: int | None = No
     return joined.withColumn("section_weight", section_weight(F.col("section_type")))
 
 
+def with_query_insights(queries: DataFrame) -> DataFrame:
+    """Adds the entities and the focus of ``query``, once per query rather than per hit."""
+    return queries.select(
+        "*",
+        query_entities(F.col("query")).alias("entities"),
+        query_focus(F.col("query")).alias("focus"),
+    )
+
+
+def _with_search_text(hits: DataFrame) -> DataFrame:
+    return hits.withColumn("_text", search_text(F.col("content"), F.col("summary")))
+
+
 def boost_by_query(hits: DataFrame) -> DataFrame:
     """Adds ``relevance_score`` from section, person, concept and focus boosts.
-    Needs the column ``query`` beside the chunk columns."""
-    return hits.withColumn("relevance_score", data_driven_relevance(F.col("query")))
+    Needs ``entities`` and ``focus`` beside the chunk columns."""
+    score = data_driven_relevance(F.col("entities"), F.col("focus"), F.col("_text"))
+    return _with_search_text(hits).withColumn("relevance_score", score).drop("_text")
 
 
 def boost_by_text(hits: DataFrame) -> DataFrame:
     """Adds ``relevance_score`` from section weight, persons and terms in the text."""
-    return hits.withColumn("relevance_score", rag_relevance())
+    score = rag_relevance(F.col("_text"))
+    return _with_search_text(hits).withColumn("relevance_score", score).drop("_text")
 
 
 def best_hits(hits: DataFrame, n: str = "n") -> DataFrame:

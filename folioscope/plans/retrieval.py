@@ -25,6 +25,7 @@ from folioscope.operators.search import (
     improvement_factor,
     merge_variants,
     result_count,
+    with_query_insights,
 )
 
 Encoder = Callable[[DataFrame], DataFrame]
@@ -63,7 +64,8 @@ def enhanced_search(
     encoded = encode(variants).withColumn("k", F.col("n") * fv.OVERFETCH)
     hits, bound = bounded_topk(encoded, chunks)
     merged = merge_variants(hits)
-    boosted = boost_by_query(attach_chunks(merged, chunks, bound).join(_asked(counted), "query_id"))
+    asked = with_query_insights(_asked(counted))
+    boosted = boost_by_query(attach_chunks(merged, chunks, bound).join(asked, "query_id"))
     return best_hits(boosted).select(
         "query_id",
         "rank",

@@ -182,7 +182,9 @@ def test_boosts_follow_the_rules(spark):
     )
     got = {
         r["chunk_id"]: r["relevance_score"]
-        for r in search.boost_by_query(search.attach_chunks(hits, chunks)).collect()
+        for r in search.boost_by_query(
+            search.attach_chunks(search.with_query_insights(hits), chunks)
+        ).collect()
     }
     assert got[0] == pytest.approx(0.5 * 1.5 * 1.25)
     assert got[1] == pytest.approx(0.5 * 1.4 * 1.15 * (1 + 0.4 * 0.3))
