@@ -14,6 +14,7 @@ from folioscope.functions.extract import (
 )
 from folioscope.operators.blocks import PAGES_PER_BLOCK, carry_last
 
+# fixed value written into the result table
 FOOTNOTE_METHOD = "conservative_single_line"
 
 

@@ -12,6 +12,7 @@ from folioscope import fixed_values as fv
 from folioscope.functions.extract import page_footnotes, page_paragraphs
 from folioscope.sources.pages import page_slice
 
+# fixed values written into the result tables
 PARAGRAPH_METHOD = "hybrid_ocr"
 FOOTNOTE_METHOD = "pymupdf"
 PARAGRAPH_SECTION = "main_text"
