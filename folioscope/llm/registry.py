@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioscope.llm import quality
+from folioscope.llm import minhash, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +22,12 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+@query
+def op1_near_duplicates(spark, sf):
+    """Classes of documents that share 80 % of their two-word shingles."""
+    return minhash.near_duplicates(documents(spark, sf), shingle=2, percent=80)
+
+
 @query
 def op10_quality_rules(spark, sf):
     """Base counts and verdict of every document."""
