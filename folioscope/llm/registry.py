@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from folioscope.llm import minhash, quality
+from folioscope.llm import minhash, quality, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +30,18 @@ def op1_near_duplicates(spark, sf):
     return minhash.near_duplicates(documents(spark, sf), shingle=2, percent=80)
 
 
+@query
+def op3_token_counts(spark, sf):
+    """Bytes and byte-level tokens of every document."""
+    counted = tokens.token_counts(documents(spark, sf), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        "n_tokens",
+        (F.col("n_tokens") > 512).alias("over_limit"),
+    )
+
+
 @query
 def op10_quality_rules(spark, sf):
     """Base counts and verdict of every document."""
