@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import minhash, quality, tokens
+from folioscope.llm import decontaminate, minhash, packing, quality, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,6 +42,19 @@ def op3_token_counts(spark, sf):
     )
 
 
+@query
+def op4_decontamination(spark, sf):
+    """Overlaps of documents with benchmark items."""
+    return decontaminate.overlaps(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
+@query
+def op5_packing(spark, sf):
+    """Pieces of all documents in training sequences."""
+    pieces = packing.pack_examples(documents(spark, sf), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return packing.with_digest(pieces).drop("ids")
+
+
 @query
 def op10_quality_rules(spark, sf):
     """Base counts and verdict of every document."""

@@ -18,6 +18,9 @@ BLOCK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Letters and digits only; every byte of a character beyond ASCII counts as a letter.
+ALNUM = np.zeros(256, bool)
+ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _rng = np.random.Generator(np.random.PCG64(20240229))
@@ -88,9 +91,10 @@ class Words:
         return np.diff(self.first)
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = True, hashed: bool = True) -> Words:
+def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = True, alphabet: np.ndarray = ~_SPACE) -> Words:
+    """Runs of bytes of ``alphabet`` within each row, by default whatever isn't white space."""
     n = len(data)
-    solid = ~_SPACE[data]
+    solid = alphabet[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     gap = np.ones(n + 1, bool)
@@ -102,9 +106,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = True, hashed:
     ends = np.flatnonzero(solid & (gap[1:] | edge[1:])) + 1
     first = np.searchsorted(starts, offsets)
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    hashes = np.zeros(0, np.uint64)
-    if hashed:
-        hashes = run_hashes((_LOWER if lower else _RAW)[data], starts, ends)
+    hashes = run_hashes((_LOWER if lower else _RAW)[data], starts, ends)
     return Words(hashes, starts, ends, row, first)
 
 
