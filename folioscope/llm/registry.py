@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import decontaminate, minhash, packing, quality, tokens
+from folioscope.llm import decontaminate, lines, minhash, packing, quality, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -55,6 +55,13 @@ def op5_packing(spark, sf):
     return packing.with_digest(pieces).drop("ids")
 
 
+@query
+def op8_line_dedup(spark, sf):
+    """Every document without its repeated lines."""
+    kept = lines.drop_repeated_lines(documents(spark, sf), counted=("n_lines", "n_removed"))
+    return kept.select("doc_id", "n_lines", "n_removed", "text")
+
+
 @query
 def op10_quality_rules(spark, sf):
     """Base counts and verdict of every document."""
