@@ -6,8 +6,9 @@
    most one difference. All single errors are enumerated by blanking each minimum of a chunk in
    turn; classes with an equal key meet. A similarity of 0.8 differs in a fifth of the minima,
    so all ten chunks fail for fewer than 3 in 100,000 such pairs, and fewer above.
-4. Classes in one bucket are compared with one of them first, then with another, then only
-   across the components found so far, so a group of near copies costs links, not pairs.
+4. Classes in one bucket are compared with its earliest one first; those that stay outside the
+   bucket's main component with their nearest by signature; then all that remains apart, only
+   across components. So a group of near copies costs links, not pairs. No pair is left out.
    Signatures farther apart than ``MAX_DISTANCE`` are passed over; the rest is confirmed on
    full sets.
 
@@ -31,8 +32,10 @@ from folioscope.llm.components import components
 from folioscope.llm.storage import cut
 
 CHUNKS, SYMBOLS, BITS = 10, 6, 8
-#: Of 60 minima; at a similarity of 0.8, 12 differ on average, and over 30 in fewer than 1 of 10 million pairs.
-MAX_DISTANCE = 30
+#: Of 60 minima; at a similarity of 0.8, 12 differ on average, and over 27 in 5 of a million pairs.
+MAX_DISTANCE = 27
+#: So near, two signatures most likely belong to similar sets.
+NEAR_DISTANCE = 11
 
 _rng = np.random.Generator(np.random.PCG64(7))
 _FACTORS = _rng.integers(1, 1 << 62, CHUNKS * SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -117,17 +120,31 @@ def _sets(size: int):
     return run
 
 
+def _differences(x: Column, y: Column, chunk: int) -> Column:
+    """The top bit of every byte in which two chunks differ."""
+    low = F.lit(0x00007F7F7F7F7F7F)
+    d = x[chunk].bitwiseXOR(y[chunk])
+    return (d.bitwiseAND(low) + low).bitwiseOR(d).bitwiseAND(F.lit(0x0000808080808080))
+
+
 def _distance(x: Column, y: Column) -> Column:
-    """Number of differing minima of two signatures: bytes of their exclusive or that aren't 0."""
+    """Number of differing minima of two signatures."""
     total = F.lit(0)
     for k in range(CHUNKS):
-        d = x[k].bitwiseXOR(y[k])
-        low = F.lit(0x00007F7F7F7F7F7F)
-        full = (d.bitwiseAND(low) + low).bitwiseOR(d).bitwiseAND(F.lit(0x0000808080808080))
-        total = total + F.bit_count(full)
+        total = total + F.bit_count(_differences(x, y, k))
     return total
 
 
+def _first_meeting(x: Column, y: Column) -> Column:
+    """Number of the first key that two signatures share; they have up to one for every blank."""
+    found = F.lit(-1)
+    for k in reversed(range(CHUNKS)):
+        full = _differences(x, y, k)
+        blank = F.when(full == 0, 0).otherwise(F.floor(F.bit_count(full - 1) / BITS).cast("int"))
+        found = F.when(F.bit_count(full) <= 1, blank + k * SYMBOLS).otherwise(found)
+    return found
+
+
 def _bucket_keys() -> Column:
     """All keys of a signature: each chunk with each of its minima blanked in turn."""
     return F.array(
@@ -139,11 +156,11 @@ def _bucket_keys() -> Column:
     )
 
 
-def _close(x: str, y: str, percent: int) -> Column:
+def _close(x: str, y: str, percent: int, distance: int = MAX_DISTANCE) -> Column:
     """Sizes and signatures leave room for the wanted similarity."""
     x, y = F.col(x), F.col(y)
     sizes = 100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"])
-    return sizes & (_distance(x["sig"], y["sig"]) <= MAX_DISTANCE)
+    return sizes & (_distance(x["sig"], y["sig"]) <= distance)
 
 
 def _with_sketches(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -169,30 +186,26 @@ def _center_pairs(met: DataFrame, classes: DataFrame, percent: int) -> DataFrame
     return near.groupBy("x").agg(F.min("y").alias("y"))
 
 
-def _across(met: DataFrame, links: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members of buckets that more than one component meets in, and the bucket's main one."""
+def _across(met: DataFrame, links: DataFrame, classes: DataFrame, percent: int, distance: int) -> DataFrame:
+    """Close pairs of members of a bucket in different components, each pair once.
+
+    Members of a bucket's main component only meet the others. Per pair: ``x``, ``y`` and
+    ``distance``; ``x`` is outside the main component."""
     known = components(links, "x", "y").select(F.col("id").alias("class"), "component")
-    labelled = met.select("bucket", "class").join(known, "class", "left")
+    labelled = met.select("bucket", "key", "class").join(known, "class", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "class"))
     parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     mixed = parts.groupBy("bucket").agg(F.max_by("component", "n").alias("main"), F.count("*").alias("parts"))
     rows = labelled.join(mixed.where("parts > 1").select("bucket", "main"), "bucket")
-    return cut(rows.join(classes.select("class", F.struct("n", "sig").alias("sketch")), "class"))
-
-
-def _rotated(rows: DataFrame, percent: int) -> DataFrame:
-    """Members outside the main component against one member of it."""
-    pick = rows.where("component = main").groupBy("bucket").agg(F.max_by(F.struct("class", "sketch"), F.xxhash64("class")).alias("head"))
-    pairs = rows.where("component <> main").join(pick, "bucket").where(_close("sketch", "head.sketch", percent))
-    return pairs.groupBy(F.col("class").alias("x")).agg(F.min("head.class").alias("y"))
-
-
-def _exhaustive(rows: DataFrame, percent: int) -> DataFrame:
-    """All close pairs across components; members of the main one only meet the others."""
-    x = rows.where("component <> main").select("bucket", F.col("class").alias("x"), F.col("component").alias("cx"), F.col("sketch").alias("x_sketch"))
+    rows = cut(rows.join(classes.select("class", F.struct("n", "sig").alias("sketch")), "class"))
+    x = rows.where("component <> main").select("bucket", "key", F.col("class").alias("x"), F.col("component").alias("cx"), F.col("sketch").alias("x_sketch"))
     y = rows.select("bucket", F.col("class").alias("y"), F.col("component").alias("cy"), F.col("sketch").alias("y_sketch"), "main")
-    pairs = x.join(y, "bucket").where((F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))))
-    return pairs.where(_close("x_sketch", "y_sketch", percent)).select("x", "y").distinct()
+    apart = (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y")))
+    sketches = F.col("x_sketch.sig"), F.col("y_sketch.sig")
+    pairs = x.join(y, "bucket").where(
+        apart & _close("x_sketch", "y_sketch", percent, distance) & (F.col("key") == _first_meeting(*sketches))
+    )
+    return pairs.select("x", "y", _distance(*sketches).alias("distance"))
 
 
 def near_duplicates(
@@ -211,9 +224,9 @@ def near_duplicates(
         held.groupBy("class").agg(F.min("doc").alias("doc"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
     )
 
-    keyed = classes.select(F.explode(_bucket_keys()).alias("bucket"), "class")
-    shared = keyed.groupBy("bucket").agg(F.min("class").alias("center"), F.count("*").alias("n")).where("n > 1")
-    met = cut(keyed.join(shared.select("bucket", "center"), "bucket"))
+    keyed = classes.select(F.posexplode(_bucket_keys()).alias("key", "bucket"), "class", "doc")
+    shared = keyed.groupBy("bucket").agg(F.min_by("class", "doc").alias("center"), F.count("*").alias("n")).where("n > 1")
+    met = cut(keyed.drop("doc").join(shared.select("bucket", "center"), "bucket"))
 
     wanted = met.select("class").distinct().join(classes.select("class", "doc"), "class")
     texts = narrow.join(wanted, "doc")
@@ -221,8 +234,10 @@ def near_duplicates(
     sets = cut(sets.groupBy("class").agg(F.first("members").alias("members")))
 
     links = cut(_confirmed(_center_pairs(met, classes, percent), sets, percent))
-    links = cut(links.union(_confirmed(_rotated(_across(met, links, classes), percent), sets, percent)))
-    links = cut(links.union(_confirmed(_exhaustive(_across(met, links, classes), percent), sets, percent)))
+    nearest = _across(met, links, classes, percent, NEAR_DISTANCE).groupBy("x").agg(F.min_by("y", "distance").alias("y"))
+    links = cut(links.union(_confirmed(nearest, sets, percent)))
+    rest = _across(met, links, classes, percent, MAX_DISTANCE).select("x", "y").distinct()
+    links = cut(links.union(_confirmed(rest, sets, percent)))
 
     several = held.groupBy("doc").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y").select("doc", "x")
     bridges = held.select("doc", "class").join(several, "doc").select("x", F.col("class").alias("y"))
