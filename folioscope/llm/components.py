@@ -38,8 +38,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Null ends and loops are ignored; repeated and reversed edges count once."""
     x, y = F.col(a), F.col(b)
-    now = edges.where(x != y).select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).distinct()
-    now = cut(now)
+    now = cut(edges.where(x != y).select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).distinct())
     seen = _fingerprint(now)
     while seen[0]:
         now = cut(_star(_star(now, True), False))

@@ -6,10 +6,10 @@
    most one difference. All single errors are enumerated by blanking each minimum of a chunk in
    turn; classes with an equal key meet. A similarity of 0.8 differs in a fifth of the minima,
    so all ten chunks fail for fewer than 3 in 100,000 such pairs, and fewer above.
-4. Classes in one bucket are compared with its earliest one first; those that stay outside the
-   bucket's main component with their nearest by signature; then all that remains apart, only
-   across components. So a group of near copies costs links, not pairs. No pair is left out.
-   Signatures farther apart than ``MAX_DISTANCE`` are passed over; the rest is confirmed on
+4. Classes in one bucket are compared with its earliest one first, then only across the
+   components found so far, and only if the shingles of a class that any other one has are
+   enough for the similarity. So a group of near copies costs links, not pairs, and none that
+   could be a link is left out. Signatures farther apart than ``MAX_DISTANCE`` are passed over; the rest is confirmed on
    full sets.
 
 Defined cases: a document without words, or null, has no set and no link. A null id takes no
@@ -34,8 +34,6 @@ from folioscope.llm.storage import cut
 CHUNKS, SYMBOLS, BITS = 10, 6, 8
 #: Of 60 minima; at a similarity of 0.8, 12 differ on average, and over 27 in 5 of a million pairs.
 MAX_DISTANCE = 27
-#: So near, two signatures most likely belong to similar sets.
-NEAR_DISTANCE = 11
 
 _rng = np.random.Generator(np.random.PCG64(7))
 _FACTORS = _rng.integers(1, 1 << 62, CHUNKS * SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -156,11 +154,13 @@ def _bucket_keys() -> Column:
     )
 
 
-def _close(x: str, y: str, percent: int, distance: int = MAX_DISTANCE) -> Column:
-    """Sizes and signatures leave room for the wanted similarity."""
-    x, y = F.col(x), F.col(y)
-    sizes = 100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"])
-    return sizes & (_distance(x["sig"], y["sig"]) <= distance)
+def _near(x: str, y: str) -> Column:
+    return _distance(F.col(x)["sig"], F.col(y)["sig"]) <= MAX_DISTANCE
+
+
+def _possible(common: Column, n: Column, m: Column, percent: int) -> Column:
+    """Whether sets of ``n`` and ``m`` that share at most ``common`` can be similar enough."""
+    return 100 * common >= percent * (n + m - common)
 
 
 def _with_sketches(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -171,41 +171,66 @@ def _with_sketches(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``x, y`` whose full sets are similar enough."""
+    """The rows of ``pairs`` whose full sets are similar enough."""
     for side in ("x", "y"):
         pairs = pairs.join(sets.select(F.col("class").alias(side), F.col("members").alias(f"{side}_set")), side)
     common = F.size(F.array_intersect("x_set", "y_set"))
     union = F.size("x_set") + F.size("y_set") - common
-    return pairs.where(100 * common >= percent * union).select("x", "y")
+    return pairs.where(100 * common >= percent * union)
 
 
 def _center_pairs(met: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """For each class the smallest of its buckets' centers that is close to it."""
     pairs = met.where("class <> center").select(F.col("class").alias("x"), F.col("center").alias("y")).distinct()
-    near = _with_sketches(pairs, classes).where(_close("x_sketch", "y_sketch", percent))
+    n, m = F.col("x_sketch.n"), F.col("y_sketch.n")
+    near = _with_sketches(pairs, classes).where(_possible(F.least(n, m), n, m, percent) & _near("x_sketch", "y_sketch"))
     return near.groupBy("x").agg(F.min("y").alias("y"))
 
 
-def _across(met: DataFrame, links: DataFrame, classes: DataFrame, percent: int, distance: int) -> DataFrame:
-    """Close pairs of members of a bucket in different components, each pair once.
+def _roots(links: DataFrame) -> DataFrame:
+    """``class, component`` of links that each lead from a class to an earlier one."""
+    while True:
+        up = links.select(F.col("x").alias("y"), F.col("y").alias("top"))
+        links = cut(links.join(up, "y", "left").select("x", F.coalesce("top", "y").alias("y"), F.col("top").isNotNull().alias("moved")))
+        if links.where("moved").isEmpty():
+            return links.select(F.col("x").alias("class"), F.col("y").alias("component"))
+        links = links.select("x", "y")
+
+
+def _shared_sizes(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """``class, common``: how many shingles of a class of ``rows`` another one of them has."""
+    shingles = rows.select("class").distinct().join(sets, "class").select("class", F.explode("members").alias("shingle"))
+    shingles = shingles.repartition("shingle")
+    held = shingles.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
+    return shingles.join(held, "shingle").groupBy("class").agg(F.count("*").alias("common"))
+
 
-    Members of a bucket's main component only meet the others. Per pair: ``x``, ``y`` and
-    ``distance``; ``x`` is outside the main component."""
-    known = components(links, "x", "y").select(F.col("id").alias("class"), "component")
-    labelled = met.select("bucket", "key", "class").join(known, "class", "left")
+def _across(met: DataFrame, known: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of a bucket in different components that can be similar, each once.
+
+    Members of a bucket's main component only meet the others, and of those only ones whose
+    shingles that anyone else has are enough. Per pair: ``x``, ``y`` and components ``cx``, ``cy``."""
+    labelled = met.select("bucket", "key", "class", "n").join(known, "class", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "class"))
-    parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    mixed = parts.groupBy("bucket").agg(F.max_by("component", "n").alias("main"), F.count("*").alias("parts"))
-    rows = labelled.join(mixed.where("parts > 1").select("bucket", "main"), "bucket")
-    rows = cut(rows.join(classes.select("class", F.struct("n", "sig").alias("sketch")), "class"))
-    x = rows.where("component <> main").select("bucket", "key", F.col("class").alias("x"), F.col("component").alias("cx"), F.col("sketch").alias("x_sketch"))
-    y = rows.select("bucket", F.col("class").alias("y"), F.col("component").alias("cy"), F.col("sketch").alias("y_sketch"), "main")
-    apart = (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y")))
-    sketches = F.col("x_sketch.sig"), F.col("y_sketch.sig")
-    pairs = x.join(y, "bucket").where(
-        apart & _close("x_sketch", "y_sketch", percent, distance) & (F.col("key") == _first_meeting(*sketches))
+    parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("members"), F.min("n").alias("least"))
+    mixed = parts.groupBy("bucket").agg(
+        F.max_by("component", "members").alias("main"), F.count("*").alias("parts"), F.min("least").alias("least")
+    )
+    rows = cut(labelled.join(mixed.where("parts > 1").drop("parts"), "bucket"))
+    rows = rows.join(_shared_sizes(rows, sets), "class").join(classes.select("class", F.struct("sig").alias("sketch")), "class")
+    rows = cut(rows.where((F.col("component") == F.col("main")) | _possible(F.col("common"), F.col("n"), F.col("least"), percent)))
+    side = ["bucket", "main", "key"]
+    x = rows.where("component <> main").select(*side, *[F.col(c).alias(f"x_{c}") for c in ("class", "component", "n", "common", "sketch")])
+    y = rows.select("bucket", *[F.col(c).alias(f"y_{c}") for c in ("class", "component", "n", "common", "sketch")])
+    apart = (F.col("x_component") != F.col("y_component")) & (
+        (F.col("y_component") == F.col("main")) | (F.col("x_class") < F.col("y_class"))
+    )
+    possible = _possible(F.least("x_common", "y_common"), F.col("x_n"), F.col("y_n"), percent)
+    once = F.col("key") == _first_meeting(F.col("x_sketch.sig"), F.col("y_sketch.sig"))
+    pairs = x.join(y, "bucket").where(apart & possible & _near("x_sketch", "y_sketch") & once)
+    return pairs.select(
+        F.col("x_class").alias("x"), F.col("y_class").alias("y"), F.col("x_component").alias("cx"), F.col("y_component").alias("cy")
     )
-    return pairs.select("x", "y", _distance(*sketches).alias("distance"))
 
 
 def near_duplicates(
@@ -224,8 +249,8 @@ def near_duplicates(
         held.groupBy("class").agg(F.min("doc").alias("doc"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
     )
 
-    keyed = classes.select(F.posexplode(_bucket_keys()).alias("key", "bucket"), "class", "doc")
-    shared = keyed.groupBy("bucket").agg(F.min_by("class", "doc").alias("center"), F.count("*").alias("n")).where("n > 1")
+    keyed = classes.select(F.posexplode(_bucket_keys()).alias("key", "bucket"), "class", "doc", F.col("n").cast("int").alias("n"))
+    shared = keyed.groupBy("bucket").agg(F.min_by("class", "doc").alias("center"), F.count("*").alias("met")).where("met > 1")
     met = cut(keyed.drop("doc").join(shared.select("bucket", "center"), "bucket"))
 
     wanted = met.select("class").distinct().join(classes.select("class", "doc"), "class")
@@ -233,16 +258,18 @@ def near_duplicates(
     sets = texts.mapInArrow(_sets(shingle), "class bigint, members array<bigint>")
     sets = cut(sets.groupBy("class").agg(F.first("members").alias("members")))
 
-    links = cut(_confirmed(_center_pairs(met, classes, percent), sets, percent))
-    nearest = _across(met, links, classes, percent, NEAR_DISTANCE).groupBy("x").agg(F.min_by("y", "distance").alias("y"))
-    links = cut(links.union(_confirmed(nearest, sets, percent)))
-    rest = _across(met, links, classes, percent, MAX_DISTANCE).select("x", "y").distinct()
-    links = cut(links.union(_confirmed(rest, sets, percent)))
-
+    known = _roots(cut(_confirmed(_center_pairs(met, classes, percent), sets, percent).select("x", "y")))
+    rest = _confirmed(_across(met, known, classes, sets, percent), sets, percent).select(F.col("cx").alias("x"), F.col("cy").alias("y"))
+    # an id on rows with different texts joins their classes
     several = held.groupBy("doc").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y").select("doc", "x")
     bridges = held.select("doc", "class").join(several, "doc").select("x", F.col("class").alias("y"))
-    known = components(links.union(bridges), "x", "y").select(F.col("id").alias("class"), "component")
-    labelled = cut(classes.select("class", "doc").join(known, "class", "left").withColumn("component", F.coalesce("component", "class")))
+    for side in ("x", "y"):
+        ends = known.select(F.col("class").alias(side), F.col("component").alias("c"))
+        bridges = bridges.join(ends, side, "left").withColumn(side, F.coalesce("c", side)).drop("c")
+    merged = components(rest.union(bridges.select("x", "y")), "x", "y").select(F.col("id").alias("component"), F.col("component").alias("whole"))
+    labelled = classes.select("class", "doc").join(known, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    labelled = labelled.join(merged, "component", "left").select("class", "doc", F.coalesce("whole", "component").alias("component"))
+    labelled = cut(labelled)
     smallest = labelled.groupBy("component").agg(F.min("doc").alias("component_id"))
     found = labelled.join(smallest, "component").select("class", "component_id")
 

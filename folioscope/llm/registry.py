@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import chat, decontaminate, lines, minhash, packing, quality, tokens
+from folioscope.llm import chat, decontaminate, language, lines, minhash, packing, pii, quality, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,6 +30,12 @@ def op1_near_duplicates(spark, sf):
     return minhash.near_duplicates(documents(spark, sf), shingle=2, percent=80)
 
 
+@query
+def op2_personal_data(spark, sf):
+    """Spans of personal data in every document."""
+    return pii.with_digests(pii.find_personal_data(documents(spark, sf)))
+
+
 @query
 def op3_token_counts(spark, sf):
     """Bytes and byte-level tokens of every document."""
@@ -55,6 +61,19 @@ def op5_packing(spark, sf):
     return packing.with_digest(pieces).drop("ids")
 
 
+def fold(modulus: int = 5):
+    """The fold that a document falls into, by the checksum of its id as text."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
+@query
+def op6_language_id(spark, sf):
+    """Predicted language of every document."""
+    found = language.identify(documents(spark, sf), learn=fold() != 0)
+    held_out = F.coalesce(fold() == 0, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op8_line_dedup(spark, sf):
     """Every document without its repeated lines."""
