@@ -17,7 +17,6 @@ repeated rows are packed each; an empty table gives no pieces.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,7 +43,6 @@ class Packer:
         self.limits = np.array([tokens, segments, loss or tokens], np.int64)
         self.sequence = 0
         self.waiting: list = []  # example, start, length, first loss-bearing index
-        self.demand = np.zeros((0, 3), np.int64)
 
     @staticmethod
     def _loss(start: int, length: int, loss_from: int) -> int:
@@ -64,37 +62,39 @@ class Packer:
         self._pack(0)
 
     def _pack(self, keep: int) -> None:
-        while len(self.waiting) > keep:
-            n = len(self.waiting)
-            demand = np.array([(l, 1, self._loss(s, l, f)) for _, s, l, f in self.waiting], np.int64)
-            free, left = np.ones(n, bool), self.limits.copy()
-            chosen, pieces = [], []
-            shares = demand / self.limits
-            while True:
-                fits = free & (demand <= left).all(axis=1)
-                if not fits.any():
+        """Fill sequences until no more than ``keep`` pieces wait."""
+        tokens = np.array([p[2] for p in self.waiting], np.int64)
+        loss = np.array([self._loss(p[1], p[2], p[3]) for p in self.waiting], np.int64)
+        free = np.ones(len(tokens), bool)
+        limit, segments, loss_limit = map(int, self.limits)
+        alive = len(tokens)
+        while alive > keep:
+            left, left_segments, left_loss, pieces = limit, segments, loss_limit, []
+            while left_segments:
+                fits = free & (tokens <= left) & (loss <= left_loss)
+                # every piece demands one segment, so that part of the product is equal for all
+                product = tokens * (left / limit**2) + loss * (left_loss / loss_limit**2)
+                best = int(np.argmax(np.where(fits, product, -1.0)))
+                if not fits[best]:
                     break
-                best = int(np.argmax(np.where(fits, shares @ (left / self.limits), -1.0)))
                 free[best] = False
-                chosen.append(best)
+                alive -= 1
                 pieces.append(self.waiting[best][:3])
-                left -= demand[best]
-            rest = {}
-            if left[0] and left[1] and free.any():
-                rest = self._fill(np.flatnonzero(free), left, pieces)
-            self.waiting = [rest.get(i, p) for i, p in enumerate(self.waiting) if i in rest or free[i]]
+                left, left_segments, left_loss = left - int(tokens[best]), left_segments - 1, left_loss - int(loss[best])
+            if left and left_segments and alive:
+                self._fill(tokens, loss, free, left, left_loss, pieces)
             self._close(pieces)
+        self.waiting = [self.waiting[i] for i in np.flatnonzero(free)]
 
-    def _fill(self, free: np.ndarray, left: np.ndarray, pieces: list) -> dict:
+    def _fill(self, tokens: np.ndarray, loss: np.ndarray, free: np.ndarray, left: int, left_loss: int, pieces: list) -> None:
         """Cut the longest waiting piece so that its head fills the sequence."""
-        at = max(free, key=lambda i: self.waiting[i][2])
+        at = int(np.argmax(np.where(free, tokens, -1)))
         example, start, length, loss_from = self.waiting[at]
-        head = min(int(left[0]), length - 1)
-        head = min(head, max(loss_from - start, 0) + int(left[2]))
-        if head <= 0:
-            return {}
-        pieces.append((example, start, head))
-        return {int(at): (example, start + head, length - head, loss_from)}
+        head = min(left, length - 1, max(loss_from - start, 0) + left_loss)
+        if head > 0:
+            pieces.append((example, start, head))
+            self.waiting[at] = example, start + head, length - head, loss_from
+            tokens[at], loss[at] = length - head, self._loss(start + head, length - head, loss_from)
 
     def _close(self, pieces: list) -> None:
         fill = sum(p[2] for p in pieces)

@@ -29,7 +29,7 @@ from tokenizers import Tokenizer
 FREQUENT = 1 << 15
 SAMPLE_TEXTS = 2_000
 #: A worker's cache starts anew beyond so many entries.
-CACHED = 1 << 20
+CACHED = 3 << 19
 
 #: The patterns by which the two kinds of files split texts.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -40,6 +40,11 @@ _PLAIN = regex.compile(r"[\t\n\r\x20-\x7e\xa1-\u012f\u0132-\u0148\u014a-\u017e\u
 #: A blank beside other white space, where the byte pattern looks beyond the blank.
 _LOOSE = regex.compile(r" [ \t\n\r]|[\t\n\r] ")
 
+#: Bytes as the characters that stand for them in byte-level vocabularies: visible ones as they
+#: are, the others in order from 256 on.
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+_VISIBLE = {b: chr(256 + i) for i, b in enumerate(_HIDDEN)}
+
 #: Caches of this Python worker, by kind and file; they outlive a task.
 _CACHES: dict[tuple, "Cache"] = {}
 
@@ -81,8 +86,12 @@ class Splitter:
     def ids(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
+    def piece_ids(self, piece: str) -> list[int]:
+        """Ids of a pre-token of a plain text: the library's merges alone, without its other steps."""
+        return [t.id for t in self.library.model.tokenize(piece.encode().decode("latin-1").translate(_VISIBLE))]
+
     def unit_ids(self, unit: str) -> list[int]:
-        return self.ids(unit if self.words else f" {unit}")
+        return [i for piece in self.pattern(unit if self.words else f" {unit}") for i in self.piece_ids(piece)]
 
     def plain(self, text: str) -> bool:
         return _PLAIN.fullmatch(text) is not None and not ("<|" in text and self.special(text))
@@ -98,7 +107,7 @@ class Splitter:
 
     def caches(self, path: str, value: Callable) -> tuple[Cache, Cache]:
         """Of units and of pieces, with ``value`` of their ids."""
-        for kind, ids in (("unit", self.unit_ids), ("piece", self.ids)):
+        for kind, ids in (("unit", self.unit_ids), ("piece", self.piece_ids)):
             _CACHES.setdefault((kind, path, value), Cache(lambda x, ids=ids: value(ids(x))))
         return _CACHES["unit", path, value], _CACHES["piece", path, value]
 
