@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import chat, decontaminate, language, lines, minhash, packing, pii, quality, tokens
+from folioscope.llm import chat, decontaminate, language, lines, minhash, packing, pii, quality, scoring, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,6 +74,14 @@ def op6_language_id(spark, sf):
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op7_lm_scores(spark, sf):
+    """Log probabilities of every document."""
+    scored = scoring.score_texts(documents(spark, sf), learn=fold() != 1, path=public_tokenizers.path("byte_bpe_50k.json"))
+    held_out = F.coalesce(fold() == 1, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op8_line_dedup(spark, sf):
     """Every document without its repeated lines."""
