@@ -41,7 +41,7 @@ def main():
     conversations = fixtures.table(spark, SF_DIR, "conversations")
 
     def extracted() -> DataFrame:
-        return extraction.extract_pages(pages, skip=1)
+        return extraction.extract_pages(pages, skip=0)
 
     jobs = {
         "hybrid_extraction": extracted,

@@ -119,7 +119,7 @@ def corpus_profile(chunks: DataFrame) -> DataFrame:
             F.count_if(content.contains(person)).alias(f"person_{i}_chunks")
             for i, person in enumerate(fv.PERSONS)
         ],
-        (F.avg(F.length("content")) / F.avg(F.length("summary"))).alias("length_ratio"),
+        F.try_divide(F.avg(F.length("content")), F.avg(F.length("summary"))).alias("length_ratio"),
     )
     # at most a row per section is left here
     total = per_section.agg(F.sum("chunk_count").alias("_total")).select(F.lit(1).alias("_row"), "*")
@@ -177,5 +177,6 @@ def search_metrics(results: DataFrame) -> DataFrame:
         F.count("*").alias("result_count"),
         similarity.alias("avg_similarity"),
         relevance.alias("avg_relevance"),
-        ((relevance / similarity - 1) * 100).alias("improvement_pct"),
+        # null if nothing is similar at all
+        ((F.try_divide(relevance, similarity) - 1) * 100).alias("improvement_pct"),
     )

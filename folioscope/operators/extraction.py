@@ -34,11 +34,13 @@ def extract_pages(
     """
     paragraphs = page_paragraphs(F.col("ocr_text"), header_patterns)
     footnotes = page_footnotes(F.col("native_text"), header_patterns, date_patterns)
+    # a page that fails contributes nothing, whatever was recognised on it
+    readable = F.col("native_text").isNotNull()
     arrays = page_slice(pages, skip, max_pages).select(
         "doc_id",
         "page_no",
-        (F.col("native_text").isNotNull()).alias("success"),
-        F.coalesce(paragraphs, F.array()).alias("paragraphs"),
+        readable.alias("success"),
+        F.coalesce(F.when(readable, paragraphs), F.array()).alias("paragraphs"),
         F.coalesce(footnotes, F.array()).alias("footnotes"),
     )
     return arrays.select(

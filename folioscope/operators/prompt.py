@@ -132,7 +132,7 @@ def prompt_struct(
         history.alias("history"),
         F.concat(
             F.lit(fv.HUMAN_PROMPT_OPENING), context,
-            F.lit(fv.HUMAN_PROMPT_QUESTION), query,
+            F.lit(fv.HUMAN_PROMPT_QUESTION), F.coalesce(query, F.lit("")),
             F.lit(fv.HUMAN_PROMPT_CLOSING),
         ).alias("human"),
     )
@@ -164,9 +164,12 @@ def prompt_rows(
             "conv_id IS NOT NULL"
         )
         recent = recent_messages(conversations.join(asked.distinct(), "conv_id", "left_semi"), k)
-        rows = rows.join(
+        # rows without a conversation would all meet in one task
+        talking = rows.where("conversation_id IS NOT NULL").join(
             recent.withColumnRenamed("conv_id", "conversation_id"), "conversation_id", "left"
         )
+        silent = rows.where("conversation_id IS NULL").withColumn("history", no_history)
+        rows = talking.unionByName(silent)
     return rows.select(
         "query_id",
         "conversation_id",

@@ -67,13 +67,3 @@ def distribute_pages(pages: DataFrame, partitions: int | None = None) -> DataFra
     if partitions is None:
         return pages.repartitionByRange(*keys)
     return pages.repartitionByRange(partitions, *keys)
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Repartition an input whose scan gives fewer partitions than there are cores.
-
-    One small file with one row group is one task; on a real table the scan already
-    has more partitions than cores and the input is returned unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

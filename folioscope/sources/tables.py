@@ -49,8 +49,14 @@ def replace_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
     spark = df.sparkSession
     staging, previous = f"{name}__staging", f"{name}__previous"
     save_table(df, staging, fmt)
+    # left over by a run that failed between the two renames
+    spark.sql(f"DROP TABLE IF EXISTS {previous}")
     spark.sql(f"ALTER TABLE {name} RENAME TO {previous}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    try:
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {previous} RENAME TO {name}")
+        raise
     spark.sql(f"DROP TABLE {previous}")
 
 

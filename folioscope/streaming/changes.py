@@ -4,37 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _complete(df: DataFrame, other: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``columns`` of ``df``; those that only ``other`` has are null, in its type."""
+    return df.select(
+        *[F.col(c) if c in df.columns else F.lit(None).cast(other.schema[c].dataType).alias(c) for c in columns]
+    )
+
+
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str] = ("chunk_id",)) -> DataFrame:
     """Rows of both versions that differ, with ``_change_type``: ``insert``, ``delete``,
     ``update_preimage`` or ``update_postimage``.
 
-    ``keys`` identify a row in each version.  One full outer join on the keys, which are
-    unique and therefore spread evenly; unchanged rows leave no trace.
+    ``keys`` identify a row in each version. Columns may have come or gone in between; a row
+    without a column has null in it. Versions are compared by digests of 128 bits in one full
+    outer join on the keys; whole rows are fetched for changed keys only.
     """
     keys = list(keys)
     payload = [c for c in new.columns if c not in keys]
-    before = old.select(*keys, F.struct(*payload).alias("_before"))
-    after = new.select(*keys, F.struct(*payload).alias("_after"))
-    joined = before.join(after, keys, "full_outer")
-    was, now = F.col("_before"), F.col("_after")
-
-    def change(kind: str, row) -> Column:
-        return F.struct(F.lit(kind).alias("_change_type"), row.alias("row"))
-
-    changes = (
-        F.when(was.isNull(), F.array(change("insert", now)))
-        .when(now.isNull(), F.array(change("delete", was)))
-        .when(
-            ~was.eqNullSafe(now),
-            F.array(change("update_preimage", was), change("update_postimage", now)),
-        )
-    )
-    return joined.select(*keys, F.explode(changes).alias("_c")).select(
-        *keys,
-        *[F.col("_c")["row"][c].alias(c) for c in payload],
-        F.col("_c")["_change_type"].alias("_change_type"),
-    )
+    payload += [c for c in old.columns if c not in [*keys, *payload]]
+    before, after = _complete(old, new, [*keys, *payload]), _complete(new, old, [*keys, *payload])
+
+    def digest(df: DataFrame, name: str) -> DataFrame:
+        # nulls are skipped by the hash, so their places are part of it
+        nulls = [F.col(c).isNull() for c in payload]
+        hashes = [F.xxhash64(F.lit(seed), *nulls, *payload) for seed in (0, 1)]
+        return df.select(*keys, F.struct(*hashes).alias(name))
+
+    joined = digest(before, "_was").join(digest(after, "_now"), keys, "full_outer")
+    was, now = F.col("_was"), F.col("_now")
+    kind = F.when(was.isNull(), "insert").when(now.isNull(), "delete").when(was != now, "update")
+    changed = joined.select(*keys, kind.alias("_kind")).where(F.col("_kind").isNotNull())
+
+    def rows(side: DataFrame, alone: str, updated: str) -> DataFrame:
+        label = F.when(F.col("_kind") == "update", updated).otherwise(alone).alias("_change_type")
+        wanted = changed.where(F.col("_kind").isin(alone, "update"))
+        return side.join(wanted, keys).select(*keys, *payload, label)
+
+    return rows(before, "delete", "update_preimage").unionByName(rows(after, "insert", "update_postimage"))

@@ -22,7 +22,9 @@ from folioscope.sources.tables import table_counts
 from folioscope.streaming.changes import snapshot_diff
 from workload.fixtures import (
     chunk_search,
+    chunk_texts,
     legal_pages,
+    scanned_pages,
     search_queries,
     snapshots,
     stored_encoder,
@@ -84,7 +86,7 @@ def exclusion_filter(spark, sf):
 
 
 def extracted(spark, sf):
-    return extraction.extract_pages(legal_pages(spark, sf), skip=SKIP)
+    return extraction.extract_pages(scanned_pages(spark, sf), skip=0)
 
 
 @query
@@ -294,7 +296,7 @@ def sample_rows(spark, sf):
 @query
 def corpus_profile(spark, sf):
     return rounded(
-        analytics.corpus_profile(chunk_search(spark, sf)),
+        analytics.corpus_profile(chunk_texts(spark, sf)),
         "legal_concept_density",
         "length_ratio",
         "chunk_share",
@@ -331,7 +333,7 @@ def legal_expansion_lookup(spark, sf):
 
 @query
 def section_weights(spark, sf):
-    return chunk_search(spark, sf).select(
+    return chunk_texts(spark, sf).select(
         "chunk_id", "section_type", q.section_weight(F.col("section_type")).alias("section_weight")
     )
 
@@ -399,7 +401,7 @@ def search_metrics(spark, sf):
 
 @query
 def text_similarity(spark, sf):
-    base = chunk_search(spark, sf).drop("embedding")
+    base = chunk_texts(spark, sf)
     model = fit_vectorizer(base)
     queries = (
         table(spark, sf, "benchmark")
@@ -490,3 +492,10 @@ def rag_results(spark, sf):
 @query
 def change_feed(spark, sf):
     return snapshot_diff(*snapshots(spark, sf))
+
+
+@query
+def change_feed_new_column(spark, sf):
+    """The same after the newer version got a column."""
+    old, new = snapshots(spark, sf)
+    return snapshot_diff(old, new.withColumn("summary", F.concat(F.lit("Section "), "section_type")))
