@@ -50,9 +50,7 @@ def main():
         "sections": lambda: conservative.page_sections(pages),
         "conservative_footnotes": lambda: conservative.conservative_footnotes(pages),
         "main_text_chunks": lambda: chunks.flatten_chunks(chunks.main_text_chunks(pages, 200)),
-        "section_coverage": lambda: analytics.section_coverage(
-            chunks.flatten_chunks(chunks.main_text_chunks(pages, 200))
-        ),
+        "section_coverage": lambda: analytics.section_coverage(chunks.chunk_index(pages, 200)),
         "conservative_statistics": lambda: documents.process_conservative(pages, 200)["statistics"],
         "batch_search": lambda: retrieval.enhanced_search(queries, corpus, encode),
         "rag_rows": lambda: retrieval.rag_rows(queries, corpus, encode, conversations),

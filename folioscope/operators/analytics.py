@@ -83,7 +83,7 @@ def conservative_statistics(chunks: DataFrame, footnotes: DataFrame) -> DataFram
     """Number of chunks, paragraphs and footnotes, and mean footnote confidence
     (0 without footnotes), in one row.
 
-    ``chunks`` is the flat chunk table; each paragraph is in one chunk, so its counts
+    ``chunks`` is the chunk index or the flat chunk table; each paragraph is in one chunk, so its counts
     give the number of paragraphs without extracting them again.
     """
     one = F.lit(1).alias("_row")

@@ -96,6 +96,53 @@ def semantic_chunks(extracted: DataFrame, pages_per_block: int = PAGES_PER_BLOCK
 # --- main text chunks: paragraphs packed to a token budget -------------------
 
 
+def _numbered(
+    pages: DataFrame, budget: int, max_pages: int | None, pages_per_block: int
+) -> tuple[DataFrame, DataFrame]:
+    """Section and paragraph tokens of every page, and the chunk numbers of its paragraphs."""
+    native = F.col("native_text")
+    counts = keyed(pages).select(
+        "doc_id",
+        "page_no",
+        section_marker(native).alias("marker"),
+        up_to_page(bracket_tokens(native), max_pages).alias("tokens"),
+    )
+    sectioned = carry_last(counts, "marker", pages_per_block).select(
+        "doc_id",
+        "page_no",
+        "page_block",
+        F.coalesce("marker", F.lit(fv.INITIAL_SECTION)).alias("section_type"),
+        "tokens",
+    )
+    return sectioned, assign_chunks(sectioned, pages, budget, pages_per_block)
+
+
+def chunk_index(
+    pages: DataFrame,
+    budget: int = fv.MAX_TOKENS_PER_CHUNK,
+    max_pages: int | None = None,
+    pages_per_block: int = PAGES_PER_BLOCK,
+) -> DataFrame:
+    """The main text chunks without their text: ``doc_id, section_type, chunk_number,
+    token_count, paragraph_count, first_page, last_page``.
+
+    Reports need no more; page texts stay in the scan.
+    """
+    sectioned, numbers = _numbered(pages, budget, max_pages, pages_per_block)
+    z = F.col("z")
+    members = (
+        sectioned.select("doc_id", "page_no", "tokens")
+        .join(numbers, ["doc_id", "page_no"])
+        .select("doc_id", "page_no", "section_type", F.explode(F.arrays_zip("tokens", "chunk_numbers")).alias("z"))
+    )
+    return members.groupBy("doc_id", "section_type", z["chunk_numbers"].alias("chunk_number")).agg(
+        F.sum(z["tokens"]).alias("token_count"),
+        F.count("*").alias("paragraph_count"),
+        F.min("page_no").alias("first_page"),
+        F.max("page_no").alias("last_page"),
+    )
+
+
 def main_text_chunks(
     pages: DataFrame,
     budget: int = fv.MAX_TOKENS_PER_CHUNK,
@@ -111,20 +158,7 @@ def main_text_chunks(
     """
     full = keyed(pages)
     native = F.col("native_text")
-    counts = full.select(
-        "doc_id",
-        "page_no",
-        section_marker(native).alias("marker"),
-        up_to_page(bracket_tokens(native), max_pages).alias("tokens"),
-    )
-    sectioned = carry_last(counts, "marker", pages_per_block).select(
-        "doc_id",
-        "page_no",
-        "page_block",
-        F.coalesce("marker", F.lit(fv.INITIAL_SECTION)).alias("section_type"),
-        "tokens",
-    )
-    numbers = assign_chunks(sectioned, pages, budget, pages_per_block)
+    _, numbers = _numbered(pages, budget, max_pages, pages_per_block)
     text = full.select(
         "doc_id", "page_no", up_to_page(bracket_paragraphs(native), max_pages).alias("paragraphs")
     )

@@ -6,7 +6,13 @@ from pyspark.sql import DataFrame
 
 from folioscope import fixed_values as fv
 from folioscope.operators.analytics import conservative_statistics
-from folioscope.operators.chunks import flatten_chunks, main_text_chunks, semantic_chunks
+from folioscope.operators.chunks import (
+    chunk_index,
+    flatten_chunks,
+    main_text_chunks,
+    semantic_chunks,
+    with_document_info,
+)
 from folioscope.operators.conservative import clean_paragraphs, conservative_footnotes
 from folioscope.operators.extraction import (
     extract_pages,
@@ -23,22 +29,29 @@ def process_conservative(
     budget: int = fv.MAX_TOKENS_PER_CHUNK,
     max_pages: int | None = None,
     table_name: str | None = None,
+    documents: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Chunks, footnotes, paragraphs and statistics of the conservative path.
 
-    With ``table_name`` the flat chunk table is written first.
+    With ``table_name`` the flat chunk table is written first. ``documents`` (``doc_id,
+    case_name, case_number, chamber, date``) describes the cases in it; documents that it
+    doesn't have keep the fixed one.
     """
     chunks = main_text_chunks(pages, budget, max_pages)
-    flat = flatten_chunks(chunks)
-    if table_name is not None:
+    if table_name is None:
+        counted = chunk_index(pages, budget, max_pages)
+    else:
+        flat = flatten_chunks(chunks)
+        if documents is not None:
+            flat = with_document_info(flat, documents)
         save_table(flat, table_name)
-        flat = pages.sparkSession.table(table_name)
+        counted = pages.sparkSession.table(table_name)
     footnotes = conservative_footnotes(pages)
     return {
         "chunks": chunks,
         "footnotes": footnotes,
         "paragraphs": clean_paragraphs(pages, max_pages),
-        "statistics": conservative_statistics(flat, footnotes),
+        "statistics": conservative_statistics(counted, footnotes),
     }
 
 

@@ -582,6 +582,15 @@ ORACLE: dict[str, str] = {
     ),
     "bracket_paragraphs": with_(BRACKETS, "SELECT *, '' AS footnote_markers_removed FROM brackets"),
     "packed_chunks": with_(PACKED, "SELECT * FROM chunks"),
+    "packed_chunks_of_cases": with_(
+        PACKED,
+        """SELECT c.* REPLACE (
+    CASE WHEN lang <> 'en' THEN concat('Case of ', source) ELSE case_name END AS case_name,
+    CASE WHEN lang <> 'en' THEN concat(source, '/', lang) ELSE case_number END AS case_number,
+    CASE WHEN lang <> 'en' THEN concat('Chamber ', lang) ELSE chamber END AS chamber,
+    CASE WHEN lang <> 'en' THEN '1 January 2020' ELSE date END AS date)
+  FROM chunks c JOIN documents d ON d.doc_id = c.doc_id""",
+    ),
     "packed_chunks_default_budget": with_(packs(fv.MAX_TOKENS_PER_CHUNK), "SELECT * FROM chunks"),
     "chunk_metadata": with_(
         PACKED,

@@ -170,6 +170,22 @@ def packed_chunks_default_budget(spark, sf):
     return packed(spark, sf, fv.MAX_TOKENS_PER_CHUNK)
 
 
+def case_table(spark, sf):
+    """Cases of the documents whose language isn't English, named by source and language."""
+    return table(spark, sf, "documents").where("lang <> 'en'").select(
+        "doc_id",
+        F.concat(F.lit("Case of "), "source").alias("case_name"),
+        F.concat_ws("/", "source", "lang").alias("case_number"),
+        F.concat(F.lit("Chamber "), "lang").alias("chamber"),
+        F.lit("1 January 2020").alias("date"),
+    )
+
+
+@query
+def packed_chunks_of_cases(spark, sf):
+    return chunks.with_document_info(packed(spark, sf), case_table(spark, sf))
+
+
 @query
 def chunk_metadata(spark, sf):
     meta = F.col("metadata")
@@ -219,24 +235,28 @@ def extractive_summary(spark, sf):
 # --- reports ------------------------------------------------------------------
 
 
+def indexed(spark, sf):
+    return chunks.chunk_index(legal_pages(spark, sf), BUDGET)
+
+
 @query
 def section_coverage(spark, sf):
-    return rounded(analytics.section_coverage(packed(spark, sf)), "avg_tokens")
+    return rounded(analytics.section_coverage(indexed(spark, sf)), "avg_tokens")
 
 
 @query
 def section_distribution(spark, sf):
-    return analytics.section_distribution(packed(spark, sf))
+    return analytics.section_distribution(indexed(spark, sf))
 
 
 @query
 def token_stats(spark, sf):
-    return rounded(analytics.token_stats(packed(spark, sf)), "avg_tokens")
+    return rounded(analytics.token_stats(indexed(spark, sf)), "avg_tokens")
 
 
 @query
 def token_histogram(spark, sf):
-    return analytics.token_histogram(packed(spark, sf))
+    return analytics.token_histogram(indexed(spark, sf))
 
 
 @query
