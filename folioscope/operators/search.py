@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,10 +15,8 @@ from folioscope.functions.queries import (
     section_weight,
 )
 
-# A query matrix up to this many rows is sent to every executor.
-MAX_BROADCAST_QUERIES = 10_000
-# Hits up to this many rows are broadcast to the chunk table to fetch their columns.
-MAX_BROADCAST_HITS = 500_000
+# Queries are cut into slices of so many bytes of vectors, chunks into parts of so many rows.
+SLICE_BYTES = 64 << 20
 CHUNKS_PER_PART = 100_000
 
 QUERY_KEYS = ["query_id", "variant"]
@@ -58,11 +55,6 @@ def _scorer(hit_schema: T.StructType, tile: int = 256):
                 return self.id > other.id
 
         for ids, matrix in batches:
-            if matrix.shape[1] != vectors.shape[1]:
-                raise ValueError(
-                    f"chunk vectors have {matrix.shape[1]} dimensions, "
-                    f"query vectors {vectors.shape[1]}"
-                )
             for at in range(0, len(query_rows), tile):
                 scores = vectors[at : at + tile] @ matrix.T
                 # The fast product only preselects, with a margin for its rounding;
@@ -90,18 +82,21 @@ def _scorer(hit_schema: T.StructType, tile: int = 256):
             for score, last in heap:
                 yield query_id, variant, last.id, score, k
 
-    def chunk_batches(record_batches):
+    def usable(table, column):
+        """Row numbers, by the length of their vector, of those without a hole in it."""
         import numpy as np
         import pyarrow.compute as pc
 
-        for batch in record_batches:
-            if batch.num_rows == 0:
-                continue
-            vectors = batch.column("embedding")
-            if len(pc.unique(pc.list_value_length(vectors))) != 1:
-                raise ValueError("chunk vectors differ in length")
-            flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            yield batch.column("chunk_id").to_pylist(), flat.reshape(batch.num_rows, -1)
+        vectors = table.column(column).combine_chunks()
+        lengths = pc.fill_null(pc.list_value_length(vectors), 0).to_numpy()
+        ends = np.cumsum(lengths)
+        flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        holes = np.concatenate([[0], np.cumsum(~np.isfinite(flat))])
+        sound = (lengths > 0) & (holes[ends] == holes[ends - lengths])
+        return {
+            int(n): (rows := np.flatnonzero(sound & (lengths == n)), flat[(ends[rows] - n)[:, None] + np.arange(n)])
+            for n in np.unique(lengths[sound])
+        }
 
     def hits(rows):
         import pyarrow as pa
@@ -112,32 +107,35 @@ def _scorer(hit_schema: T.StructType, tile: int = 256):
                 [pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema
             )
 
-    def score_partition(query_rows):
-        def run(record_batches):
-            if query_rows:
-                yield from hits(best(query_rows, chunk_batches(record_batches)))
-
-        return run
-
     def score_pair(chunks, queries):
-        """The same for one slice of queries and one part of the chunks."""
+        """One slice of queries and one part of the chunks; vectors meet those of their length."""
         import pyarrow as pa
 
-        rows = list(
-            zip(*[queries.column(c).to_pylist() for c in ("query_id", "variant", "embedding", "k")])
-        )
-        if rows and chunks.num_rows:
-            found = hits(best(rows, chunk_batches(chunks.to_batches())))
-            return pa.Table.from_batches(list(found), schema=schema)
-        return schema.empty_table()
+        if not (queries.num_rows and chunks.num_rows):
+            return schema.empty_table()
+        batch = 10_000
+        ids = chunks.column("chunk_id").to_pylist()
+        keys = list(zip(*[queries.column(c).to_pylist() for c in ("query_id", "variant", "k")]))
+        of_chunks, found = usable(chunks, "embedding"), []
+        for length, (rows, vectors) in usable(queries, "embedding").items():
+            if length not in of_chunks:
+                continue
+            places, matrix = of_chunks[length]
+            asked = [(*keys[r][:2], v, keys[r][2]) for r, v in zip(rows.tolist(), vectors)]
+            batches = (
+                ([ids[i] for i in places[at : at + batch].tolist()], matrix[at : at + batch])
+                for at in range(0, len(places), batch)
+            )
+            found.extend(hits(best(asked, batches)))
+        return pa.Table.from_batches(found, schema=schema)
 
-    return score_partition, score_pair
+    return score_pair
 
 
 def similarity_topk(
     queries: DataFrame,
     chunks: DataFrame,
-    max_broadcast_queries: int = MAX_BROADCAST_QUERIES,
+    slice_bytes: int = SLICE_BYTES,
     chunks_per_part: int = CHUNKS_PER_PART,
 ) -> DataFrame:
     """The ``k`` most similar chunks of each query row by dot product.
@@ -146,22 +144,15 @@ def similarity_topk(
     embedding``, with unit vectors.  Equal scores are ordered by ``chunk_id``.
     Result: ``query_id, variant, chunk_id, similarity_score, rank``.
 
-    Every query has to meet every chunk, but no pair becomes a row: each task scores
-    Arrow batches of chunk vectors with one matrix product and hands on its own best
-    ``k`` per query.  Up to ``max_broadcast_queries`` queries travel to the tasks;
-    larger query tables are cut into slices and chunks into parts, and the tasks work
-    on slice and part pairs.
-    """
-    return bounded_topk(queries, chunks, max_broadcast_queries, chunks_per_part)[0]
-
+    Every query has to meet every chunk, but no pair becomes a row: a task scores one part of
+    the chunks against one slice of the queries with matrix products and hands on the best
+    ``k`` of each query.  Queries, the small side, go to every part; chunk vectors are
+    shuffled once as long as the queries fit into one slice.  The numbers of slices and
+    parts are computed in the plan, so no job runs before the caller's.
 
-def bounded_topk(
-    queries: DataFrame,
-    chunks: DataFrame,
-    max_broadcast_queries: int = MAX_BROADCAST_QUERIES,
-    chunks_per_part: int = CHUNKS_PER_PART,
-) -> tuple[DataFrame, int | None]:
-    """``similarity_topk`` and an upper bound of its row count, if known."""
+    Vectors meet vectors of their length.  One that is null, empty or holds a null or a value
+    that isn't finite meets none.
+    """
     vectors = chunks.select("chunk_id", "embedding").where(F.col("embedding").isNotNull())
     wanted = queries.select(*QUERY_KEYS, "embedding", F.col("k").cast("int").alias("k")).where(
         F.col("embedding").isNotNull() & (F.col("k") > 0)
@@ -175,35 +166,28 @@ def bounded_topk(
             T.StructField("k", T.IntegerType()),
         ]
     )
-    score_partition, score_pair = _scorer(hit_schema)
-
-    # at most max_broadcast_queries + 1 rows reach the driver
-    rows = wanted.limit(max_broadcast_queries + 1).collect()
-    if len(rows) <= max_broadcast_queries:
-        bound = sum(r["k"] for r in rows)
-        largest = max((r["k"] for r in rows), default=0)
-        partial = vectors.mapInArrow(score_partition([tuple(r) for r in rows]), hit_schema)
-    else:
-        bound = None
-        asked, largest = wanted.agg(F.count("*"), F.max("k")).first()
-        slices = asked // max_broadcast_queries + 1
-        parts = vectors.count() // chunks_per_part + 1
-        each_slice = F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice")
-        each_part = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
-        left = vectors.withColumn("part", F.pmod(F.xxhash64("chunk_id"), F.lit(parts)).cast("int"))
-        right = wanted.withColumn(
-            "slice", F.pmod(F.xxhash64(*QUERY_KEYS), F.lit(slices)).cast("int")
-        )
-        partial = (
-            left.select("*", each_slice)
-            .groupBy("slice", "part")
-            .cogroup(right.select("*", each_part).groupBy("slice", "part"))
-            .applyInArrow(score_pair, hit_schema)
-        )
+
+    def at_least_one(n: Column) -> Column:
+        return F.greatest(F.ceil(F.coalesce(n, F.lit(0))).cast("int"), F.lit(1))
+
+    one = F.lit(1).alias("_one")
+    slices = wanted.agg(at_least_one(F.sum(F.size("embedding")) * 8 / slice_bytes).alias("slices"))
+    parts = vectors.agg(at_least_one(F.count("*") / chunks_per_part).alias("parts"))
+    counts = F.broadcast(slices.select(one, "*").join(parts.select(one, "*"), "_one"))  # one row
+
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    left = vectors.select(one, "*").join(counts, "_one").select(
+        "chunk_id", "embedding", F.pmod(F.xxhash64("chunk_id"), "parts").cast("int").alias("part"), every("slices").alias("slice")
+    )
+    right = wanted.select(one, "*").join(counts, "_one").select(
+        *QUERY_KEYS, "embedding", "k", F.pmod(F.xxhash64(*QUERY_KEYS), "slices").cast("int").alias("slice"), every("parts").alias("part")
+    )
+    partial = left.groupBy("slice", "part").cogroup(right.groupBy("slice", "part")).applyInArrow(_scorer(hit_schema), hit_schema)
     order = Window.partitionBy(*QUERY_KEYS).orderBy(F.desc("similarity_score"), "chunk_id")
-    # the constant limit lets Spark cut each group before the shuffle
-    ranked = partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= largest)
-    return ranked.where(F.col("rank") <= F.col("k")).drop("k"), bound
+    ranked = partial.withColumn("rank", F.row_number().over(order))
+    return ranked.where(F.col("rank") <= F.col("k")).drop("k")
 
 
 def merge_variants(hits: DataFrame) -> DataFrame:
@@ -213,16 +197,14 @@ def merge_variants(hits: DataFrame) -> DataFrame:
     )
 
 
-def attach_chunks(hits: DataFrame, chunks: DataFrame, hit_limit: int | None = None) -> DataFrame:
+def attach_chunks(hits: DataFrame, chunks: DataFrame) -> DataFrame:
     """Add the chunk columns and the section weight to hits.
 
-    ``hit_limit`` is an upper bound of the number of hits, if the caller knows one;
-    with it the hits are broadcast and the chunk table is read in place.
+    Adaptive execution knows how many bytes of hits there are and broadcasts few of them, so
+    that the chunk table is read in place.
     """
     columns = chunks.select("chunk_id", "content", "summary", "section_type", "page_range")
-    small = hit_limit is not None and hit_limit <= MAX_BROADCAST_HITS
-    joined = columns.join(F.broadcast(hits) if small else hits, "chunk_id")
-    return joined.withColumn("section_weight", section_weight(F.col("section_type")))
+    return columns.join(hits, "chunk_id").withColumn("section_weight", section_weight(F.col("section_type")))
 
 
 def with_query_insights(queries: DataFrame) -> DataFrame:

@@ -21,13 +21,15 @@ from folioscope.operators.search import (
     best_hits,
     boost_by_query,
     boost_by_text,
-    bounded_topk,
     improvement_factor,
     merge_variants,
     result_count,
+    similarity_topk,
     with_query_insights,
 )
 
+NO_HITS = "no chunk has a vector that can be compared"
+
 Encoder = Callable[[DataFrame], DataFrame]
 
 
@@ -62,10 +64,9 @@ def enhanced_search(
     counted = _with_count(queries, default_results)
     variants = query_variants(_asked(counted), fv.SEARCHED_VARIANTS)
     encoded = encode(variants).withColumn("k", F.col("n") * fv.OVERFETCH)
-    hits, bound = bounded_topk(encoded, chunks)
-    merged = merge_variants(hits)
+    merged = merge_variants(similarity_topk(encoded, chunks))
     asked = with_query_insights(_asked(counted))
-    boosted = boost_by_query(attach_chunks(merged, chunks, bound).join(asked, "query_id"))
+    boosted = boost_by_query(attach_chunks(merged, chunks).join(asked, "query_id"))
     return best_hits(boosted).select(
         "query_id",
         "rank",
@@ -97,8 +98,8 @@ def retrieve_contexts(
         "n",
     )
     encoded = encode(enhanced).withColumn("k", F.col("n") * fv.OVERFETCH)
-    hits, bound = bounded_topk(encoded, chunks)
-    found = attach_chunks(hits.drop("variant", "rank"), chunks, bound)
+    hits = similarity_topk(encoded, chunks)
+    found = attach_chunks(hits.drop("variant", "rank"), chunks)
     boosted = boost_by_text(found.join(counted.select("query_id", "n"), "query_id"))
     return best_hits(boosted).select(
         "query_id",
@@ -123,9 +124,13 @@ def rag_rows(
 ) -> DataFrame:
     """Prompt, number of contexts and sources for every query.
 
+    A query that can't be answered, for want of a usable vector or of chunks, has an ``error``
+    and leaves the others alone.
+
     ``num_results`` and ``conversation_id`` may be missing, as columns or as values.
     """
     if "conversation_id" not in queries.columns:
         queries = queries.withColumn("conversation_id", F.lit(None).cast("string"))
     hits = retrieve_contexts(queries, chunks, encode, default_results)
-    return prompt_rows(queries, hits, conversations, k)
+    nothing = F.when(F.col("num_contexts") == 0, F.lit(NO_HITS))
+    return prompt_rows(queries, hits, conversations, k).withColumn("error", nothing)

@@ -12,9 +12,9 @@ from folioscope.operators.vectorize import fit_vectorizer, vectorize
 from folioscope.plans import retrieval
 
 TEXTS = [
-    "Mr Yekatom ordered attacks on Muslims in Bangui",
-    "war crimes persecution evidence sentence",
-    "Anti-Balaka forces under Yekatom command killed civilians",
+    "In Bangui Yekatom gave the order to attack Muslim homes",
+    "war crimes, evidence of persecution and the sentence",
+    "Anti-Balaka fighters whom Yekatom led killed civilians",
     "ngaissona and Ngaïssona in the Central African Republic",
     "guilty verdict, years of punishment, murder, war crime",
     "nothing to see",
@@ -32,8 +32,8 @@ def test_expansion_order_and_limit(spark):
     assert got[0] == [TEXTS[0], TEXTS[0] + " Alfred Yekatom", TEXTS[0].replace("Yekatom", "accused")]
     assert got[1][:3] == [
         TEXTS[1],
-        "war crime persecution evidence sentence",
-        "violations of the laws of war persecution evidence sentence",
+        TEXTS[1].replace("war crimes", "war crime"),
+        TEXTS[1].replace("war crimes", "violations of the laws of war"),
     ]
     assert len(got[1]) == 5
     # without the diaeresis the name still triggers, but only the exact name is replaced
@@ -48,7 +48,7 @@ def test_enhancement_grows_term_by_term(spark):
     got = apply(spark, q.enhance_query)
     assert got[0] == TEXTS[0].lower() + " defendant Yekatom"
     # "persecution" adds "persecute"; "sentence" adds "sentencing"
-    assert got[1] == "war crimes persecution evidence sentence war crime persecute sentencing"
+    assert got[1] == TEXTS[1] + " war crime persecute sentencing"
     # the text added for one term can contain a later one
     assert apply(spark, q.enhance_query, ["anti-balaka command"]) == [
         "anti-balaka command anti balaka instruct"
@@ -100,10 +100,10 @@ def brute_force(spark, queries, chunks):
     return want
 
 
-@pytest.mark.parametrize("limit, part", [(10_000, 100_000), (3, 40)])
+@pytest.mark.parametrize("limit, part", [(1 << 20, 100_000), (100, 40), (1, 7)])
 def test_topk_agrees_with_brute_force(spark, limit, part):
-    """Both ways: queries sent to the tasks, and slices against parts.  Every vector
-    occurs three times, so ties at the cut are frequent."""
+    """One slice and part, a few and many of both.  Every vector occurs three times, so ties
+    at the cut are frequent."""
     _, chunks = vectors(spark, 200, 8, 1, duplicate=True)
     rows, _ = vectors(spark, 10, 8, 2)
     queries = spark.createDataFrame(
@@ -132,13 +132,28 @@ def test_topk_with_string_ids_few_chunks_and_no_queries(spark):
     assert search.similarity_topk(spark.createDataFrame([], schema), chunks).count() == 0
 
 
-def test_dimension_mismatch_is_an_error(spark):
-    _, chunks = vectors(spark, 5, 4, 1)
+def test_unusable_vectors_leave_the_others_alone(spark):
+    nan = float("nan")
+    chunks = spark.createDataFrame(
+        [(1, [1.0, 0.0]), (2, [0.0, nan]), (3, [1.0, 0.0, 0.0]), (4, []), (5, None), (6, [0.5, None])],
+        "chunk_id bigint, embedding array<float>",
+    )
+    vectors = [[1.0, 1.0], [nan, 1.0], [2.0, 0.0, 0.0], [1.0], [], None, [None, 1.0]]
     queries = spark.createDataFrame(
-        [(1, 0, [1.0, 2.0], 3)], "query_id bigint, variant int, embedding array<float>, k int"
+        [(i, 0, v, 3) for i, v in enumerate(vectors)], "query_id bigint, variant int, embedding array<float>, k int"
     )
-    with pytest.raises(Exception, match="dimensions"):
-        search.similarity_topk(queries, chunks).collect()
+    got = search.similarity_topk(queries, chunks).collect()
+    assert {(r["query_id"], r["chunk_id"], r["similarity_score"]) for r in got} == {(0, 1, 1.0), (2, 3, 2.0)}
+
+
+def test_planning_a_search_runs_no_job(spark):
+    _, chunks = vectors(spark, 20, 4, 1)
+    queries = spark.createDataFrame([(1, 0, [1.0, 0.0, 0.0, 0.0], 3)], "query_id bigint, variant int, embedding array<float>, k int")
+    spark.sparkContext.setJobGroup("planning", "")
+    hits = search.similarity_topk(queries, chunks)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("planning")) == 0
+    spark.sparkContext.setJobGroup("running", "")
+    assert hits.count() == 3
 
 
 CHUNKS = [

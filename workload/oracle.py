@@ -365,6 +365,14 @@ hits AS (
   WHERE rank <= k)"""
 
 
+def flawed(sql: str) -> str:
+    """With the vectors of query 3 cut short, so that they meet none, and those of query 4 zero."""
+    return sql.replace(
+        "list_inner_product(c.embedding::DOUBLE[], v.embedding::DOUBLE[])",
+        "CASE WHEN w.query_id = 4 THEN 0 ELSE list_inner_product(c.embedding::DOUBLE[], v.embedding::DOUBLE[]) END",
+    ).replace("chunk_search c),", "chunk_search c WHERE w.query_id <> 3),")
+
+
 def weight(section: str) -> str:
     cases = " ".join(
         f"WHEN {lit(s)} THEN {dbl(w)}" for s, w in fv.SECTION_WEIGHTS.items()
@@ -731,6 +739,18 @@ FROM (SELECT DISTINCT query_id, unnest(regexp_split_to_array(query, '\s+')) AS t
   round((avg(relevance_score) / avg(similarity_score) - 1) * 100, 6) AS improvement_pct
 FROM boosted GROUP BY query_id""",
     ),
+    "search_metrics_with_errors": with_(
+        flawed(BOOSTED),
+        """SELECT query_id, count(*) AS result_count, round(avg(similarity_score), 6) AS avg_similarity,
+  round(avg(relevance_score), 6) AS avg_relevance,
+  round((avg(relevance_score) / nullif(avg(similarity_score), 0) - 1) * 100, 6) AS improvement_pct
+FROM boosted GROUP BY query_id""",
+    ),
+    "rag_results_with_errors": with_(
+        flawed(PROMPTS),
+        "SELECT query_id, num_contexts, sources, CASE WHEN num_contexts = 0 "
+        "THEN 'no chunk has a vector that can be compared' END AS error FROM rag",
+    ),
     "rag_retrieval": with_(
         CONTEXTS,
         f"""SELECT query_id, rank, chunk_id, content, summary, section_type, page_range,

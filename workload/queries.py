@@ -506,6 +506,34 @@ def rag_results(spark, sf):
     )
 
 
+def flawed_encoder(spark, sf):
+    """The stored vectors, but for query 3 cut short and for query 4 all zero."""
+    encode = stored_encoder(spark, sf)
+
+    def flawed(variants):
+        vector, query = F.col("embedding"), F.col("query_id")
+        zero = F.transform(vector, lambda x: x * 0)
+        return encode(variants).withColumn(
+            "embedding", F.when(query == 3, F.slice(vector, 1, 5)).when(query == 4, zero).otherwise(vector)
+        )
+
+    return flawed
+
+
+@query
+def rag_results_with_errors(spark, sf):
+    rows = retrieval.rag_rows(search_queries(spark, sf), chunk_search(spark, sf), flawed_encoder(spark, sf))
+    return rows.select("query_id", "num_contexts", source_text(F.col("sources")).alias("sources"), "error")
+
+
+@query
+def search_metrics_with_errors(spark, sf):
+    results = retrieval.enhanced_search(search_queries(spark, sf), chunk_search(spark, sf), flawed_encoder(spark, sf))
+    return rounded(
+        analytics.search_metrics(results), "avg_similarity", "avg_relevance", "improvement_pct"
+    )
+
+
 # --- changes ------------------------------------------------------------------
 
 
