@@ -365,6 +365,49 @@ hits AS (
   WHERE rank <= k)"""
 
 
+DIMENSIONS = 1024
+
+
+def bucket_counts(name: str, source: str, keys: str, text: str) -> str:
+    return rf"""
+{name}_counts AS (
+  SELECT {keys}, CAST('0x' || substr(md5(token), 1, 7) AS BIGINT) % {DIMENSIONS} AS bucket, count(*) AS tf
+  FROM (SELECT {keys}, unnest(list_filter(regexp_split_to_array(lower({text}), '\s+'), lambda x: x <> '')) AS token
+        FROM {source}) GROUP BY ALL)"""
+
+
+def unit_vectors(name: str, keys: str) -> str:
+    """``name(keys..., embedding)``: weighted bucket counts of unit length."""
+    return f"""
+{name}_weights AS (
+  SELECT {keys}, bucket, tf * coalesce(idf, (SELECT ln(count(*) + 1) FROM chunk_texts)) AS weight
+  FROM {name}_counts LEFT JOIN idf USING (bucket)),
+{name} AS (
+  SELECT {keys}, list(CAST(coalesce(weight / norm, 0) AS FLOAT) ORDER BY bucket) AS embedding
+  FROM (SELECT {keys}, norm, unnest(range({DIMENSIONS})) AS bucket
+        FROM (SELECT {keys}, sqrt(sum(weight * weight)) AS norm FROM {name}_weights GROUP BY ALL))
+  LEFT JOIN {name}_weights USING ({keys}, bucket) GROUP BY {keys})"""
+
+
+def by_text(sql: str, queries: str, text: str) -> str:
+    """``sql`` with vectors of texts on both sides in place of stored ones."""
+    model = f"""{bucket_counts('chunk_vectors', 'chunk_texts', 'chunk_id', 'content')},
+idf AS (
+  SELECT bucket, ln((SELECT count(*) + 1 FROM chunk_texts) / (count(*) + 1)) AS idf
+  FROM chunk_vectors_counts GROUP BY bucket),
+{bucket_counts('query_vectors', queries, 'query_id, variant', text)},
+{unit_vectors('chunk_vectors', 'chunk_id')},
+{unit_vectors('query_vectors', 'query_id, variant')},
+pairs AS ("""
+    return (
+        sql.replace("\npairs AS (", model, 1)
+        .replace("JOIN embeddings v ON v.vec_id = (w.query_id * 7 + w.variant * 11) % (SELECT count(*) FROM embeddings)",
+                 "JOIN query_vectors v ON v.query_id = w.query_id AND v.variant = w.variant")
+        .replace("\n       chunk_search c)", "\n       chunk_vectors c)")
+        .replace("JOIN chunk_search USING", "JOIN chunk_texts USING")
+    )
+
+
 def flawed(sql: str) -> str:
     """With the vectors of query 3 cut short, so that they meet none, and those of query 4 zero."""
     return sql.replace(
@@ -738,6 +781,27 @@ FROM (SELECT DISTINCT query_id, unnest(regexp_split_to_array(query, '\s+')) AS t
   round(avg(relevance_score), 6) AS avg_relevance,
   round((avg(relevance_score) / avg(similarity_score) - 1) * 100, 6) AS improvement_pct
 FROM boosted GROUP BY query_id""",
+    ),
+    "text_similarity": with_(
+        by_text(
+            f"{SEARCH}, asked AS (SELECT item_id AS query_id, 0 AS variant, text AS query_text FROM benchmark), {topk('asked', '5')}",
+            "asked",
+            "query_text",
+        ),
+        f"SELECT query_id, variant, chunk_id, {r6('similarity_score')}, rank FROM hits",
+    ),
+    "text_search": with_(
+        by_text(BOOSTED, "variants", "query_text"),
+        f"""SELECT query_id, rank, chunk_id, summary, section_type, page_range, section_weight,
+  {r6('similarity_score', 'relevance_score')},
+  round(CASE WHEN relevance_score <> 0 AND similarity_score > 0
+        THEN relevance_score / similarity_score ELSE 1 END, 6) AS improvement_factor,
+  'applied' AS data_driven_boost FROM boosted""",
+    ),
+    "text_rag": with_(
+        by_text(CONTEXTS, f"(SELECT query_id, 0 AS variant, enhanced FROM ({enhanced()}))", "enhanced"),
+        f"""SELECT query_id, rank, chunk_id, summary, section_type, page_range,
+  {r6('similarity_score', 'relevance_score')} FROM contexts""",
     ),
     "search_metrics_with_errors": with_(
         flawed(BOOSTED),

@@ -15,7 +15,7 @@ from folioscope import fixed_values as fv
 from folioscope.functions import queries as q
 from folioscope.operators import analytics, chunks, conservative, extraction, lines, prompt, search
 from folioscope.operators.summary import with_summary
-from folioscope.operators.vectorize import fit_vectorizer, vectorize
+from folioscope.operators.vectorize import fit_vectorizer, text_encoder, vectorize
 from folioscope.plans import documents, retrieval
 from folioscope.sources import pages as page_source
 from folioscope.sources.tables import table_counts
@@ -432,6 +432,26 @@ def text_similarity(spark, sf):
     return rounded(hits, "similarity_score")
 
 
+def by_text(spark, sf):
+    """All chunks with vectors of their texts, and the encoder of query texts."""
+    base = chunk_texts(spark, sf)
+    model = fit_vectorizer(base)
+    return vectorize(base, model, "content"), text_encoder(model)
+
+
+@query
+def text_search(spark, sf):
+    """The rewritten query texts decide what is found."""
+    results = retrieval.enhanced_search(search_queries(spark, sf), *by_text(spark, sf))
+    return rounded(results, "similarity_score", "relevance_score", "improvement_factor").drop("content")
+
+
+@query
+def text_rag(spark, sf):
+    found = retrieval.retrieve_contexts(search_queries(spark, sf), *by_text(spark, sf))
+    return rounded(found, "similarity_score", "relevance_score").drop("content")
+
+
 def contexts(spark, sf):
     return retrieval.retrieve_contexts(
         search_queries(spark, sf), chunk_search(spark, sf), stored_encoder(spark, sf)
