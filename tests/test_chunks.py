@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from folioscope.operators import chunks, extraction, packing
+from folioscope.operators import analytics, chunks, extraction, packing
 from folioscope.operators.blocks import page_block
 
 
@@ -103,6 +103,18 @@ def test_main_text_chunks(make_pages):
     ]
 
 
+def test_reports_shuffle_no_text(make_pages):
+    pages = make_pages([(1, i, f"I. OVERVIEW\n[{i}] The text of paragraph {i} is long enough to be one.") for i in range(1, 30)])
+    index = chunks.chunk_index(pages, 30)
+    whole = chunks.flatten_chunks(chunks.main_text_chunks(pages, 30))
+    assert index.agg({"token_count": "sum", "paragraph_count": "sum", "*": "count"}).first() == whole.agg(
+        {"token_count": "sum", "paragraph_count": "sum", "*": "count"}
+    ).first()
+    for report in (analytics.section_coverage, analytics.token_stats, analytics.token_histogram, analytics.section_distribution):
+        plan = report(index)._jdf.queryExecution().executedPlan().toString()
+        assert "content" not in plan and "paragraphs" not in plan
+
+
 def test_document_info_replaces_the_case_columns(spark, make_pages):
     flat = chunks.flatten_chunks(chunks.main_text_chunks(make_pages([(1, 1, body(1, 20)), (2, 1, body(1, 20))])))
     info = spark.createDataFrame(

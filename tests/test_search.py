@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from folioscope import fixed_values as fv
 from folioscope.functions import queries as q
 from folioscope.operators import analytics, search
-from folioscope.operators.vectorize import fit_vectorizer, vectorize
+from folioscope.operators.vectorize import fit_vectorizer, text_encoder, vectorize
 from folioscope.plans import retrieval
 
 TEXTS = [
@@ -252,3 +252,33 @@ def test_text_vectors_find_the_same_text(spark):
     got = hits.collect()
     assert all(r["query_id"] == r["chunk_id"] for r in got) and len(got) == len(TEXTS)
     assert all(r["similarity_score"] == pytest.approx(1, abs=1e-5) for r in got)
+
+
+def test_the_rewritten_text_decides_what_is_found(spark, monkeypatch):
+    texts = ["tribunal of the northern province", "quiet village by the river", "tribunal", "something else"]
+    base = spark.createDataFrame(
+        [(i, t, None, "HEADER", "1-1") for i, t in enumerate(texts)],
+        "chunk_id bigint, content string, summary string, section_type string, page_range string",
+    )
+    model = fit_vectorizer(base, dimensions=256)
+    queries = spark.createDataFrame([(1, "village", 1)], "query_id bigint, query string, num_results int")
+    corpus_vectors, encoder = vectorize(base, model, "content"), text_encoder(model)
+    assert [r["chunk_id"] for r in retrieval.retrieve_contexts(queries, corpus_vectors, encoder).collect()] == [1]
+    monkeypatch.setattr(retrieval, "enhance_query", lambda query: F.concat(F.replace(query, F.lit("village"), F.lit("")), F.lit("tribunal")))
+    assert [r["chunk_id"] for r in retrieval.retrieve_contexts(queries, corpus_vectors, encoder).collect()] == [2]
+
+
+def test_a_failing_query_leaves_a_row_with_an_error(spark):
+    queries = spark.createDataFrame([(1, TEXTS[0], 2), (2, None, 2), (3, "x", 2)], "query_id bigint, query string, num_results int")
+
+    def cut_short(df):
+        return encode(df).withColumn("embedding", F.when(F.col("query_id") == 3, F.slice("embedding", 1, 2)).otherwise(F.col("embedding")))
+
+    rows = {r["query_id"]: r for r in retrieval.rag_rows(queries, corpus(spark), cut_short).collect()}
+    assert rows[1]["error"] is None and rows[1]["num_contexts"] == 2
+    assert all(rows[i]["error"] == retrieval.NO_HITS and rows[i]["prompt"]["human"] for i in (2, 3))
+
+
+def test_metrics_of_hits_without_similarity(spark):
+    results = spark.createDataFrame([(1, 0.0, 0.0), (2, 0.5, 0.75)], "query_id int, similarity_score double, relevance_score double")
+    assert {r["query_id"]: r["improvement_pct"] for r in analytics.search_metrics(results).collect()} == {1: None, 2: pytest.approx(50)}

@@ -146,6 +146,31 @@ def test_change_types(spark):
     }
 
 
+def test_changes_over_a_change_of_columns(spark):
+    old = spark.createDataFrame([(1, "a", 7), (2, "b", 8), (3, None, 9)], "chunk_id int, content string, gone int")
+    new = spark.createDataFrame([(1, "a", "s"), (3, None, None), (4, "d", "t")], "chunk_id int, content string, summary string")
+    diff = snapshot_diff(old, new)
+    assert diff.columns == ["chunk_id", "content", "summary", "gone", "_change_type"]
+    assert {tuple(r) for r in diff.collect()} == {
+        (1, "a", None, 7, "update_preimage"), (1, "a", "s", None, "update_postimage"),
+        (2, "b", None, 8, "delete"), (4, "d", "t", None, "insert"),
+        (3, None, None, 9, "update_preimage"), (3, None, None, None, "update_postimage"),
+    }
+
+
+def test_a_stale_name_does_not_stop_a_replacement(spark, pages):
+    tables.save_table(pages, "renewed")
+    tables.save_table(pages.limit(1), "renewed__previous")
+    tables.replace_table(spark.table("renewed").withColumn("extra", F.lit(1)), "renewed")
+    assert "extra" in spark.table("renewed").columns
+    assert not spark.catalog.tableExists("renewed__previous")
+
+
+def test_sections_without_summaries_have_no_ratio(spark):
+    rows = spark.createDataFrame([("A", "text", ""), ("B", "text", "te")], "section_type string, content string, summary string")
+    assert {r["section_type"]: r["length_ratio"] for r in analytics.corpus_profile(rows).collect()} == {"A": None, "B": 2.0}
+
+
 def test_number_reports(spark):
     df = spark.createDataFrame([(n,) for n in ["9", "10", "x", "10", None, "99999999999999999999"]], "n string")
     first = analytics.distinct_numbers(df.where("n IS NOT NULL"), "n", 2).collect()
