@@ -207,3 +207,31 @@ HUMAN_PROMPT_CLOSING = (
     "context provided."
 )
 NO_CONTEXT = "No relevant context found."
+
+# --- starts of footnotes and paragraphs ---------------------------------------
+
+# A number and its blank at the head of a line, the blank not being the line break.
+FOOTNOTE_START = r"\d{1,3}[^\S\n]"
+PARAGRAPH_START = r"^\d{1,4}\."
+
+# --- confidence of conservative footnotes: pattern, ignore case, weight --------
+
+CONSERVATIVE_CONFIDENCE_WEIGHTS = [
+    (r"ICC-\d+/\d+", False, 0.3),
+    (r"[A-Z][a-z]+ v\. [A-Z]", False, 0.3),
+    (r"para\.?\s+\d+", True, 0.2),
+    (r"Article\s+\d+", True, 0.2),
+    (r"(See|Cf\.)\s+", False, 0.1),
+]
+KEYWORD_WEIGHT, MAX_KEYWORD_WEIGHT = 0.1, 0.3
+SHORT_FOOTNOTE_LENGTH, SHORT_FOOTNOTE_WEIGHT = 20, -0.3
+
+# --- bands of the token histogram: name, from, to -------------------------------
+
+TOKEN_BANDS = [
+    ("tokens_0_200", None, 200),
+    ("tokens_201_400", 201, 400),
+    ("tokens_401_600", 401, 600),
+    ("tokens_601_800", 601, 800),
+    ("tokens_800_plus", 801, None),
+]

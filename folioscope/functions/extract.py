@@ -29,9 +29,7 @@ from folioscope.functions.text import (
     word_count,
 )
 
-# A number and its blank at the head of a line, the blank not being the line break.
-FOOTNOTE_START = r"\d{1,3}[^\S\n]"
-PARAGRAPH_START = r"^\d{1,4}\."
+FOOTNOTE_START, PARAGRAPH_START = fv.FOOTNOTE_START, fv.PARAGRAPH_START
 
 
 def is_footnote(text: Column, date_patterns: Sequence[str] = fv.DATE_PATTERNS) -> Column:
@@ -173,13 +171,14 @@ def conservative_confidence(text: Column) -> Column:
     def add(score: Column, condition: Column, value: float) -> Column:
         return score + F.when(condition, F.lit(value)).otherwise(F.lit(0.0))
 
-    score = add(F.lit(0.0), found(text, r"ICC-\d+/\d+"), 0.3)
-    score = add(score, found(text, r"[A-Z][a-z]+ v\. [A-Z]"), 0.3)
-    score = add(score, found(text, r"para\.?\s+\d+", ignore_case=True), 0.2)
-    score = add(score, found(text, r"Article\s+\d+", ignore_case=True), 0.2)
-    score = score + F.least(keywords * F.lit(0.1), F.lit(0.3))
-    score = add(score, F.length(text) < 20, -0.3)
-    score = add(score, found(text, r"(See|Cf\.)\s+"), 0.1)
+    before, after = fv.CONSERVATIVE_CONFIDENCE_WEIGHTS[:4], fv.CONSERVATIVE_CONFIDENCE_WEIGHTS[4:]
+    score = F.lit(0.0)
+    for pattern, ignore_case, value in before:
+        score = add(score, found(text, pattern, ignore_case=ignore_case), value)
+    score = score + F.least(keywords * F.lit(fv.KEYWORD_WEIGHT), F.lit(fv.MAX_KEYWORD_WEIGHT))
+    score = add(score, F.length(text) < fv.SHORT_FOOTNOTE_LENGTH, fv.SHORT_FOOTNOTE_WEIGHT)
+    for pattern, ignore_case, value in after:
+        score = add(score, found(text, pattern, ignore_case=ignore_case), value)
     return F.least(score, F.lit(1.0))
 
 

@@ -12,14 +12,6 @@ from pyspark.sql import functions as F
 from folioscope import fixed_values as fv
 from folioscope.functions.text import any_contained
 
-TOKEN_BANDS = [
-    ("tokens_0_200", None, 200),
-    ("tokens_201_400", 201, 400),
-    ("tokens_401_600", 401, 600),
-    ("tokens_601_800", 601, 800),
-    ("tokens_800_plus", 801, None),
-]
-
 
 def distinct_numbers(table: DataFrame, column: str, limit: int = 20) -> DataFrame:
     """The first ``limit`` distinct numbers in text order."""
@@ -76,7 +68,7 @@ def token_histogram(chunks: DataFrame) -> DataFrame:
             return tokens <= high
         return tokens >= low if high is None else tokens.between(low, high)
 
-    return chunks.agg(*[F.count_if(band(lo, hi)).alias(name) for name, lo, hi in TOKEN_BANDS])
+    return chunks.agg(*[F.count_if(band(lo, hi)).alias(name) for name, lo, hi in fv.TOKEN_BANDS])
 
 
 def conservative_statistics(chunks: DataFrame, footnotes: DataFrame) -> DataFrame:
