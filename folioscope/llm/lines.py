@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.storage import cut
+from folioscope.llm.storage import store
 
 MIN_NEAR = 8
 SPACE = "[\\x20\\x09-\\x0D]+"
@@ -32,7 +32,9 @@ SPACE = "[\\x20\\x09-\\x0D]+"
 
 def line_words(line: Column) -> Column:
     """The lower-cased words of a line."""
-    return F.filter(F.split(F.lower(line), SPACE), lambda word: word != "")
+    # a single character is split at without a regular expression, and blanks are the rule
+    blanks = F.when(line.rlike("[\\x09-\\x0D]"), F.regexp_replace(line, SPACE, " ")).otherwise(line)
+    return F.array_remove(F.split(F.lower(blanks), " "), "")
 
 
 def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -53,19 +55,36 @@ def _half_keys(words: Column, n: Column) -> Column:
     return F.array(*keys)
 
 
+def _running(hashes: Column) -> Column:
+    """Exclusive ors of the first 0, 1, 2, ... values."""
+    zero = F.array(F.lit(0).cast("bigint"))
+    return F.aggregate(hashes, zero, lambda out, h: F.concat(out, F.array(F.element_at(out, -1).bitwiseXOR(h))))
+
+
 def _neighbourhood(words: Column) -> Column:
-    """The line, at place 0, and every variant with one word left out, at that word's place."""
+    """The line, at place 0, and every variant with one word left out, at that word's place.
+
+    A sequence is the exclusive or of the hashes of its words with their positions; behind a
+    gap a word counts at the position before."""
     n = F.size(words)
-    return F.transform(
-        F.sequence(F.lit(0), n),
-        lambda p: F.struct(
-            p.alias("place"),
-            F.when(p == 0, F.xxhash64(words))
-            .otherwise(F.xxhash64(F.concat(F.slice(words, 1, F.greatest(p - 1, F.lit(0))), F.slice(words, p + 1, n))))
-            .alias("variant"),
-        ),
+    parts = F.struct(
+        _running(F.transform(words, lambda word, i: F.xxhash64(word, i))).alias("head"),
+        _running(F.reverse(F.transform(words, lambda word, i: F.xxhash64(word, i - 1)))).alias("tail"),
     )
 
+    def variants(p: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), n),
+            lambda place: F.struct(
+                place.alias("place"),
+                F.when(place == 0, F.get(p["head"], n))
+                .otherwise(F.get(p["head"], place - 1).bitwiseXOR(F.get(p["tail"], n - place)))
+                .alias("variant"),
+            ),
+        )
+
+    return F.flatten(F.transform(F.array(parts), variants))
+
 
 def _within_one_edit(x: Column, y: Column) -> Column:
     """Common words at the start and at the end leave at most one word between them."""
@@ -112,33 +131,28 @@ def _with_words(candidates: DataFrame, docs: DataFrame) -> DataFrame:
 
 def _near_repeats(candidates: DataFrame) -> DataFrame:
     """``line``: distinct lines that an earlier line lies within one edit of."""
-    variants = cut(
-        candidates.select("line", "at", F.explode(_neighbourhood(F.col("words"))).alias("v")).select(
-            "line", "at", "v.place", "v.variant"
-        )
+    # ids of rows in a sorted table grow with their place, and are small to carry around
+    ranked = store(candidates.orderBy("at").select("line", "words", F.monotonically_increasing_id().alias("rank")))
+    variants = store(
+        ranked.select("rank", F.explode(_neighbourhood(F.col("words"))).alias("v")).select("rank", "v.place", "v.variant")
     )
     short, whole = variants.where("place > 0"), variants.where("place = 0")
-    first = short.groupBy("variant", "place").agg(F.min_by("line", "at").alias("other"))
-    replaced = short.join(first, ["variant", "place"]).where("line <> other").select("line", "other")
-    full = whole.select("variant", F.col("line").alias("other"), F.col("at").alias("other_at"))
-    one_more = short.join(full, "variant").where("line <> other")
-    later = F.col("at") > F.col("other_at")
-    moved = one_more.select(
-        F.when(later, F.col("line")).otherwise(F.col("other")).alias("line"),
-        F.when(later, F.col("other")).otherwise(F.col("line")).alias("other"),
-    )
+    first = short.groupBy("variant", "place").agg(F.min("rank").alias("other"))
+    replaced = short.join(first, ["variant", "place"]).where("rank <> other").select("rank", "other")
+    one_more = short.join(whole.select("variant", F.col("rank").alias("other")), "variant").where("rank <> other")
+    moved = one_more.select(F.greatest("rank", "other").alias("rank"), F.least("rank", "other").alias("other"))
     pairs = replaced.union(moved).distinct()
-    words = candidates.select("line", "words")
-    met = pairs.join(words, "line").join(words.select(F.col("line").alias("other"), F.col("words").alias("others")), "other")
+    met = pairs.join(ranked.select("rank", "line", "words"), "rank")
+    met = met.join(ranked.select(F.col("rank").alias("other"), F.col("words").alias("others")), "other")
     return met.where(_within_one_edit(F.col("words"), F.col("others"))).select("line").distinct()
 
 
 def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_near: int = MIN_NEAR) -> DataFrame:
     """Per document that has any: ``doc_hash``, ``key`` and the places of its repeated lines."""
     narrow = _documents(docs, doc_id, text)
-    lines = cut(_line_table(narrow, min_near))
-    distinct = cut(lines.groupBy("line").agg(F.min("at").alias("at"), F.first("halves").alias("halves")))
-    candidates = cut(_with_words(_candidates(distinct), narrow))
+    lines = store(_line_table(narrow, min_near))
+    distinct = store(lines.groupBy("line").agg(F.min("at").alias("at"), F.first("halves").alias("halves")))
+    candidates = store(_with_words(_candidates(distinct), narrow))
     near = _near_repeats(candidates).withColumn("near", F.lit(True))
     first = distinct.select("line", F.col("at").alias("first")).join(near, "line", "left")
     gone = lines.select("line", "at").join(first, "line").where((F.col("at") != F.col("first")) | F.col("near"))

@@ -3,16 +3,32 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame
 
 
-def cut(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """``df`` written once to the checkpoint folder and read back, so that a lost executor
-    costs no recomputation and no branch runs twice. The folder is the session's
-    ``spark.checkpoint.dir``; only a session without one (tests) gets a temporary folder."""
-    context = df.sparkSession.sparkContext
+def _folder(context: SparkContext) -> str:
+    """The session's ``spark.checkpoint.dir``; only a session without one (tests) gets a
+    temporary folder."""
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="run-", dir="/tmp")
         context.setCheckpointDir(folder)
-    return (df if partitions is None else df.coalesce(partitions)).checkpoint(eager=True)
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written once to the checkpoint folder and read back, so that a lost executor
+    costs no recomputation and no branch runs twice. Keeps the partitioning."""
+    _folder(df.sparkSession.sparkContext)
+    return df.checkpoint(eager=True)
+
+
+def store(df: DataFrame) -> DataFrame:
+    """The same by a Parquet table in the checkpoint folder: compressed, and read by column, but
+    without its partitioning. The folder keeps it until it is cleaned."""
+    spark = df.sparkSession
+    path = f"{_folder(spark.sparkContext)}/table-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
