@@ -72,20 +72,21 @@ def best_paths(messages: DataFrame, top: int = 1) -> DataFrame:
         above = state.select(
             F.col("node").alias("up"), F.col("up").alias("next"), F.col("score").alias("more"), F.col("steps").alias("far")
         )
-        state = cut(
-            state.join(above, "up", "left").select(
-                "node",
-                F.col("next").alias("up"),
-                (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"),
-                (F.col("steps") + F.coalesce("far", F.lit(0))).alias("steps"),
-            )
+        # a message that has reached its root waits; only the others go on
+        further = state.where("up is not null").join(above, "up").select(
+            "node",
+            F.col("next").alias("up"),
+            (F.col("score") + F.col("more")).alias("score"),
+            (F.col("steps") + F.col("far")).alias("steps"),
         )
+        state = cut(state.where("up is null").union(further.select(*state.columns)))
     rooted = state.where("up is null").select("node", "score", (F.col("steps") - 1).alias("depth"))
 
     leaves = rooted.join(real.select(F.col("up").alias("node")).distinct(), "node", "left_anti")
     path = leaves.select(F.col("node").alias("leaf"), "node", "score")
     for jump in jumps:
-        path = path.union(path.join(jump, "node").select("leaf", F.col("up").alias("node"), "score"))
+        # each round doubles what is known of a path, and would double the plan as well
+        path = cut(path.union(path.join(jump, "node").select("leaf", F.col("up").alias("node"), "score")))
     path = cut(path.join(rooted.select("node", "depth"), "node"))
     roots = path.where("depth = 0").select("leaf", F.col("node").alias("root"), "score")
     by_score = Window.partitionBy("root").orderBy(F.col("score").desc(), "leaf")
