@@ -65,3 +65,18 @@ def test_a_long_chain(spark):
     rows = [(1, turn, "assistant", f"t{turn}", "", 0) for turn in range(700)]
     [r] = chat.with_digests(formatted(spark, rows)).collect()
     assert r.n_turns == 700 and r.loss_sha256 == hashlib.sha256("".join(f"t{i}" for i in range(700)).encode()).hexdigest()
+
+
+def test_query_agrees_with_sql(spark):
+    import duckdb
+
+    from folioscope.llm import registry
+
+    folder = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW conversations AS SELECT * FROM '{folder}/conversations.parquet'")
+    df = registry.QUERIES["op9_chat_formatting"](spark, folder)
+    want = con.sql(registry.ORACLE["op9_chat_formatting"])
+    order = ", ".join(df.columns)
+    assert sorted(map(tuple, df.collect())) == sorted(con.sql(f"SELECT {order} FROM ({registry.ORACLE['op9_chat_formatting']})").fetchall())
+    assert sorted(df.columns) == sorted(want.columns)

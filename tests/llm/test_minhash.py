@@ -99,3 +99,20 @@ def test_components_of_chains_stars_and_loops(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {i: 1 for i in range(1, 31)} | {i: 100 for i in range(100, 140)} | {200: 200, 201: 200}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_bitmaps_never_rule_out_a_similar_pair(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    draw = random.Random(8)
+    pairs = []
+    for _ in range(60):
+        size = draw.choice([1, 5, 40, 400, 4000])
+        one = {draw.randrange(1 << 60) for _ in range(size)}
+        other = set(draw.sample(sorted(one), len(one) - draw.randint(0, len(one) // 8))) | {draw.randrange(1 << 60) for _ in range(draw.randint(0, size // 8))}
+        bits = [minhash._bitmaps(np.array(sorted(s), np.uint64), np.array([len(s)]))[0].tolist() for s in (one, other)]
+        pairs.append((len(one), bits[0], len(other), bits[1], 100 * len(one & other) >= 80 * len(one | other)))
+    table = spark.createDataFrame(pairs, "n int, x array<bigint>, m int, y array<bigint>, similar boolean")
+    kept = table.select("similar", minhash._may_share(F.col("n"), F.col("x"), F.col("m"), F.col("y"), 80).alias("may")).collect()
+    assert all(r.may for r in kept if r.similar) and any(r.similar for r in kept) and any(not r.may for r in kept)
