@@ -5,15 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark import SparkContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def _folder(context: SparkContext) -> str:
+def _folder(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``; only a session without one (tests) gets a
     temporary folder."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-", dir="/tmp")
         context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
@@ -21,7 +21,7 @@ def _folder(context: SparkContext) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written once to the checkpoint folder and read back, so that a lost executor
     costs no recomputation and no branch runs twice. Keeps the partitioning."""
-    _folder(df.sparkSession.sparkContext)
+    _folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -29,6 +29,6 @@ def store(df: DataFrame) -> DataFrame:
     """The same by a Parquet table in the checkpoint folder: compressed, and read by column, but
     without its partitioning. The folder keeps it until it is cleaned."""
     spark = df.sparkSession
-    path = f"{_folder(spark.sparkContext)}/table-{uuid.uuid4()}"
+    path = f"{_folder(spark)}/table-{uuid.uuid4()}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
