@@ -17,6 +17,8 @@ PER_HEAD = WIDTH // HEADS
 #: Clusters of so many classes each.
 CLUSTERS, MEMBERS = 32, 32
 CLASSES = CLUSTERS * MEMBERS
+#: Windows that are scored side by side.
+WINDOWS = 512
 #: Classes with a meaning of their own: the end (and start) of a text, all rare ids, no token.
 END, RARE, NONE = 0, 1, CLASSES
 
@@ -72,7 +74,9 @@ def _softmax(s: np.ndarray) -> np.ndarray:
 _TOP = np.float32(60)
 
 
-def _log_softmax_at(s: np.ndarray, at: np.ndarray) -> np.ndarray:
+def _log_softmax_at(h: np.ndarray, weight: np.ndarray, bias: np.ndarray, at: np.ndarray) -> np.ndarray:
+    s = h @ weight
+    s += bias
     np.minimum(s, _TOP, out=s)
     picked = s.ravel()[np.arange(len(s)) * s.shape[1] + at]
     np.exp(s, out=s)
@@ -89,8 +93,8 @@ class Scorer:
 
     def __init__(self, p: Weights):
         self.p = p
-        self.bias = p["near"][:, _FAR].astype(np.float32)
-        self.causal = _CAUSAL.astype(np.float32)
+        # what comes later has less weight than a sum of 32 bits can tell from none
+        self.bias = np.where(_CAUSAL, p["near"][:, _FAR], np.float32(-85)).astype(np.float32)
         self.queries = (p["embed"] @ p["query"] * np.float32(PER_HEAD**-0.5)).astype(np.float32)
         self.keys = (p["embed"] @ p["key"]).astype(np.float32)
         values = np.split((p["embed"] @ p["value"]).astype(np.float32), HEADS, axis=1)
@@ -99,7 +103,7 @@ class Scorer:
         self.values = np.concatenate([x for v in values for x in (v, one)], axis=1)
         self.values[NONE] = 0
         reach = np.linalg.norm(self.queries, axis=1).max() * np.linalg.norm(self.keys, axis=1).max()
-        self.bounded = reach + np.abs(self.bias).max() < _TOP
+        self.bounded = reach + np.abs(p["near"]).max() < 20
 
     def _attend(self, q: np.ndarray, k: np.ndarray, v: np.ndarray, head: int) -> np.ndarray:
         def windows(x: np.ndarray, width: int) -> np.ndarray:
@@ -113,12 +117,12 @@ class Scorer:
         if not self.bounded:
             np.clip(s, -_TOP, _TOP, out=s)
         np.exp(s, out=s)
-        s *= self.causal
+        if not self.bounded:
+            s *= _CAUSAL
         o = np.matmul(s, windows(v, PER_HEAD + 1)).reshape(-1, PER_HEAD + 1)
         return o[:, :PER_HEAD] / np.maximum(o[:, PER_HEAD:], 1e-30)
 
-    def log_probabilities(self, stream: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Natural logarithms of ``target``, one for every input of ``stream`` after its first block."""
+    def _hidden(self, stream: np.ndarray) -> np.ndarray:
         p = self.p
         q, k, v = self.queries[stream], self.keys[stream], self.values[stream]
         h = p["embed"][stream[STRIDE:]]
@@ -127,15 +131,22 @@ class Scorer:
         inner += p["wide_b"]
         np.maximum(inner, 0, out=inner)
         h += inner @ p["narrow"]
+        return h
+
+    def log_probabilities(self, stream: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Natural logarithms of ``target``, one for every input of ``stream`` after its first block."""
+        p, step = self.p, WINDOWS * STRIDE
+        parts = [self._hidden(stream[at : at + step + STRIDE]) for at in range(0, len(target), step)]
+        h = np.concatenate(parts)
         cluster = target // MEMBERS
         order = np.argsort(cluster.astype(np.uint8), kind="stable")
         h, target, cluster = h[order], target[order], cluster[order]
-        found = _log_softmax_at(h @ p["group"] + p["group_b"], cluster)
+        found = _log_softmax_at(h, p["group"], p["group_b"], cluster)
         bounds = np.searchsorted(cluster, np.arange(CLUSTERS + 1))
         for g in range(CLUSTERS):
             rows = slice(bounds[g], bounds[g + 1])
             if rows.start < rows.stop:
-                found[rows] += _log_softmax_at(h[rows] @ p["member"][g] + p["member_b"][g], target[rows] % MEMBERS)
+                found[rows] += _log_softmax_at(h[rows], p["member"][g], p["member_b"][g], target[rows] % MEMBERS)
         out = np.empty_like(found)
         out[order] = found
         return out

@@ -35,12 +35,13 @@ from folioscope.llm import attention
 from folioscope.llm import words as w
 from folioscope.llm.attention import CLASSES, END, NONE, RARE, SPAN, STRIDE
 from folioscope.llm.storage import cut
-from folioscope.llm.tokens import Splitter, id_bytes
+from folioscope.llm.tokens import _CACHES, Cache, Splitter, id_bytes
 
 #: Bound of the words that every task knows.
 FREQUENT = 1 << 18
-#: Windows from each text, windows of a trainer, rounds of averaging, steps of a round at least.
-PIECES, PER_TRAINER, ROUNDS, STEPS, BATCH = 2, 40_000, 3, 150, 128
+#: Windows from each text, windows of a trainer, rounds of averaging; steps of a round, if
+#: that takes no more than so many passes.
+PIECES, PER_TRAINER, ROUNDS, STEPS, EPOCHS, BATCH = 2, 100_000, 3, 250, 8, 128
 RATE = 0.004
 #: A window's ids with the one that follows; NO_ID where there is none.
 WINDOW, NO_ID = SPAN + 1, -1
@@ -56,14 +57,16 @@ class Subwords:
         splitter = Splitter(path)
         self.size = splitter.library.get_vocab_size()
         self.end = self.size
-        cache, _ = splitter.caches(path, id_bytes)
-        self._get = cache.__getitem__
+        key = "word", path, id_bytes
+        if key not in _CACHES:
+            _CACHES[key] = Cache(lambda word: id_bytes(splitter.whole_ids(f" {word.decode()}")))
+        self._get = _CACHES[key].__getitem__
 
     def of(self, words: list[bytes]) -> bytes:
-        return b"".join([self._get(word.decode()) for word in words])
+        return b"".join(map(self._get, words))
 
     def each(self, words: list[bytes]) -> list[bytes]:
-        return [self._get(word.decode()) for word in words]
+        return list(map(self._get, words))
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[bytes]:
@@ -148,14 +151,11 @@ def _unflatten(flat: np.ndarray, like: attention.Weights) -> attention.Weights:
 
 
 def _trainer(shared, number: int):
-    """One round over the windows of a partition: its weights and how many windows it saw."""
+    """One round over the windows of a trainer: its weights and how many windows it saw."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(part: pd.DataFrame) -> pd.DataFrame:
         flat, own, like = shared.value
-        parts = [np.frombuffer(b"".join(batch["window"]), "<i4").reshape(-1, WINDOW) for batch in batches]
-        ids = np.concatenate(parts) if parts else np.zeros((0, WINDOW), np.int32)
-        if not len(ids):
-            return
+        ids = np.frombuffer(b"".join(part["window"]), "<i4").reshape(-1, WINDOW)
         table = np.append(own, NONE)  # NO_ID is the last
         classes = table[ids].astype(np.int64)
         inputs, targets = classes[:, :SPAN], classes[:, STRIDE + 1 :]
@@ -163,14 +163,16 @@ def _trainer(shared, number: int):
         targets = np.where(mask, targets, 0)
         p = _unflatten(flat, like)
         adam, rng = attention.Adam(p, RATE), np.random.default_rng(number)
-        steps = max(STEPS, -(-len(ids) // BATCH))
+        once = -(-len(ids) // BATCH)
+        # few windows are gone through several times, but not until they are known by heart
+        steps = once * min(EPOCHS, -(-STEPS // once))
         order = rng.permutation(len(ids))
         for step in range(steps):
             at = np.take(order, np.arange(step * BATCH, (step + 1) * BATCH), mode="wrap")
             _, grads = attention.gradients(p, inputs[at], targets[at], mask[at])
             done = (number + step / steps) / ROUNDS
             adam.update(grads, min(1.0, 2 * (1 - done)) * min(1.0, (step + 1) / 20))
-        yield pd.DataFrame({"weights": [_flatten(p)], "n": [len(ids)]})
+        return pd.DataFrame({"weights": [_flatten(p)], "n": [len(ids)]})
 
     return run
 
@@ -178,15 +180,18 @@ def _trainer(shared, number: int):
 def _train(gathered: DataFrame, own: np.ndarray, counts: np.ndarray) -> attention.Weights:
     spark = gathered.sparkSession
     p = attention.start(counts)
-    flat_windows = gathered.where(F.size("windows") > 0).mapInArrow(_split_windows, "window binary")
     total = gathered.agg(F.sum(F.size("windows"))).first()[0] or 0
     if not total:
         return p
-    trainers = max(4, total // WINDOW // PER_TRAINER)
-    windows = cut(flat_windows.repartition(int(trainers), F.xxhash64("window")).withColumn("round", F.pmod(F.xxhash64("window", F.lit(1)), F.lit(ROUNDS))))
+    trainers = max(1, total // WINDOW // PER_TRAINER)
+    windows = gathered.where(F.size("windows") > 0).select("windows").mapInArrow(_split_windows, "window binary")
+    # dealt by row, not by content: copies spread over all trainers
+    row = F.xxhash64(F.monotonically_increasing_id())
+    windows = cut(windows.withColumn("trainer", F.pmod(row, F.lit(trainers))).withColumn("round", F.pmod(F.shiftright(row, 32), F.lit(ROUNDS))))
     for number in range(ROUNDS):
         shared = spark.sparkContext.broadcast((_flatten(p), own, p))
-        found = windows.where(F.col("round") == number).select("window").mapInPandas(_trainer(shared, number), "weights array<float>, n bigint")
+        part = windows.where(F.col("round") == number).select("trainer", "window")
+        found = part.groupBy("trainer").applyInPandas(_trainer(shared, number), "weights array<float>, n bigint")
         # averaged place by place, with partial sums before the shuffle
         places = found.select("n", F.posexplode("weights").alias("place", "weight"))
         mean = places.groupBy("place").agg((F.sum(F.col("weight").cast("double") * F.col("n")) / F.sum("n")).alias("weight"))
@@ -248,7 +253,7 @@ def _score(path: str, shared):
                 ids = [np.frombuffer(subwords.of(raw[a:b].split()), "<u4") for a, b in zip(offsets[:-1], offsets[1:])]
                 inputs, targets, owner = _streams(ids, own, subwords.end)
                 score = np.zeros(n)
-                step = 512 * STRIDE
+                step = 4 * attention.WINDOWS * STRIDE
                 for begin in range(0, len(inputs) - STRIDE, step):
                     end = min(begin + step, len(inputs) - STRIDE)
                     logp = scorer.log_probabilities(inputs[begin : end + STRIDE], targets[begin + STRIDE : end + STRIDE])
@@ -273,6 +278,19 @@ def _score(path: str, shared):
     return run
 
 
+def _least_frequent(words: DataFrame, bound: int = FREQUENT) -> int:
+    """A count that at most ``bound`` words reach, from the sizes of bands of counts."""
+    band = F.floor(F.log2(F.col("count")) * 8).cast("int")
+    sizes = words.groupBy(band.alias("band")).agg(F.count("*").alias("n"), F.min("count").alias("least")).orderBy(F.desc("band"))
+    least, total = 1 << 62, 0
+    for row in sizes.collect():
+        total += row.n
+        if total > bound:
+            break
+        least = row.least
+    return least
+
+
 def score_texts(docs: DataFrame, learn: Column, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: id, ``learned`` (value of ``learn``), ``n_tokens``, ``n_known``, ``train_tokens``,
     ``base_score`` and ``score``, the logarithms to base 10 of the text's probability."""
@@ -288,7 +306,7 @@ def score_texts(docs: DataFrame, learn: Column, path: str, doc_id: str = "doc_id
     words = cut(words)
     total, distinct = words.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
     divisor = total + 0.5 * (distinct + 1)
-    top = words.orderBy(F.desc("count"), "word").limit(FREQUENT).toPandas()
+    top = words.where(F.col("count") >= _least_frequent(words)).toPandas()
     hashes, counts = top["word"].to_numpy(np.int64).view(np.uint64), top["count"].to_numpy(np.int64)
     order = np.argsort(hashes)
     hashes, counts = hashes[order], counts[order]

@@ -27,9 +27,9 @@ from tokenizers import Tokenizer
 
 #: Bounds of the broadcast table and the texts that it is drawn from.
 FREQUENT = 1 << 15
-SAMPLE_TEXTS = 2_000
+SAMPLE_TEXTS = 400
 #: A worker's cache starts anew beyond so many entries.
-CACHED = 3 << 19
+CACHED = 3 << 18
 
 #: The patterns by which the two kinds of files split texts.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -93,6 +93,16 @@ class Splitter:
     def unit_ids(self, unit: str) -> list[int]:
         return [i for piece in self.pattern(unit if self.words else f" {unit}") for i in self.piece_ids(piece)]
 
+    def whole_ids(self, text: str) -> list[int]:
+        """Ids of any text as ordinary text, special strings included."""
+        if self.plain(text):
+            return [i for piece in self.pattern(text) for i in self.piece_ids(piece)]
+        self.library.encode_special_tokens = True
+        try:
+            return self.ids(text)
+        finally:
+            self.library.encode_special_tokens = False
+
     def plain(self, text: str) -> bool:
         return _PLAIN.fullmatch(text) is not None and not ("<|" in text and self.special(text))
 
@@ -120,7 +130,8 @@ def frequent_lengths(docs: DataFrame, text: str, path: str, size: int = FREQUENT
     """Token counts of the most frequent units of at most ``texts`` whole texts."""
     splitter = Splitter(path)
     seen: Counter = Counter()
-    for row in docs.where(F.col(text).isNotNull()).select(F.col(text).alias("t")).limit(texts).toLocalIterator():
+    # collected with its limit, this reads the first partitions only and shuffles nothing
+    for row in docs.where(F.col(text).isNotNull()).select(F.col(text).alias("t")).limit(texts).collect():
         if splitter.plain(row.t) and (found := splitter.units(row.t)):
             seen.update(found[1])
     return {unit: len(splitter.unit_ids(unit)) for unit, _ in seen.most_common(size) if len(unit) < 64}
