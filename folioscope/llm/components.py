@@ -30,7 +30,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         moved = joined.select("b", "m").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         moved = moved.union(least.select("a", F.col("m").alias("b")))
-    return moved.where("a > b").distinct()
+    moved = moved.where("a > b")
+    # repeated edges do no harm between the two halves of a round
+    return moved if large else moved.distinct()
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -6,10 +6,9 @@
    most one difference. All single errors are enumerated by blanking each minimum of a chunk in
    turn; classes with an equal key meet. A similarity of 0.8 differs in a fifth of the minima,
    so all ten chunks fail for fewer than 3 in 100,000 such pairs, and fewer above.
-4. Classes in one bucket are compared with its earliest one first, then only across the
-   components found so far, and only if the shingles of a class that any other one has are
-   enough for the similarity. So a group of near copies costs links, not pairs, and none that
-   could be a link is left out. Signatures farther apart than ``MAX_DISTANCE`` are passed over; the rest is confirmed on
+4. A class is compared first with the nearest of its buckets' earliest members, then only across
+   the components found so far, where bitmaps of the shingles leave room for the similarity. So
+   most of a group of near copies costs links, not pairs, and no link is left out. Signatures farther apart than ``MAX_DISTANCE`` are passed over; the rest is confirmed on
    full sets.
 
 Defined cases: a document without words, or null, has no set and no link. A null id takes no
@@ -32,6 +31,10 @@ from folioscope.llm.components import components
 from folioscope.llm.storage import cut
 
 CHUNKS, SYMBOLS, BITS = 10, 6, 8
+#: Bits of the bitmap that a class has beside its signature once it has met another one.
+BITMAP = 2048
+#: So many centers of its buckets a class is compared with at first.
+NEAREST = 3
 #: Of 60 minima; at a similarity of 0.8, 12 differ on average, and over 27 in 5 of a million pairs.
 MAX_DISTANCE = 27
 
@@ -85,6 +88,13 @@ def _class_ids(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return found
 
 
+def _bitmaps(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """For each row the bits that its shingles fall on, as longs."""
+    flags = np.zeros((len(counts), BITMAP), bool)
+    flags[np.repeat(np.arange(len(counts)), counts), w.mix(keys * np.uint64(7)) % np.uint64(BITMAP)] = True
+    return np.packbits(flags, axis=1).view(np.int64)
+
+
 def _sketches(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,9 +118,14 @@ def _sets(size: int):
         for batch in batches:
             for first, last, data, offsets in w.text_blocks(batch, "text"):
                 keys, counts = shingle_sets(data, offsets, size)
+                bits = _bitmaps(keys, counts)
                 found = pa.RecordBatch.from_arrays(
-                    [pa.array(_class_ids(keys, counts).view(np.int64)), w.list_array(keys, counts, pa.int64())],
-                    names=["class", "members"],
+                    [
+                        pa.array(_class_ids(keys, counts).view(np.int64)),
+                        w.list_array(keys, counts, pa.int64()),
+                        w.list_array(bits.ravel(), np.full(len(bits), bits.shape[1]), pa.int64()),
+                    ],
+                    names=["class", "members", "bits"],
                 )
                 # the id of a class may also stand on rows with another text
                 yield found.filter(pc.equal(found.column("class"), batch.column("class").slice(first, last - first)))
@@ -154,12 +169,22 @@ def _bucket_keys() -> Column:
     )
 
 
-def _near(x: str, y: str) -> Column:
-    return _distance(F.col(x)["sig"], F.col(y)["sig"]) <= MAX_DISTANCE
+def _close(x: str, y: str, percent: int) -> Column:
+    """Sizes and signatures leave room for the wanted similarity."""
+    n, m = F.col(x)["n"], F.col(y)["n"]
+    near = _distance(F.col(x)["sig"], F.col(y)["sig"]) <= MAX_DISTANCE
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & near
+
 
+def _may_share(n: Column, x: Column, m: Column, y: Column, percent: int) -> Column:
+    """Whether sets of sizes ``n``, ``m`` with bitmaps ``x``, ``y`` can be similar enough.
 
-def _possible(common: Column, n: Column, m: Column, percent: int) -> Column:
-    """Whether sets of ``n`` and ``m`` that share at most ``common`` can be similar enough."""
+    Every bit that only one set falls on is a shingle that the other one lacks, so this never
+    rules out a pair that is."""
+    longs = BITMAP // 64
+    lacks = sum((F.bit_count(x[k].bitwiseAND(F.bitwise_not(y[k]))) for k in range(longs)), F.lit(0))
+    lacked = sum((F.bit_count(y[k].bitwiseAND(F.bitwise_not(x[k]))) for k in range(longs)), F.lit(0))
+    common = F.least(n - lacks, m - lacked)
     return 100 * common >= percent * (n + m - common)
 
 
@@ -180,57 +205,36 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _center_pairs(met: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """For each class the smallest of its buckets' centers that is close to it."""
+    """For each class the nearest, by signature, of its buckets' centers."""
     pairs = met.where("class <> center").select(F.col("class").alias("x"), F.col("center").alias("y")).distinct()
-    n, m = F.col("x_sketch.n"), F.col("y_sketch.n")
-    near = _with_sketches(pairs, classes).where(_possible(F.least(n, m), n, m, percent) & _near("x_sketch", "y_sketch"))
-    return near.groupBy("x").agg(F.min("y").alias("y"))
-
-
-def _roots(links: DataFrame) -> DataFrame:
-    """``class, component`` of links that each lead from a class to an earlier one."""
-    while True:
-        up = links.select(F.col("x").alias("y"), F.col("y").alias("top"))
-        links = cut(links.join(up, "y", "left").select("x", F.coalesce("top", "y").alias("y"), F.col("top").isNotNull().alias("moved")))
-        if links.where("moved").isEmpty():
-            return links.select(F.col("x").alias("class"), F.col("y").alias("component"))
-        links = links.select("x", "y")
-
-
-def _shared_sizes(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """``class, common``: how many shingles of a class of ``rows`` another one of them has."""
-    shingles = rows.select("class").distinct().join(sets, "class").select("class", F.explode("members").alias("shingle"))
-    shingles = shingles.repartition("shingle")
-    held = shingles.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
-    return shingles.join(held, "shingle").groupBy("class").agg(F.count("*").alias("common"))
+    near = _with_sketches(pairs, classes).where(_close("x_sketch", "y_sketch", percent))
+    found = F.struct(_distance(F.col("x_sketch.sig"), F.col("y_sketch.sig")).alias("distance"), "y")
+    # no more than one for every key
+    ranked = near.groupBy("x").agg(F.slice(F.sort_array(F.collect_list(found)), 1, NEAREST).alias("nearest"))
+    return ranked.select("x", F.explode("nearest.y").alias("y"))
 
 
 def _across(met: DataFrame, known: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of a bucket in different components that can be similar, each once.
+    """Pairs of members of a bucket in different components that are close, each once.
 
-    Members of a bucket's main component only meet the others, and of those only ones whose
-    shingles that anyone else has are enough. Per pair: ``x``, ``y`` and components ``cx``, ``cy``."""
-    labelled = met.select("bucket", "key", "class", "n").join(known, "class", "left")
+    Members of a bucket's main component only meet the others. Per pair: ``x``, ``y`` and their
+    components ``cx``, ``cy``."""
+    labelled = met.select("bucket", "key", "class").join(known, "class", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "class"))
-    parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("members"), F.min("n").alias("least"))
-    mixed = parts.groupBy("bucket").agg(
-        F.max_by("component", "members").alias("main"), F.count("*").alias("parts"), F.min("least").alias("least")
+    parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("members"))
+    mixed = parts.groupBy("bucket").agg(F.max_by("component", "members").alias("main"), F.count("*").alias("parts"))
+    rows = labelled.join(mixed.where("parts > 1").select("bucket", "main"), "bucket")
+    rows = rows.join(classes.select("class", "n", "sig"), "class").join(sets.select("class", "bits"), "class")
+    rows = cut(rows.withColumn("sketch", F.struct("n", "sig", "bits")).drop("n", "sig", "bits"))
+    x = rows.where("component <> main").select(
+        "bucket", "main", "key", F.col("class").alias("x"), F.col("component").alias("cx"), F.col("sketch").alias("x_sketch")
     )
-    rows = cut(labelled.join(mixed.where("parts > 1").drop("parts"), "bucket"))
-    rows = rows.join(_shared_sizes(rows, sets), "class").join(classes.select("class", F.struct("sig").alias("sketch")), "class")
-    rows = cut(rows.where((F.col("component") == F.col("main")) | _possible(F.col("common"), F.col("n"), F.col("least"), percent)))
-    side = ["bucket", "main", "key"]
-    x = rows.where("component <> main").select(*side, *[F.col(c).alias(f"x_{c}") for c in ("class", "component", "n", "common", "sketch")])
-    y = rows.select("bucket", *[F.col(c).alias(f"y_{c}") for c in ("class", "component", "n", "common", "sketch")])
-    apart = (F.col("x_component") != F.col("y_component")) & (
-        (F.col("y_component") == F.col("main")) | (F.col("x_class") < F.col("y_class"))
-    )
-    possible = _possible(F.least("x_common", "y_common"), F.col("x_n"), F.col("y_n"), percent)
+    y = rows.select("bucket", F.col("class").alias("y"), F.col("component").alias("cy"), F.col("sketch").alias("y_sketch"))
+    apart = (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y")))
     once = F.col("key") == _first_meeting(F.col("x_sketch.sig"), F.col("y_sketch.sig"))
-    pairs = x.join(y, "bucket").where(apart & possible & _near("x_sketch", "y_sketch") & once)
-    return pairs.select(
-        F.col("x_class").alias("x"), F.col("y_class").alias("y"), F.col("x_component").alias("cx"), F.col("y_component").alias("cy")
-    )
+    n, m = F.col("x_sketch.n"), F.col("y_sketch.n")
+    may_share = _may_share(n, F.col("x_sketch.bits"), m, F.col("y_sketch.bits"), percent)
+    return x.join(y, "bucket").where(apart & _close("x_sketch", "y_sketch", percent) & may_share & once).select("x", "y", "cx", "cy")
 
 
 def near_duplicates(
@@ -249,16 +253,17 @@ def near_duplicates(
         held.groupBy("class").agg(F.min("doc").alias("doc"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
     )
 
-    keyed = classes.select(F.posexplode(_bucket_keys()).alias("key", "bucket"), "class", "doc", F.col("n").cast("int").alias("n"))
+    keyed = classes.select(F.posexplode(_bucket_keys()).alias("key", "bucket"), "class", "doc")
     shared = keyed.groupBy("bucket").agg(F.min_by("class", "doc").alias("center"), F.count("*").alias("met")).where("met > 1")
     met = cut(keyed.drop("doc").join(shared.select("bucket", "center"), "bucket"))
 
     wanted = met.select("class").distinct().join(classes.select("class", "doc"), "class")
     texts = narrow.join(wanted, "doc")
-    sets = texts.mapInArrow(_sets(shingle), "class bigint, members array<bigint>")
-    sets = cut(sets.groupBy("class").agg(F.first("members").alias("members")))
+    sets = texts.mapInArrow(_sets(shingle), "class bigint, members array<bigint>, bits array<bigint>")
+    sets = cut(sets.groupBy("class").agg(F.first("members").alias("members"), F.first("bits").alias("bits")))
 
-    known = _roots(cut(_confirmed(_center_pairs(met, classes, percent), sets, percent).select("x", "y")))
+    stars = cut(_confirmed(_center_pairs(met, classes, percent), sets, percent).select("x", "y"))
+    known = components(stars, "x", "y").select(F.col("id").alias("class"), "component")
     rest = _confirmed(_across(met, known, classes, sets, percent), sets, percent).select(F.col("cx").alias("x"), F.col("cy").alias("y"))
     # an id on rows with different texts joins their classes
     several = held.groupBy("doc").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y").select("doc", "x")
