@@ -152,6 +152,16 @@ class Scorer:
         return out
 
 
+def _sums(places: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """The sum of the rows of each place."""
+    order = np.argsort(places.astype(np.int16), kind="stable")
+    heads = np.flatnonzero(np.diff(places[order], prepend=-1))
+    out = np.zeros((size, rows.shape[1]), rows.dtype)
+    if len(heads):
+        out[places[order[heads]]] = np.add.reduceat(rows[order], heads, axis=0)
+    return out
+
+
 def gradients(p: Weights, inputs: np.ndarray, targets: np.ndarray, mask: np.ndarray) -> tuple[float, Weights]:
     """Mean negative log probability of the targets under the mask, and its gradients."""
     n, scale = len(inputs), np.float32(PER_HEAD**-0.5)
@@ -205,9 +215,9 @@ def gradients(p: Weights, inputs: np.ndarray, targets: np.ndarray, mask: np.ndar
     d_q, d_k, d_v = flat(d_q), flat(d_k), flat(d_v)
     e_flat, l_flat = e.reshape(-1, WIDTH), el.reshape(-1, WIDTH)
     d["query"], d["key"], d["value"] = l_flat.T @ d_q, e_flat.T @ d_k, e_flat.T @ d_v
-    d["embed"] = np.zeros_like(p["embed"])
-    np.add.at(d["embed"], inputs.ravel(), d_k @ p["key"].T + d_v @ p["value"].T)
-    np.add.at(d["embed"], late.ravel(), d_h + d_q @ p["query"].T)
+    d_e = (d_k @ p["key"].T + d_v @ p["value"].T).reshape(n, SPAN, WIDTH)
+    d_e[:, STRIDE:] += (d_h + d_q @ p["query"].T).reshape(n, STRIDE, WIDTH)
+    d["embed"] = _sums(inputs.ravel(), d_e.reshape(-1, WIDTH), len(p["embed"]))
     return float(loss), d
 
 

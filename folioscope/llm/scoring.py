@@ -1,7 +1,8 @@
 """Language-model scores: word unigrams of the corpus and a causal self-attention model.
 
-Learning reads all texts that it may: every word and subword is counted, and windows from every
-text train the attention model. Trainers, whose number grows with the windows, run Adam over
+Learning reads all texts that it may: every word and subword is counted, and the windows that
+train the attention model cover every text from end to end, so each of its subwords is a target
+once, with the tokens before it that scoring uses. Trainers, whose number grows with the windows, run Adam over
 their own windows; after each round their weights are averaged. The counts of subwords choose
 the classes of the model and give the share of an id among the rare ones.
 
@@ -21,7 +22,6 @@ Repeated rows are counted and scored each. An empty table gives no rows.
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -39,24 +39,28 @@ from folioscope.llm.tokens import _CACHES, Cache, Splitter, id_bytes
 
 #: Bound of the words that every task knows.
 FREQUENT = 1 << 18
-#: Windows from each text, windows of a trainer, rounds of averaging; steps of a round, if
-#: that takes no more than so many passes.
-PIECES, PER_TRAINER, ROUNDS, STEPS, EPOCHS, BATCH = 2, 100_000, 3, 250, 8, 128
+#: Windows of a piece of text, which is dealt as one; windows of a trainer, rounds of averaging;
+#: steps of a round, if that takes no more than so many passes.
+PIECE, PER_TRAINER, ROUNDS, STEPS, EPOCHS, BATCH = 16, 100_000, 3, 250, 8, 128
 RATE = 0.004
-#: A window's ids with the one that follows; NO_ID where there is none.
-WINDOW, NO_ID = SPAN + 1, -1
+#: A window's ids with the one that follows.
+WINDOW = SPAN + 1
+#: Columns of what learning gathers; rows of pieces that leave a task at once.
+NAMES, ROWS = ["words", "n", "ids", "id_n", "piece"], 4096
 #: Stands for the end among word hashes.
 END_WORD = np.uint64(0xE9D0F1A2B3C4D5E6)
 SMOOTH = 0.01
 
 
 class Subwords:
-    """Ids of words, as bytes, from the cache of the worker. ``end`` is an id no word has."""
+    """Ids of words, as bytes, from the cache of the worker. ``end`` and ``none`` (no token) are
+    ids that no word has; ``kind`` holds all of them."""
 
     def __init__(self, path: str):
         splitter = Splitter(path)
         self.size = splitter.library.get_vocab_size()
-        self.end = self.size
+        self.end, self.none = self.size, self.size + 1
+        self.kind = "<u2" if self.none < 1 << 16 else "<u4"
         key = "word", path, id_bytes
         if key not in _CACHES:
             _CACHES[key] = Cache(lambda word: id_bytes(splitter.whole_ids(f" {word.decode()}")))
@@ -76,33 +80,45 @@ def _texts(batch: pa.RecordBatch) -> Iterator[bytes]:
             yield raw[a:b]
 
 
-def _pieces(words: list[bytes], subwords: Subwords, raw: bytes) -> Iterator[list[int]]:
-    """Windows of a text at places that its checksum draws; some begin with the text."""
-    draw = np.random.default_rng(zlib.crc32(raw))
-    for _ in range(PIECES):
-        at = int(draw.integers(-1 - len(words) // 8, len(words) + 1))
-        first = max(at - SPAN // 2, 0) if at > 0 else 0
-        ids = np.frombuffer(subwords.of(words[first : first + WINDOW]), "<u4").tolist()
-        if first + WINDOW >= len(words):
-            ids.append(subwords.end)
-        lead = [NO_ID] * STRIDE + [subwords.end] if first == 0 else []
-        ids = (lead + ids)[:WINDOW]
-        yield ids + [NO_ID] * (WINDOW - len(ids))
+def _pieces(ids: np.ndarray, subwords: Subwords) -> Iterator[bytes]:
+    """A text for training: its ids, led as in scoring, in pieces of ``PIECE`` windows. A piece
+    repeats what its first window needs of the one before."""
+    lead = np.full(STRIDE + 1, subwords.none)
+    lead[STRIDE] = subwords.end
+    whole = np.concatenate([lead, ids, [subwords.end]]).astype(subwords.kind)
+    for at in range(0, len(ids) + 1, PIECE * STRIDE):
+        yield whole[at : at + PIECE * STRIDE + STRIDE + 1].tobytes()
+
+
+def _windows(pieces: list[bytes], kind: str, none: int) -> np.ndarray:
+    """The windows of pieces, each ``STRIDE`` after the one before; the last is filled up."""
+    out = [np.zeros((0, WINDOW), kind)]
+    for piece in pieces:
+        ids = np.frombuffer(piece, kind)
+        n = -(-(len(ids) - STRIDE - 1) // STRIDE)
+        full = np.full(n * STRIDE + STRIDE + 1, none, kind)
+        full[: len(ids)] = ids
+        out.append(np.lib.stride_tricks.sliding_window_view(full, WINDOW)[::STRIDE])
+    return np.concatenate(out)
 
 
 def _gather(path: str):
-    """Word counts, subword counts and windows, a row for every batch."""
+    """Word and subword counts, a row for every batch; pieces of the texts, a row for each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         subwords = Subwords(path)
         for batch in batches:
             seen: Counter = Counter()
-            windows: list[int] = []
+            pieces: list[bytes] = []
             for raw in _texts(batch):
                 words = raw.split()
                 seen.update(words)
-                for piece in _pieces(words, subwords, raw):
-                    windows.extend(piece)
+                pieces.extend(_pieces(np.frombuffer(subwords.of(words), "<u4"), subwords))
+                if len(pieces) >= ROWS:
+                    yield alone(pieces)
+                    pieces = []
+            if pieces:
+                yield alone(pieces)
             unique, counts = list(seen), np.fromiter(seen.values(), np.int64, len(seen))
             joined = np.frombuffer(b" ".join(unique), np.uint8)
             hashes = w.words_of(joined, np.array([0, len(joined)])).hashes
@@ -115,10 +131,14 @@ def _gather(path: str):
             one = lambda x, kind: w.list_array(x, np.array([len(x)]), kind)
             yield pa.RecordBatch.from_arrays(
                 [one(hashes, pa.int64()), one(counts, pa.int64()), one(used.astype(np.int32), pa.int32()), one(id_counts[used], pa.int64()),
-                 one(np.array(windows, np.int32), pa.int32())],
-                names=["words", "n", "ids", "id_n", "windows"],
+                 pa.nulls(1, pa.binary())],
+                names=NAMES,
             )
 
+    def alone(pieces: list[bytes]) -> pa.RecordBatch:
+        longs, ints = pa.nulls(len(pieces), pa.list_(pa.int64())), pa.nulls(len(pieces), pa.list_(pa.int32()))
+        return pa.RecordBatch.from_arrays([longs, longs, ints, longs, pa.array(pieces, pa.binary())], names=NAMES)
+
     return run
 
 
@@ -154,9 +174,9 @@ def _trainer(shared, number: int):
     """One round over the windows of a trainer: its weights and how many windows it saw."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        flat, own, like = shared.value
-        ids = np.frombuffer(b"".join(part["window"]), "<i4").reshape(-1, WINDOW)
-        table = np.append(own, NONE)  # NO_ID is the last
+        flat, own, like, kind = shared.value
+        table = np.append(own, NONE)  # no token is the last
+        ids = _windows(part["piece"], kind, len(own))
         classes = table[ids].astype(np.int64)
         inputs, targets = classes[:, :SPAN], classes[:, STRIDE + 1 :]
         mask = (targets != NONE) & (inputs[:, STRIDE:] != NONE)
@@ -177,20 +197,21 @@ def _trainer(shared, number: int):
     return run
 
 
-def _train(gathered: DataFrame, own: np.ndarray, counts: np.ndarray) -> attention.Weights:
+def _train(gathered: DataFrame, own: np.ndarray, counts: np.ndarray, kind: str) -> attention.Weights:
     spark = gathered.sparkSession
     p = attention.start(counts)
-    total = gathered.agg(F.sum(F.size("windows"))).first()[0] or 0
+    targets = F.octet_length("piece") / np.dtype(kind).itemsize - STRIDE - 1
+    total = gathered.agg(F.sum(F.ceil(targets / STRIDE))).first()[0] or 0
     if not total:
         return p
-    trainers = max(1, total // WINDOW // PER_TRAINER)
-    windows = gathered.where(F.size("windows") > 0).select("windows").mapInArrow(_split_windows, "window binary")
-    # dealt by row, not by content: copies spread over all trainers
+    trainers = max(1, total // PER_TRAINER)
+    # dealt by row, not by content: copies spread over all trainers. The rows are a checkpoint's,
+    # so each round finds them in the same places
     row = F.xxhash64(F.monotonically_increasing_id())
-    windows = cut(windows.withColumn("trainer", F.pmod(row, F.lit(trainers))).withColumn("round", F.pmod(F.shiftright(row, 32), F.lit(ROUNDS))))
+    dealt = gathered.select("piece", F.pmod(row, F.lit(trainers)).alias("trainer"), F.pmod(F.shiftright(row, 32), F.lit(ROUNDS)).alias("round"))
     for number in range(ROUNDS):
-        shared = spark.sparkContext.broadcast((_flatten(p), own, p))
-        part = windows.where(F.col("round") == number).select("trainer", "window")
+        shared = spark.sparkContext.broadcast((_flatten(p), own, p, kind))
+        part = dealt.where(F.col("piece").isNotNull() & (F.col("round") == number)).select("trainer", "piece")
         found = part.groupBy("trainer").applyInPandas(_trainer(shared, number), "weights array<float>, n bigint")
         # averaged place by place, with partial sums before the shuffle
         places = found.select("n", F.posexplode("weights").alias("place", "weight"))
@@ -203,13 +224,6 @@ def _train(gathered: DataFrame, own: np.ndarray, counts: np.ndarray) -> attentio
     return p
 
 
-def _split_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.column("windows"):
-            ids = row.values.to_numpy(zero_copy_only=False).astype("<i4").reshape(-1, WINDOW)
-            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in ids], pa.binary())], names=["window"])
-
-
 def _streams(ids: list[np.ndarray], own: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Inputs and targets of texts in blocks, and the text of each target (-1: none)."""
     sizes = np.array([len(i) + 1 for i in ids])
@@ -299,7 +313,7 @@ def score_texts(docs: DataFrame, learn: Column, path: str, doc_id: str = "doc_id
     narrow = docs.select(F.col(doc_id).alias("doc"), F.coalesce(learn, F.lit(False)).alias("learned"), F.col(text).alias("text"))
     gathered = cut(
         narrow.where("learned").select("text").mapInArrow(
-            _gather(path), "words array<bigint>, n array<bigint>, ids array<int>, id_n array<bigint>, windows array<int>"
+            _gather(path), "words array<bigint>, n array<bigint>, ids array<int>, id_n array<bigint>, piece binary"
         )
     )
     words = gathered.select(F.explode(F.arrays_zip("words", "n")).alias("x")).groupBy(F.col("x.words").alias("word")).agg(F.sum("x.n").alias("count"))
@@ -312,11 +326,12 @@ def score_texts(docs: DataFrame, learn: Column, path: str, doc_id: str = "doc_id
     hashes, counts = hashes[order], counts[order]
 
     found = gathered.select(F.explode(F.arrays_zip("ids", "id_n")).alias("x")).groupBy(F.col("x.ids").alias("id")).agg(F.sum("x.id_n").alias("n"))
-    id_counts = np.zeros(Subwords(path).size + 1, np.int64)
+    subwords = Subwords(path)
+    id_counts = np.zeros(subwords.size + 1, np.int64)
     for row in found.collect():
         id_counts[row.id] = row.n
     own, class_counts, share = _classes(id_counts)
-    p = _train(gathered, own, class_counts)
+    p = _train(gathered, own, class_counts, subwords.kind)
 
     shared = spark.sparkContext.broadcast((p, own, share, hashes, np.log10((counts + 0.5) / divisor)))
     schema = f"doc {kind}, learned boolean, n_tokens bigint, n_known bigint, base double, score double, rare array<bigint>, times array<int>"

@@ -108,3 +108,26 @@ def test_nothing_to_learn_from_and_empty_tables(spark, rows):
     got = scoring.score_texts(docs, F.lit(False), PATH).collect()
     assert len(got) == 6 and all(r.n_known == r.train_tokens == 0 and r.base_score == 0 and r.score < 0 for r in got)
     assert scoring.score_texts(docs.where("false"), F.lit(True), PATH).count() == 0
+
+
+def test_every_subword_of_a_long_text_is_a_target_once():
+    subwords = scoring.Subwords(PATH)
+    for n in (0, 1, 15, 16, 255, 256, 257, 11_664):
+        ids = np.arange(n, dtype=np.uint32) % 50_000
+        windows = scoring._windows(list(scoring._pieces(ids, subwords)), subwords.kind, subwords.none)
+        targets = windows[:, A.STRIDE + 1 :].ravel()
+        assert targets[targets != subwords.none].tolist() == [*ids.tolist(), subwords.end]
+        whole = np.concatenate([np.full(A.STRIDE, subwords.none), [subwords.end], ids, [subwords.end]])
+        for k, window in enumerate(windows):
+            inside = whole[k * A.STRIDE :][: len(window)]
+            assert np.array_equal(window[: len(inside)], inside) and (window[len(inside) :] == subwords.none).all()
+
+
+def test_what_learning_gathers_grows_with_the_text(spark):
+    text = " ".join(f"w{i}" for i in range(3000))
+    docs = spark.createDataFrame([(text,)], "text string")
+    rows = docs.mapInArrow(scoring._gather(PATH), "words array<bigint>, n array<bigint>, ids array<int>, id_n array<bigint>, piece binary").collect()
+    subwords = scoring.Subwords(PATH)
+    windows = scoring._windows([bytes(r.piece) for r in rows if r.piece is not None], subwords.kind, subwords.none)
+    n = len(subwords.of([x.encode() for x in text.split()])) // 4
+    assert (windows[:, A.STRIDE + 1 :] != subwords.none).sum() == n + 1
