@@ -1,8 +1,8 @@
 """Quality rules: repeated text inside a document and line frequency across documents.
 
 A line is normalised to its lower-cased words. For every host (``host`` column) the distinct
-documents that hold a line are counted; a line above the host's limit is boilerplate and is
-removed; a document with too few words left is depleted and rejected.
+documents that hold a line are counted; a line in more than ``MIN_DOCUMENTS`` is boilerplate,
+however large the host, and is removed; a document with too few words left is depleted and rejected.
 
 Documents with the same sequence of words count once, so that copies, which are the business
 of near-duplicate removal, don't turn their own text into boilerplate.
@@ -25,9 +25,10 @@ from folioscope.llm import words as w
 from folioscope.llm.storage import cut
 
 WINDOW = 8
-#: A line is boilerplate in more documents of its host than each of these.
+#: A line is boilerplate in more documents of its host. A share of the host's documents can be
+#: asked for besides; with one, a line of a large host may stand in very many documents.
 MIN_DOCUMENTS = 20
-MAX_SHARE = 0.1
+MAX_SHARE = 0.0
 #: A document is depleted with fewer words, or a smaller share of its words, left.
 MIN_WORDS = 20
 MIN_SHARE = 0.3
