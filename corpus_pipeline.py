@@ -1,6 +1,6 @@
 """Corpus preparation in stages; each stage reads what the one before has written.
 
-1. Quality rules drop documents of poor or depleted text.
+1. Quality rules remove boilerplate lines and drop documents of poor or depleted text.
 2. Line dedup removes repeated lines; a document that loses all its words that way is a copy
    and goes.
 3. Of each group of near duplicates (five words, similarity 0.8) the earliest stays.
@@ -25,7 +25,16 @@ END_ID = 1
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.keep_good(docs)
+    left = quality.keep_good(docs, removed="__removed")
+    return _recounted(left, docs).select(*docs.columns)
+
+
+def _recounted(left: DataFrame, docs: DataFrame) -> DataFrame:
+    """``n_chars``, if there is one, of the texts that lost lines."""
+    if "n_chars" not in docs.columns:
+        return left
+    changed = F.when(F.col("__removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+    return left.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,10 +43,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # null texts lose nothing; a text whose words are all gone has only blank lines left
     emptied = (F.col("__removed") > 0) & (F.length(F.regexp_replace("text", lines.SPACE, "")) == 0)
     left = left.where(~F.coalesce(emptied, F.lit(False)))
-    if "n_chars" in names:
-        changed = F.when(F.col("__removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
-        left = left.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
-    return left.select(*names)
+    return _recounted(left, docs).select(*names)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

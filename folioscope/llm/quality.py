@@ -2,14 +2,14 @@
 
 A line is normalised to its lower-cased words. For every host (``host`` column) the distinct
 documents that hold a line are counted; a line in more than ``MIN_DOCUMENTS`` is boilerplate,
-however large the host, and is removed; a document with too few words left is depleted and rejected.
+however large the host, and is removed from the text; a document with too few words left is depleted and rejected.
 
 Documents with the same sequence of words count once, so that copies, which are the business
 of near-duplicate removal, don't turn their own text into boilerplate.
 
 Defined cases: a null text or one without words has no lines, zero counts and fails the base
-rules. A null host is a host of its own. A null id is an id like any other. Repeated rows each
-return a row and count once. An empty table returns no rows. Other columns are not read.
+rules; a null text stays null. A null host is a host of its own. A null id is an id like any other. Repeated rows each
+return a row and count once. An empty table returns no rows. Other columns pass through.
 """
 
 from __future__ import annotations
@@ -71,7 +71,8 @@ def _profile(batch: pa.RecordBatch, first: int, last: int, data: np.ndarray, off
     starts, ends, row = w.line_bounds(data, offsets)
     from_word, to_word = np.searchsorted(raw.starts, starts), np.searchsorted(raw.starts, ends)
     solid = np.flatnonzero(to_word > from_word)
-    row, n_words = row[solid], (to_word - from_word)[solid]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    row, place, n_words = row[solid], place[solid], (to_word - from_word)[solid]
     exact = w.mix(w.run_hashes(w._RAW[data], starts[solid], ends[solid]) + row.astype(np.uint64))
     order = np.argsort(exact, kind="stable")
     again = np.zeros(len(solid), bool)
@@ -83,6 +84,7 @@ def _profile(batch: pa.RecordBatch, first: int, last: int, data: np.ndarray, off
         [
             batch.column("doc").slice(first, n),
             batch.column("host").slice(first, n),
+            batch.column("hash").slice(first, n),
             pa.array(raw.counts, pa.int64()),
             pa.array(_per_row(chars, raw.row, n)),
             pa.array(np.diff(symbols[offsets])),
@@ -91,8 +93,9 @@ def _profile(batch: pa.RecordBatch, first: int, last: int, data: np.ndarray, off
             pa.array(whole.view(np.int64)),
             w.list_array(normal, lines, pa.int64()),
             w.list_array(n_words.astype(np.int32), lines, pa.int32()),
+            w.list_array(place.astype(np.int32), lines, pa.int32()),
         ],
-        names=["doc", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "content", "lines", "sizes"],
+        names=["doc", "host", "hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "content", "lines", "sizes", "places"],
     )
 
 
@@ -103,13 +106,14 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def document_profile(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """Per row: base counts, the hash of its words, and its lines with their hashes and sizes."""
+    """Per row: the hash of its text, base counts, the hash of its words, and its lines that have
+    words with their hashes, sizes and places."""
     kind = docs.schema[doc_id].dataType.simpleString()
-    narrow = docs.select(F.col(doc_id).alias("doc"), F.col(host).cast("string").alias("host"), F.col(text).alias("text"))
+    narrow = docs.select(F.col(doc_id).alias("doc"), F.col(host).cast("string").alias("host"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
     return narrow.mapInArrow(
         _profiles,
-        f"doc {kind}, host string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
-        "n_repeat_words bigint, content bigint, lines array<bigint>, sizes array<int>",
+        f"doc {kind}, host string, hash bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
+        "n_repeat_words bigint, content bigint, lines array<bigint>, sizes array<int>, places array<int>",
     )
 
 
@@ -123,45 +127,103 @@ def boilerplate(profile: DataFrame, min_documents: int = MIN_DOCUMENTS, max_shar
     return held.join(sizes, key).where(F.col("documents") > F.col("host_documents") * max_share).select(*key, "line", "documents")
 
 
-def quality_verdicts(
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def _judged(
     docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    host: str = "source",
-    min_documents: int = MIN_DOCUMENTS,
-    max_share: float = MAX_SHARE,
-    min_words: int = MIN_WORDS,
-    min_share: float = MIN_SHARE,
+    doc_id: str,
+    text: str,
+    host: str,
+    min_documents: int,
+    max_share: float,
+    min_words: int,
+    min_share: float,
 ) -> DataFrame:
-    """Per row: id, base counts, ``base_failed``, ``n_words_left`` without boilerplate, ``kept``."""
+    """Per row: ``doc, host, hash``, its verdict, and the places of its boilerplate (null: none)."""
     profile = cut(document_profile(docs, doc_id, text, host).withColumn("row_no", F.monotonically_increasing_id()))
     common = boilerplate(profile, min_documents, max_share)
     lines = profile.select(
         F.coalesce("host", F.lit("")).alias("host"),
         F.col("host").isNull().alias("no_host"),
         "row_no",
-        F.explode(F.arrays_zip("lines", "sizes")).alias("at"),
-    ).select("host", "no_host", "row_no", F.col("at.lines").alias("line"), F.col("at.sizes").alias("size"))
-    lost = lines.join(common, ["host", "no_host", "line"], "left_semi").groupBy("row_no").agg(F.sum("size").alias("lost"))
-    judged = profile.drop("lines", "sizes", "content", "host").join(lost, "row_no", "left")
+        F.explode(F.arrays_zip("lines", "sizes", "places")).alias("at"),
+    ).select("host", "no_host", "row_no", F.col("at.lines").alias("line"), F.col("at.sizes").alias("size"), F.col("at.places").alias("place"))
+    found = lines.join(common, ["host", "no_host", "line"], "left_semi")
+    lost = found.groupBy("row_no").agg(F.sum("size").alias("lost"), F.collect_list("place").alias("gone"))
+    judged = profile.drop("lines", "sizes", "places", "content").join(lost, "row_no", "left")
     left = F.col("n_words") - F.coalesce("lost", F.lit(0))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return judged.select(
-        F.col("doc").alias(doc_id),
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
+        "doc",
+        "host",
+        "hash",
+        *COUNTS,
         failed.alias("base_failed"),
         left.alias("n_words_left"),
         (~failed & (left >= min_words) & (left >= F.col("n_words") * min_share)).alias("kept"),
+        "gone",
     )
 
 
-def keep_good(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` whose document passes, with all their columns.
+def quality_verdicts(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    host: str = "source",
+    min_documents: int = MIN_DOCUMENTS,
+    max_share: float = MAX_SHARE,
+    min_words: int = MIN_WORDS,
+    min_share: float = MIN_SHARE,
+) -> DataFrame:
+    """Per row: id, base counts, ``base_failed``, ``n_words_left`` without boilerplate, ``kept``."""
+    judged = _judged(docs, doc_id, text, host, min_documents, max_share, min_words, min_share)
+    return judged.drop("host", "hash", "gone").withColumnRenamed("doc", doc_id)
+
+
+def _cleaned(docs: DataFrame, verdict: DataFrame, doc_id: str, text: str, host: str, more: tuple[str, ...], removed: str | None = None) -> DataFrame:
+    """The rows of ``docs`` that ``verdict`` has, without the boilerplate in ``text``; with its columns ``more``."""
+    key = F.struct("doc", "host", "hash")
+    judged = verdict.select(F.xxhash64(key).alias("__hash"), key.alias("__key"), F.col("gone").alias("__gone"), *more)
+    # repeated rows have the same verdict
+    judged = judged.dropDuplicates(["__hash", "__key"])
+    own = F.struct(F.col(doc_id).alias("doc"), F.col(host).cast("string").alias("host"), F.xxhash64(text).alias("hash"))
+    met = docs.withColumn("__own", own).withColumn("__own_hash", F.xxhash64("__own"))
+    met = met.join(judged, (F.col("__own_hash") == F.col("__hash")) & F.col("__own").eqNullSafe(F.col("__key")))
+    left = F.array_join(F.filter(F.split(text, "\n", -1), lambda line, i: ~F.array_contains("__gone", i)), "\n")
+    kept = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(left).alias(text)
+    count = [F.coalesce(F.size("__gone"), F.lit(0)).alias(removed)] if removed else []
+    return met.select(*[kept if name == text else F.col(name) for name in docs.columns], *count, *more)
+
+
+def clean_documents(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    host: str = "source",
+    min_documents: int = MIN_DOCUMENTS,
+    max_share: float = MAX_SHARE,
+    min_words: int = MIN_WORDS,
+    min_share: float = MIN_SHARE,
+) -> DataFrame:
+    """Per row what ``quality_verdicts`` returns, and ``text`` without its boilerplate lines."""
+    judged = _judged(docs, doc_id, text, host, min_documents, max_share, min_words, min_share)
+    names = *COUNTS, "base_failed", "n_words_left", "kept"
+    return _cleaned(docs.select(doc_id, host, text), judged, doc_id, text, host, names).select(doc_id, *names, text)
 
-    A null id can't be matched, so its rows are judged by id in a separate, null-safe join."""
-    good = quality_verdicts(docs, doc_id, **options).where("kept").select(F.col(doc_id).alias("__kept")).distinct()
-    return docs.join(good, F.col(doc_id).eqNullSafe(F.col("__kept")), "left_semi")
+
+def keep_good(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    host: str = "source",
+    min_documents: int = MIN_DOCUMENTS,
+    max_share: float = MAX_SHARE,
+    min_words: int = MIN_WORDS,
+    min_share: float = MIN_SHARE,
+    removed: str | None = None,
+) -> DataFrame:
+    """The rows of ``docs`` that pass, with all their columns and without boilerplate lines in
+    ``text``; ``removed`` names an added count of these."""
+    judged = _judged(docs, doc_id, text, host, min_documents, max_share, min_words, min_share)
+    return _cleaned(docs, judged.where("kept"), doc_id, text, host, (), removed)

@@ -132,5 +132,5 @@ FROM whole
 
 @query
 def op10_quality_rules(spark, sf):
-    """Base counts and verdict of every document."""
-    return quality.quality_verdicts(documents(spark, sf))
+    """Base counts and verdict of every document, and its text without boilerplate lines."""
+    return quality.clean_documents(documents(spark, sf))

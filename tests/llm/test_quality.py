@@ -3,6 +3,7 @@ from collections import Counter
 
 import pytest
 
+import corpus_pipeline
 from folioscope.llm import quality
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -71,3 +72,27 @@ def test_a_line_of_many_documents_is_boilerplate_in_a_large_host(spark):
     lost = {r.doc_id: r.n_words - r.n_words_left for r in quality.quality_verdicts(docs).collect()}
     # 30 of 1,500 documents hold the line, its numbered forms stand in 15 at most
     assert {i for i, n in lost.items() if n} == set(range(30)) and lost[0] == 15
+
+
+def test_boilerplate_leaves_the_text(spark, rows):
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = Counter((r.doc_id, r.text) for r in quality.clean_documents(docs, min_documents=5).collect())
+    menu = rows[0][1].split("\n")[0]
+
+    def left(text, host):
+        gone = host == "a" and text is not None
+        return "\n".join(x for x in text.split("\n") if x.lower().split() != menu.split()) if gone else text
+
+    assert got == Counter((r[0], left(r[1], r[2])) for r in rows)
+    kept = quality.keep_good(docs, min_documents=5).collect()
+    assert {r.doc_id for r in kept} >= {*range(12), None} and not any(menu in r.text for r in kept)
+    assert sum(r.doc_id == 1 for r in kept) == 2  # a repeated row
+
+
+def test_stage_removes_boilerplate_and_counts_anew(spark):
+    menu = "all rights to this page are reserved"
+    own = [" ".join(f"v{i}x{j}" for j in range(25)) for i in range(25)]
+    data = [(i, f"{menu}\n{x}\n", "s", 0) for i, x in enumerate(own)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, source string, n_chars bigint")
+    got = {(r.doc_id, r.text, r.n_chars) for r in corpus_pipeline.quality_rules(spark, docs, "").collect()}
+    assert got == {(i, f"{x}\n", len(x) + 1) for i, x in enumerate(own)}
