@@ -1,3 +1,4 @@
+import itertools
 import math
 import random
 import re
@@ -69,3 +70,31 @@ def test_empty_tables(spark):
     assert decontaminate.overlaps(docs.where("false"), bench).count() == 0
     assert decontaminate.overlaps(docs, bench.where("false")).count() == 0
     assert decontaminate.drop_contaminated(docs, bench.where("false")).count() == 1
+
+
+def test_masks_reach_every_placement_of_changes():
+    for size in range(decontaminate.LEAST, decontaminate.WINDOW + 1):
+        for changed in itertools.combinations(range(size), size - math.ceil(0.75 * size)):
+            equal = [i not in changed for i in range(size)]
+            assert any(
+                all(equal[at + k] for k, one in enumerate(mask) if one == "1")
+                for mask in decontaminate.MASKS
+                for at in range(size - len(mask) + 1)
+            ), (size, changed)
+
+
+def test_changes_at_random_places_are_found(spark):
+    draw = random.Random(8)
+    items, docs = [], []
+    for i in range(120):
+        n = draw.choice([8, 9, 11, 12, 15, 16, 17, 20])
+        item = [f"w{draw.randrange(500)}" for _ in range(n)]
+        size = min(n, 16)
+        changed = set(draw.sample(range(size), size - math.ceil(0.75 * size)))
+        passage = [f"x{i}k{k}" if k in changed else word for k, word in enumerate(item)]
+        docs.append((i, " ".join([f"a{i}"] * 9 + passage + [f"b{i}"] * 9)))
+        items.append((i, " ".join(item)))
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.overlaps(docs, bench).collect()}
+    assert {(i, i) for i in range(120)} <= got
