@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import chat, decontaminate, language, lines, minhash, packing, pii, quality, scoring, tokens
+from folioscope.llm import chat, decontaminate, language, lines, minhash, packing, pii, quality, scoring, substrings, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -134,3 +134,36 @@ FROM whole
 def op10_quality_rules(spark, sf):
     """Base counts and verdict of every document, and its text without boilerplate lines."""
     return quality.clean_documents(documents(spark, sf))
+
+
+@query
+def op13_substring_dedup(spark, sf):
+    """Every document without the words of passages of 35 words that stand elsewhere too."""
+    left = substrings.drop_repeated_passages(documents(spark, sf).select("doc_id", "text"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+ORACLE["op13_substring_dedup"] = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), windows AS (
+    SELECT r, i, array_to_string(words[i : i + 34], ' ') AS run
+    FROM (SELECT r, words, unnest(range(1, len(words) - 33)) AS i FROM texts)
+), repeated AS (
+    SELECT run FROM windows GROUP BY run HAVING count(*) > 1
+), gone AS (
+    SELECT DISTINCT r, i + k AS i
+    FROM windows JOIN repeated USING (run), (SELECT unnest(range(35)) AS k)
+), single AS (
+    SELECT r, unnest(range(1, len(words) + 1)) AS i, unnest(words) AS word FROM texts
+), kept AS (
+    SELECT r, count(*) FILTER (WHERE gone.i IS NOT NULL) AS n_removed,
+        string_agg(word, ' ' ORDER BY single.i) FILTER (WHERE gone.i IS NULL) AS left_over
+    FROM single LEFT JOIN gone USING (r, i) GROUP BY r
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed,
+    sha256(coalesce(left_over, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (r)
+"""
