@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import chat, decontaminate, language, lines, minhash, packing, pii, quality, scoring, substrings, tokens
+from folioscope.llm import chat, decontaminate, language, lines, minhash, packing, pii, prefixes, quality, scoring, substrings, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -136,6 +136,50 @@ def op10_quality_rules(spark, sf):
     return quality.clean_documents(documents(spark, sf))
 
 
+@query
+def op12_conversation_trie(spark, sf):
+    """Every prefix that conversations share, with their first turns taken from their family's head."""
+    rows = spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    return prefixes.prefix_trie(*prefixes.branched_off(*prefixes.ordered_turns(rows)))
+
+
+ORACLE["op12_conversation_trie"] = r"""
+WITH own AS (
+    SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+            ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), taken AS (
+    SELECT *, xor(4294967295, list_reduce(
+            list_concat([4294967295::BIGINT], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+                lambda x: [ascii(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+            lambda crc, x: xor(xor(crc, x) >> 1, (xor(crc, x) & 1) * 3988292384))) % 4 AS h
+    FROM own
+), rebuilt AS (
+    SELECT c.conv_id, list_concat(list_slice(coalesce(b.turns, []), 1, c.h), list_slice(c.turns, c.h + 1, len(c.turns))) AS turns
+    FROM taken c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20
+), members AS (
+    SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS depth FROM rebuilt
+), nodes AS (
+    SELECT depth, list_slice(turns, 1, depth) AS prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+        bool_and(depth = len(turns)) AS leaf,
+        coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE depth = len(turns)), '') AS ends
+    FROM members GROUP BY ALL
+), paths AS (
+    SELECT *, unnest(range(depth + 1)) AS above,
+        CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(prefix[depth].text, '[^\x20\x09-\x0D]+')) END AS words
+    FROM nodes
+), subtrees AS (
+    SELECT above AS depth, list_slice(prefix, 1, above) AS prefix, CAST(sum((n_convs - 1) * words) AS BIGINT) AS saved_tokens,
+        count(*) FILTER (WHERE leaf) AS n_leaves, count(*) FILTER (WHERE paths.depth = above + 1) AS n_children
+    FROM paths GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, s.n_children, s.n_leaves, s.saved_tokens,
+    sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN subtrees s USING (depth, prefix)
+LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.prefix = list_slice(n.prefix, 1, n.depth - 1)
+"""
+
+
 @query
 def op13_substring_dedup(spark, sf):
     """Every document without the words of passages of 35 words that stand elsewhere too."""
