@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import chat, decontaminate, language, lines, minhash, packing, pii, prefixes, quality, scoring, substrings, tokens
+from folioscope.llm import chat, decontaminate, language, lines, minhash, packing, pii, prefixes, quality, scoring, substrings, tokens, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -136,6 +136,12 @@ def op10_quality_rules(spark, sf):
     return quality.clean_documents(documents(spark, sf))
 
 
+@query
+def op11_embedding_whitening(spark, sf):
+    """Every usable vector on the leading components of all."""
+    return whitening.whiten(spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding"))
+
+
 @query
 def op12_conversation_trie(spark, sf):
     """Every prefix that conversations share, with their first turns taken from their family's head."""
