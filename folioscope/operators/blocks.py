@@ -102,3 +102,31 @@ def running_total(
         .drop("_before", "page_block")
     )
 
+
+
+def prefix_sums(
+    rows: DataFrame, keys: list[str], order: str, sums: dict[str, Column], block_size: int, ties: tuple[str, ...] = ()
+) -> DataFrame:
+    """Adds ``turn_block`` and, for each name in ``sums``, the sum of its column over the rows of
+    ``keys`` before the current one, by ``order`` (null first) and ``ties``.
+
+    Rows meet within blocks of ``block_size`` values of ``order`` only; earlier blocks add one
+    summary row each.
+    """
+    block = F.coalesce(F.floor(F.col(order) / F.lit(block_size)), F.lit(-(1 << 62)))
+    blocked = rows.withColumn("turn_block", block)
+    totals = blocked.groupBy(*keys, "turn_block").agg(*[F.sum(v).alias(f"_{n}") for n, v in sums.items()])
+    earlier = Window.partitionBy(*keys).orderBy("turn_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(
+        *keys, "turn_block", *[F.coalesce(F.sum(f"_{n}").over(earlier), F.lit(0)).alias(f"_{n}") for n in sums]
+    )
+    inside = (
+        Window.partitionBy(*keys, "turn_block")
+        .orderBy(F.col(order).asc_nulls_first(), *ties)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return blocked.join(before, [*keys, "turn_block"]).select(
+        *rows.columns,
+        "turn_block",
+        *[(F.coalesce(F.sum(v).over(inside), F.lit(0)) + F.col(f"_{n}")).alias(n) for n, v in sums.items()],
+    )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope import fixed_values as fv
+from folioscope.operators.blocks import prefix_sums
 
 SPEAKERS = ["user", "assistant"]
 TURNS_PER_BLOCK = 4096
@@ -119,10 +120,85 @@ def history_window(
     )
 
 
+def message_rows(conversations: DataFrame, turns_per_block: int = TURNS_PER_BLOCK) -> DataFrame:
+    """Every message with its place in the full history of its conversation.
+
+    ``conv_id, turn, turn_block, position`` (from 1)``, start, role, text``; ``start`` is the
+    number of characters before it when messages are written as ``role: text``, one a line.
+    Null texts are empty; rows without a conversation are left out; those of one turn are ordered
+    by role and text.
+    """
+    messages = _messages(conversations).where(F.col("conv_id").isNotNull())
+    messages = messages.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    written = (F.char_length("role") + F.char_length("text") + 3).cast("long")
+    placed = prefix_sums(
+        messages, ["conv_id"], "turn", {"earlier": F.lit(1).cast("long"), "start": written}, turns_per_block, ("role", "text")
+    )
+    return placed.select(
+        "conv_id", "turn", "turn_block", (F.col("earlier") + 1).alias("position"), "start", "role", "text"
+    )
+
+
+def history_extents(conversations: DataFrame, turns_per_block: int = TURNS_PER_BLOCK) -> DataFrame:
+    """For every user message its full history as an extent: the number of messages and of
+    characters before it.
+
+    The history itself is those first rows of ``message_rows``; written out for every message it
+    would grow with the square of the conversation.
+    """
+    return message_rows(conversations, turns_per_block).where(F.col("role") == "user").select(
+        "conv_id",
+        "turn",
+        F.col("text").alias("question"),
+        (F.col("position") - 1).alias("history_messages"),
+        F.col("start").alias("history_chars"),
+    )
+
+
+def _history_blocks(queries: DataFrame, messages: DataFrame, k: int | None) -> DataFrame:
+    """Per query the blocks of its conversation that its history reaches into, and how many
+    messages are left out before it."""
+    blocks = messages.groupBy("conv_id", "turn_block").agg(F.max("position").alias("last"))
+    total = F.max("last").over(Window.partitionBy("conv_id"))
+    omitted = F.greatest(total - 2 * k, F.lit(0)) if k is not None else F.lit(0).cast("long")
+    blocks = blocks.select("conv_id", "turn_block", "last", total.alias("total"), omitted.alias("omitted"))
+    asked = queries.select("query_id", F.col("conversation_id").alias("conv_id")).where("conv_id IS NOT NULL")
+    return asked.join(blocks.where("last > omitted"), "conv_id")
+
+
+def history_rows(
+    queries: DataFrame,
+    conversations: DataFrame,
+    k: int | None = None,
+    turns_per_block: int = TURNS_PER_BLOCK,
+) -> DataFrame:
+    """The history of each query's conversation as rows ``query_id, position, start, role, text``.
+
+    With ``k`` the last ``k`` exchanges, without it all messages.  Queries meet the blocks of
+    their conversation, then messages by conversation and block, so no task holds a conversation
+    and no row a history.
+    """
+    messages = message_rows(conversations, turns_per_block)
+    met = messages.join(_history_blocks(queries, messages, k), ["conv_id", "turn_block"]).where("position > omitted")
+    start = F.col("start")
+    if k is not None:
+        # at most 2k rows
+        start = start - F.min("start").over(Window.partitionBy("query_id"))
+    return met.select("query_id", (F.col("position") - F.col("omitted")).alias("position"), start.alias("start"), "role", "text")
+
+
 def system_prompt(document: dict[str, str] = fv.PROMPT_DOCUMENT) -> str:
     return fv.SYSTEM_PROMPT.format(**document)
 
 
+def human_message(query: Column, context: Column) -> Column:
+    return F.concat(
+        F.lit(fv.HUMAN_PROMPT_OPENING), context,
+        F.lit(fv.HUMAN_PROMPT_QUESTION), F.coalesce(query, F.lit("")),
+        F.lit(fv.HUMAN_PROMPT_CLOSING),
+    )
+
+
 def prompt_struct(
     query: Column, context: Column, history: Column, system: str | None = None
 ) -> Column:
@@ -130,12 +206,8 @@ def prompt_struct(
     return F.struct(
         F.lit(system or system_prompt()).alias("system"),
         history.alias("history"),
-        F.concat(
-            F.lit(fv.HUMAN_PROMPT_OPENING), context,
-            F.lit(fv.HUMAN_PROMPT_QUESTION), F.coalesce(query, F.lit("")),
-            F.lit(fv.HUMAN_PROMPT_CLOSING),
-        ).alias("human"),
-    )
+        human_message(query, context).alias("human"),
+    )
 
 
 def prompt_rows(
@@ -182,3 +254,39 @@ def prompt_rows(
         F.coalesce("num_contexts", F.lit(0)).alias("num_contexts"),
         F.coalesce("sources", no_sources).alias("sources"),
     )
+
+
+def prompt_messages(
+    queries: DataFrame,
+    hits: DataFrame,
+    conversations: DataFrame,
+    k: int | None = None,
+    system: str | None = None,
+    turns_per_block: int = TURNS_PER_BLOCK,
+) -> DataFrame:
+    """The prompt of each query as chat messages, one a row: ``query_id, position, role, text``.
+
+    Position 0 is the system text, then come the history (all of it without ``k``) and the human
+    message.  ``queries``: ``query_id, query, conversation_id``, one row a query.
+    """
+    sizes = message_rows(conversations, turns_per_block).groupBy("conv_id").agg(F.max("position").alias("total"))
+    said = F.coalesce("total", F.lit(0))
+    last = said if k is None else F.least(said, F.lit(2 * k))
+    # rows without a conversation would all meet in one task
+    talking = queries.where("conversation_id IS NOT NULL").join(
+        sizes.withColumnRenamed("conv_id", "conversation_id"), "conversation_id", "left"
+    )
+    counted = talking.select("query_id", "query", (last + 1).alias("position")).unionByName(
+        queries.where("conversation_id IS NULL").select("query_id", "query", F.lit(1).cast("long").alias("position"))
+    )
+    human = counted.join(context_blocks(hits).select("query_id", "context"), "query_id", "left").select(
+        "query_id",
+        "position",
+        F.lit("user").alias("role"),
+        human_message(F.col("query"), F.coalesce("context", F.lit(fv.NO_CONTEXT))).alias("text"),
+    )
+    opening = queries.select(
+        "query_id", F.lit(0).cast("long").alias("position"), F.lit("system").alias("role"), F.lit(system or system_prompt()).alias("text")
+    )
+    history = history_rows(queries, conversations, k, turns_per_block).select("query_id", "position", "role", "text")
+    return opening.unionByName(history).unionByName(human)

@@ -526,6 +526,13 @@ messages AS (
   SELECT conv_id, turn, role, text, concat(role, ': ', text) AS said FROM conversations
   WHERE role IN ('user', 'assistant'))"""
 
+HISTORY = f"""{MESSAGES},
+placed AS (
+  SELECT conv_id, turn, row_number() OVER w AS position,
+    CAST(coalesce(sum(length(said) + 1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start,
+    role, text
+  FROM messages WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))"""
+
 PROMPTS = f"""{CONTEXTS}, {MESSAGES},
 recent AS (
   SELECT conv_id, string_agg(said, chr(10) ORDER BY turn) AS history FROM
@@ -614,7 +621,7 @@ ORACLE: dict[str, str] = {
         "SELECT CAST((page_no - 2) // 3 AS INTEGER) AS page_partition, count(*) AS page_count, "
         "min(page_no) AS first_page FROM legal_pages WHERE page_no > 1 GROUP BY ALL",
     ),
-    "page_lines": with_(LINES, "SELECT doc_id, page_no, line_no, line FROM lines WHERE page_no > 1"),
+    "page_lines": with_(LINES, "SELECT doc_id, page_no, line_no, line FROM lines"),
     "header_footer_filter": with_(CLEAN, "SELECT doc_id, page_no, line_no, line FROM clean"),
     "exclusion_filter": with_(CANDIDATES, "SELECT doc_id, page_no, line_no, line FROM candidates"),
     "hybrid_footnotes": with_(FOOTNOTES, f"SELECT {FOOTNOTE_COLUMNS} FROM footnotes"),
@@ -826,6 +833,21 @@ FROM boosted GROUP BY query_id""",
         """SELECT conv_id, turn, text AS question, coalesce(history, '') AS history FROM (
   SELECT *, string_agg(said, chr(10)) OVER (PARTITION BY conv_id ORDER BY turn
     ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS history FROM messages) WHERE role = 'user'""",
+    ),
+    "full_history": with_(HISTORY, "SELECT conv_id, turn, position, start, role, text FROM placed"),
+    "history_extents": with_(
+        HISTORY,
+        """SELECT conv_id, turn, text AS question, position - 1 AS history_messages, start AS history_chars
+  FROM placed WHERE role = 'user'""",
+    ),
+    "prompt_messages": with_(
+        f"{PROMPTS}, {HISTORY.removeprefix(MESSAGES).lstrip(',')}",
+        f"""SELECT query_id, 0 AS position, 'system' AS role, {lit(SYSTEM)} AS text FROM search_queries
+UNION ALL SELECT query_id, position, role, text
+  FROM search_queries q JOIN placed p ON p.conv_id = q.conversation_id
+UNION ALL SELECT q.query_id, 1 + (SELECT count(*) FROM placed p WHERE p.conv_id = q.conversation_id), 'user',
+  concat({lit(fv.HUMAN_PROMPT_OPENING)}, context, {lit(fv.HUMAN_PROMPT_QUESTION)}, q.query, {lit(fv.HUMAN_PROMPT_CLOSING)})
+  FROM search_queries q JOIN rag USING (query_id)""",
     ),
     "prompt_rows": with_(
         PROMPTS,

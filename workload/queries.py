@@ -69,7 +69,7 @@ def page_partitions(spark, sf):
 
 @query
 def page_lines(spark, sf):
-    return lines.page_lines(page_source.page_slice(legal_pages(spark, sf), SKIP))
+    return lines.page_lines(legal_pages(spark, sf))
 
 
 @query
@@ -496,6 +496,23 @@ def history_window(spark, sf):
     return windows.select("conv_id", "turn", "question", history_text(F.col("history")).alias("history"))
 
 
+@query
+def full_history(spark, sf):
+    """Every message with its place in the whole history of its conversation."""
+    return prompt.message_rows(table(spark, sf, "conversations")).drop("turn_block")
+
+
+@query
+def history_extents(spark, sf):
+    return prompt.history_extents(table(spark, sf, "conversations"))
+
+
+@query
+def prompt_messages(spark, sf):
+    """The prompts with the whole history, one chat message a row."""
+    return prompt.prompt_messages(search_queries(spark, sf), contexts(spark, sf), table(spark, sf, "conversations"))
+
+
 def rag_result(spark, sf):
     return retrieval.rag_rows(
         search_queries(spark, sf),
