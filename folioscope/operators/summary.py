@@ -1,53 +1,107 @@
-"""Extractive summaries."""
+"""Extractive summaries by term and document frequencies."""
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope import fixed_values as fv
+from folioscope.functions.names import fresh
+from folioscope.functions.text import strip, word_count
+
+#: Words that count: four letters and more.
+WORD = r"(\p{L}{4,})"
+#: Weights are whole numbers of this unit, so sums don't depend on the order of rows.
+UNIT = 1_000_000
+MARK = "\x01"
+
+
+def sentences(text: Column) -> Column:
+    """A text cut behind full stops, question and exclamation marks that white space follows."""
+    marked = F.regexp_replace(strip(text), r"(?U)([.!?])\s+", f"$1{MARK}")
+    return F.filter(F.split(marked, MARK), lambda s: s != "")
+
+
+def document_frequencies(chunks: DataFrame, text: str = "content") -> DataFrame:
+    """``word, weight``: the inverse document frequency of every word of the table, in units.
+
+    ``weight`` is ln((N + 1) / (n + 1)) of N chunks of which n have the word.
+    """
+    found = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD)))
+    counted = chunks.select(F.explode(found).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    one = F.lit(1).alias("_one")
+    total = chunks.agg(F.count("*").alias("total")).select(one, "total")  # one row
+    weight = F.ln((F.col("total") + 1) / (F.col("n") + 1))
+    return (
+        counted.select(one, "*")
+        .join(F.broadcast(total), "_one")
+        .select("word", F.round(weight * UNIT).cast("long").alias("weight"))
+    )
 
 
-def summarize(text: Column, max_words: int = fv.SUMMARY_WORDS) -> Column:
-    """The most representative sentences of a text, in their order, up to
-    ``max_words`` words.
+def sentence_scores(chunks: DataFrame, keys: Sequence[str], text: str = "content") -> DataFrame:
+    """``keys, place, score`` of the sentences that have words.
 
-    A sentence scores the mean, over its words of four and more letters, of the
-    number of sentences of the text that contain the word.  The best sentence is
-    always kept (cut at the limit); the following ones are kept while they fit.
-    Like the model call it stands in for, the result depends on the row alone: no
-    corpus statistics, hence no shuffle and nothing to broadcast.
+    A word weighs its frequency in the chunk times its inverse document frequency in the table; a
+    sentence scores the mean weight of its words.  Words are counted within the row first, so one
+    row a word and chunk meets the table of frequencies, by a join that adaptive execution splits
+    at frequent words; its sums go back to sentences.
     """
+    listed = F.transform(sentences(F.col(text)), lambda s: F.regexp_extract_all(F.lower(s), F.lit(WORD)))
+    words = chunks.select(*keys, F.posexplode(listed).alias("place", "words")).select(
+        *keys, "place", F.explode("words").alias("word")
+    )
+    counted = words.groupBy(*keys, "word", "place").agg(F.count("*").alias("n"))
+    # a chunk has a bounded number of sentences
+    in_chunk = counted.groupBy(*keys, "word").agg(
+        F.sum("n").alias("frequency"), F.collect_list(F.struct("place", "n")).alias("places")
+    )
+    weighed = in_chunk.join(document_frequencies(chunks, text), "word").select(
+        *keys, (F.col("frequency") * F.col("weight")).alias("weight"), F.explode("places").alias("p")
+    )
+    return weighed.groupBy(*keys, F.col("p.place").alias("place")).agg(
+        (F.sum(F.col("weight") * F.col("p.n")) / F.sum("p.n")).alias("score")
+    )
 
-    def summary(value):
-        import re
-        from collections import Counter
-
-        if value is None:
-            return None
-        sentences = [s for s in re.split(r"(?<=[.!?])\s+", value.strip()) if s]
-        words = [re.findall(r"[^\W\d_]{4,}", s.lower()) for s in sentences]
-        spread = Counter(w for ws in words for w in set(ws))
-        scores = [sum(spread[w] for w in ws) / len(ws) if ws else 0.0 for ws in words]
-        order = sorted(range(len(sentences)), key=lambda i: (-scores[i], i))
-        kept, used = [], 0
-        for i in order:
-            size = len(sentences[i].split())
-            if used and used + size > max_words:
-                break
-            kept.append(i)
-            used += size
-        if used > max_words:
-            return " ".join(sentences[kept[0]].split()[:max_words])
-        return " ".join(sentences[i] for i in sorted(kept))
-
-    @F.pandas_udf("string")
-    def summaries(texts: pd.Series) -> pd.Series:
-        return texts.map(summary)
-
-    return summaries(text)
-
-
-def with_summary(chunks: DataFrame, max_words: int = fv.SUMMARY_WORDS) -> DataFrame:
-    return chunks.withColumn("summary", summarize(F.col("content"), max_words))
+
+def chosen_sentences(chunks: DataFrame, keys: Sequence[str], max_words: int, text: str = "content") -> DataFrame:
+    """``keys, places``: the best sentences of each chunk that has any, up to ``max_words``.
+
+    Sentences are taken by score, then by place, as long as a running count of words fits; the
+    best one is always taken.
+    """
+    sizes = chunks.select(*keys, F.posexplode(F.transform(sentences(F.col(text)), word_count)).alias("place", "size"))
+    scored = sizes.join(sentence_scores(chunks, keys, text), [*keys, "place"], "left")
+    best = Window.partitionBy(*keys).orderBy(F.coalesce("score", F.lit(0.0)).desc(), "place")
+    ranked = scored.select(
+        *keys, "place", F.row_number().over(best).alias("nth"),
+        F.sum("size").over(best.rowsBetween(Window.unboundedPreceding, 0)).alias("used"),
+    )
+    kept = ranked.where((F.col("nth") == 1) | (F.col("used") <= max_words))
+    return kept.groupBy(*keys).agg(F.collect_set("place").alias("places"))
+
+
+def with_summary(
+    chunks: DataFrame,
+    max_words: int = fv.SUMMARY_WORDS,
+    keys: Sequence[str] = ("doc_id", "chunk_id"),
+    text: str = "content",
+) -> DataFrame:
+    """Adds ``summary``: the chosen sentences in their order; a single one is cut at the limit.
+
+    ``keys`` identify a chunk.  A null text has a null summary, one without sentences an empty
+    one.  The text itself moves once, to meet the places of its sentences.
+    """
+    keys = list(keys)
+    places = chosen_sentences(chunks.select(*keys, text), keys, max_words, text)
+    of, chosen = {k: fresh(f"_of_{k}", chunks) for k in keys}, fresh("_places", chunks)
+    places = places.select(*[F.col(k).alias(of[k]) for k in keys], F.col("places").alias(chosen))
+    joined = chunks.join(places, [F.col(k).eqNullSafe(F.col(of[k])) for k in keys], "left")
+    taken = F.filter(sentences(F.col(text)), lambda s, i: F.array_contains(chosen, i))
+    cut = F.array_join(F.slice(F.regexp_extract_all(F.get(taken, F.lit(0)), F.lit(r"(?U)(\S+)")), 1, max_words), " ")
+    whole = F.array_join(taken, " ")
+    summary = F.when((F.size(taken) == 1) & (word_count(whole) > max_words), cut).otherwise(whole)
+    summary = F.when(F.col(text).isNull(), F.lit(None)).otherwise(F.coalesce(summary, F.lit("")))
+    return joined.select(*[F.col(c) for c in chunks.columns if c != "summary"], summary.alias("summary"))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioscope.operators import analytics, chunks, extraction
-from folioscope.operators.summary import summarize, with_summary
+from folioscope.operators.summary import document_frequencies, with_summary
 from folioscope.plans import documents
 from folioscope.sources import pages as page_source
 from folioscope.sources import tables
@@ -83,7 +83,7 @@ def test_process_conservative_saves_the_chunk_table(spark, pages):
 def test_replace_table_with_a_new_column(spark, pages):
     tables.save_table(chunks.flatten_chunks(chunks.main_text_chunks(pages, 60)), "grow")
     before = spark.table("grow").count()
-    tables.add_column(spark, "grow", "summary", summarize(F.col("content"), 5))
+    tables.replace_table(with_summary(spark.table("grow"), 5), "grow")
     grown = spark.table("grow")
     assert grown.columns[-1] == "summary" and grown.count() == before
     assert all(len(r["summary"].split()) <= 5 for r in grown.select("summary").collect())
@@ -190,9 +190,27 @@ def test_quality_report(spark):
 
 
 def test_summary_keeps_order_and_limit(spark):
-    text = "Alpha beta gamma delta. Short one here. Gamma delta alpha again. Unrelated words entirely!"
-    df = spark.createDataFrame([(text,), (None,), ("",)], "content string")
-    got = [r["summary"] for r in with_summary(df, 8).collect()]
-    assert got == ["Alpha beta gamma delta. Gamma delta alpha again.", None, ""]
-    (cut,) = with_summary(spark.createDataFrame([("w " * 50,)], "content string"), 7).collect()
+    """Words of few chunks weigh more: the sentences on gamma, which the other chunk lacks, win."""
+    text = "Alpha beta common words. Gamma delta first. Common words again. Gamma delta here!"
+    rows = [(1, text), (2, "Common words, again. Alpha beta here and first."), (3, None), (4, ""), (5, " . "), (None, "One two.")]
+    df = spark.createDataFrame([(i, t, "kept", 0) for i, t in rows], "chunk_id int, content string, summary string, _places int")
+    out = with_summary(df, 6, keys=["chunk_id"])
+    assert out.columns == ["chunk_id", "content", "_places", "summary"]
+    got = {r["chunk_id"]: r["summary"] for r in out.collect()}
+    assert got == {
+        1: "Gamma delta first. Gamma delta here!", 2: "Common words, again.", 3: None, 4: "", 5: ".", None: "One two.",
+    }
+    (cut,) = with_summary(spark.createDataFrame([(1, "w " * 50)], "chunk_id int, content string"), 7, ["chunk_id"]).collect()
     assert len(cut["summary"].split()) == 7
+
+
+def test_summary_is_planned_without_python(spark):
+    df = spark.createDataFrame([(1, "a b")], "chunk_id int, content string")
+    plan = with_summary(df, 5, ["chunk_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Cartesian" not in plan
+
+
+def test_document_frequencies(spark):
+    df = spark.createDataFrame([("Rare word WORD",), ("word é éééé",), (None,)], "content string")
+    got = {r["word"]: r["weight"] for r in document_frequencies(df).collect()}
+    assert got == {"rare": 693147, "word": 287682, "éééé": 693147}

@@ -560,7 +560,8 @@ def enhanced() -> str:
 
 SYSTEM = fv.SYSTEM_PROMPT.format(**fv.PROMPT_DOCUMENT)
 
-SUMMARY = rf"""{PACKED},
+def summaries(limit: int) -> str:
+    return rf"""{PACKED},
 sentence_lists AS (
   SELECT doc_id, chunk_id, list_filter(string_split(
     regexp_replace({strip('content')}, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)),
@@ -571,21 +572,25 @@ sentences AS (
 sentence_words AS (
   SELECT doc_id, chunk_id, i, unnest(regexp_extract_all(lower(sentence), '\pL{{4,}}')) AS word
   FROM sentences),
-spread AS (
-  SELECT doc_id, chunk_id, word, count(DISTINCT i) AS n FROM sentence_words GROUP BY ALL),
+in_chunk AS (
+  SELECT doc_id, chunk_id, word, count(*) AS frequency FROM sentence_words GROUP BY ALL),
+in_table AS (
+  SELECT word, CAST(round(ln(((SELECT count(*) FROM chunks) + 1) / (count(*) + 1)) * 1000000) AS BIGINT) AS weight
+  FROM in_chunk GROUP BY word),
 scores AS (
-  SELECT doc_id, chunk_id, i, sum(n) / count(*) AS score
-  FROM sentence_words JOIN spread USING (doc_id, chunk_id, word) GROUP BY ALL),
+  SELECT doc_id, chunk_id, i, sum(frequency * weight) / count(*) AS score
+  FROM sentence_words JOIN in_chunk USING (doc_id, chunk_id, word) JOIN in_table USING (word) GROUP BY ALL),
 ranked AS (
   SELECT s.*, row_number() OVER w AS nth, sum(size) OVER w AS used
   FROM sentences s LEFT JOIN scores c USING (doc_id, chunk_id, i)
   WINDOW w AS (PARTITION BY s.doc_id, s.chunk_id ORDER BY coalesce(score, 0) DESC, s.i
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 summaries AS (
-  SELECT doc_id, chunk_id, string_agg(CASE WHEN size > 60 THEN
-      array_to_string(regexp_extract_all(sentence, '\S+')[:60], ' ') ELSE sentence END,
+  SELECT doc_id, chunk_id, string_agg(CASE WHEN size > {limit} THEN
+      array_to_string(regexp_extract_all(sentence, '\S+')[:{limit}], ' ') ELSE sentence END,
       ' ' ORDER BY i) AS summary
-  FROM ranked WHERE nth = 1 OR used <= 60 GROUP BY ALL)"""
+  FROM ranked WHERE nth = 1 OR used <= {limit} GROUP BY ALL)"""
+
 
 SNAPSHOTS = """
 snapshot_old AS (
@@ -674,7 +679,8 @@ FROM members GROUP BY doc_id, chunk_id""",
     "chunk_contains": with_(
         SEMANTIC, "SELECT doc_id, chunk_id, chunk_type FROM semantic WHERE contains(content, 'Chamber')"
     ),
-    "extractive_summary": with_(SUMMARY, "SELECT doc_id, chunk_id, summary FROM summaries"),
+    "extractive_summary": with_(summaries(60), "SELECT doc_id, chunk_id, summary FROM summaries"),
+    "extractive_summary_long": with_(summaries(fv.SUMMARY_WORDS), "SELECT doc_id, chunk_id, summary FROM summaries"),
     "section_coverage": with_(
         PACKED,
         "SELECT section_type, count(*) AS chunk_count, round(avg(token_count), 6) AS avg_tokens, "
