@@ -8,13 +8,15 @@ all paragraphs.  The chain is cut into blocks of pages:
 * a block maps the fill level it starts with to the fill level it ends with and
   the number of chunks it closes.  As a function of the starting level this is a
   short list of steps, because the level only matters until the first close;
-* the steps of the blocks of one section, at most 32,768 rows, give every block its
-  starting level and chunk number;
+* the functions of the blocks of one section are scanned like prefix sums: those of
+  up to 128 neighbouring blocks are composed into one, up to 256 of these give every
+  group its start, and within its group every block gets its own;
 * with these, every block is packed on its own.
 
-Only documents longer than one block take part in the first two stages.  Only page
-numbers and token counts are handled here; the text joins afterwards.  Token
-counts are at least 1.
+Only documents longer than one block take part in the scan.  The chunks that a block
+closes from an empty start, all that other sections of a short document ask for, are
+counted within the row.  Only page numbers and token counts are handled here; the text
+joins afterwards.  Token counts are at least 1.
 """
 
 from __future__ import annotations
@@ -22,111 +24,181 @@ from __future__ import annotations
 from types import SimpleNamespace
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioscope import fixed_values as fv
 from folioscope.operators.blocks import BLOCK_KEYS, PAGES_PER_BLOCK, page_block
 
+BLOCKS_PER_GROUP = 128
 RUN_KEYS = ["doc_id", "section_type"]
 RUN_BLOCK_KEYS = [*RUN_KEYS, "page_block"]
 
 
 def _kernels(budget: int) -> SimpleNamespace:
-    """Arrow functions over one block per row.  Nested, so that executors get them
-    by value and need no copy of this package."""
+    """Arrow functions of the packing.  Nested, so that executors get them by value and
+    need no copy of this package.
 
-    from bisect import bisect_right
+    A block's function is ``[total, then (from level, chunks closed, final level) ...]`` by
+    rising level.  A final level of -1 stands for "starting level + total": nothing closed.
+    """
+
+    import numpy as np
 
-    def next_cut(ends, at):
-        """First paragraph of the chunk after the one that starts at ``at``."""
-        base = ends[at - 1] if at else 0
-        return max(bisect_right(ends, base + budget), at + 1)
+    def cuts(tokens):
+        """Running totals, and for each paragraph the first one after a chunk that starts with it."""
+        ends = np.cumsum(tokens)
+        after = np.searchsorted(ends, ends - tokens + budget, "right")
+        return ends, np.maximum(after, np.arange(1, len(ends) + 1))
 
     def first_cut(ends, fill):
-        cut = bisect_right(ends, budget - fill)
+        cut = int(np.searchsorted(ends, budget - fill, "right"))
         return max(cut, 1) if fill == 0 else cut
 
     def block_steps(tokens):
-        """``[total, chunks closed and final level from level 0,
-        then (from level, chunks closed, final level) ...]``.
-
-        A final level of -1 stands for "starting level + total": nothing closed.
-        """
-        ends = tokens.cumsum().tolist()
-        n = len(ends)
+        ends, after = cuts(tokens)
+        after, n = after.tolist(), len(ends)
         result = {}  # cut -> (chunks closed from there on, final level)
 
         def follow(cut):
             path = []
             while cut < n and cut not in result:
                 path.append(cut)
-                cut = next_cut(ends, cut)
+                cut = after[cut]
             for at in reversed(path):
                 if cut >= n:
-                    result[at] = (1, ends[-1] - (ends[at - 1] if at else 0))
+                    result[at] = (1, int(ends[-1] - ends[at] + tokens[at]))
                 else:
                     closed, level = result[cut]
                     result[at] = (closed + 1, level)
                 cut = at
             return result[cut]
 
-        empty = first_cut(ends, 0)
-        steps = [ends[-1], *(follow(empty) if empty < n else (0, ends[-1]))]
-        if budget - ends[-1] >= 1:
+        empty, total = first_cut(ends, 0), int(ends[-1])
+        steps = [total, 0, *(follow(empty) if empty < n else (0, total))]
+        if budget - total >= 1:
             steps += [1, 0, -1]
-        for cut in range(bisect_right(ends, budget - 1), -1, -1):
+        for cut in range(int(np.searchsorted(ends, budget - 1, "right")), -1, -1):
             if cut < n:
-                steps += [max(budget - ends[cut] + 1, 1), *follow(cut)]
+                steps += [max(budget - int(ends[cut]) + 1, 1), *follow(cut)]
         return steps
 
-    def enter(blocks, steps_of_blocks):
-        """``[block, chunk number, level]`` at the start of each block."""
-        chunk = level = 0
-        entered = []
-        for block, steps in zip(blocks, steps_of_blocks):
-            entered.append([int(block), chunk, level])
-            if level == 0:
-                closed, last = int(steps[1]), int(steps[2])
-            else:
-                at = 3 * bisect_right(steps[3::3].tolist(), level)
-                closed, last = int(steps[at + 1]), int(steps[at + 2])
-            level = level + int(steps[0]) if last == -1 else last
-            chunk += closed
-        return entered
-
-    def numbers(tokens, sizes, chunk, fill):
-        """Chunk numbers of the paragraphs, one list per page."""
-        ends = tokens.cumsum().tolist()
-        pages, page, left, cut = [], [], 0, first_cut(ends, fill)
-        sizes = iter(sizes.tolist())
-        left = next(sizes)
-        for i in range(len(ends)):
-            if i == cut:
-                chunk += 1
-                cut = next_cut(ends, cut)
-            if left == 0:
-                pages.append(page)
-                page, left = [], next(sizes)
-            page.append(chunk)
-            left -= 1
-        pages.append(page)
-        return pages
+    def pieces(steps):
+        return int(steps[0]), np.asarray(steps[1:], np.int64).reshape(-1, 3)
+
+    def apply(function, level):
+        """Chunks closed and final level from each of the starting levels."""
+        total, rows = function
+        hit = rows[np.searchsorted(rows[:, 0], level, "right") - 1]
+        return hit[:, 1], np.where(hit[:, 2] < 0, level + total, hit[:, 2])
+
+    def compose(one, two):
+        """First the block of ``one``, then that of ``two``."""
+        (total, rows), (more, others) = one, two
+        kept = rows[:, 2] >= 0
+        closed, last = apply(two, rows[kept, 2])
+        out = [np.stack([rows[kept, 0], rows[kept, 1] + closed, last], axis=1)]
+        for at in np.flatnonzero(~kept):
+            # levels that are passed on raised by the total: cut where the second function is
+            low = rows[at, 0]
+            high = rows[at + 1, 0] if at + 1 < len(rows) else np.iinfo(np.int64).max // 2
+            first = np.searchsorted(others[:, 0], low + total, "right") - 1
+            until = np.searchsorted(others[:, 0], high + total - 1, "right")
+            part = others[first:until].copy()
+            part[:, 0] = np.maximum(part[:, 0] - total, low)
+            part[:, 1] += rows[at, 1]
+            out.append(part)
+        merged = np.concatenate(out)
+        merged = merged[np.argsort(merged[:, 0], kind="stable")]
+        fresh = np.ones(len(merged), bool)
+        # the first row is the empty start; it stays by itself
+        fresh[2:] = (merged[2:, 1:] != merged[1:-1, 1:]).any(axis=1)
+        return total + more, merged[fresh]
+
+    def ordered(table, by):
+        table = table.sort_by(by)
+        return table, [pieces(x) for x in table.column("steps").to_pylist()]
+
+    def composed(table):
+        """One function of the blocks of a group."""
+        import pyarrow as pa
+
+        table, functions = ordered(table, "page_block")
+        whole = functions[0]
+        for function in functions[1:]:
+            whole = compose(whole, function)
+        steps = [whole[0], *whole[1].ravel().tolist()]
+        keys = table.slice(0, 1).select(["doc_id", "section_type", "block_group"])
+        return keys.append_column("steps", pa.array([steps], pa.list_(pa.int64())))
+
+    def walk(table, functions, chunk, level):
+        """Chunk number and level at the start of each function, and chunk number at its end."""
+        import pyarrow as pa
+
+        rows = []
+        for function in functions:
+            closed, last = apply(function, np.array([level]))
+            rows.append((chunk, level, chunk + int(closed[0])))
+            chunk, level = rows[-1][2], int(last[0])
+        for name, values in zip(("entry_chunk", "entry_level", "last_chunk"), zip(*rows)):
+            table = table.append_column(name, pa.array(values, pa.int64()))
+        return table.drop_columns(["steps"])
+
+    def group_entries(table):
+        table, functions = ordered(table, "block_group")
+        return walk(table, functions, 0, 0).drop_columns(["last_chunk"])
+
+    def block_entries(table, entry):
+        table, functions = ordered(table, "page_block")
+        start = entry.column("entry_chunk")[0].as_py(), entry.column("entry_level")[0].as_py()
+        return walk(table, functions, *start).drop_columns(["block_group"])
+
+    def numbers(tokens, chunk, fill):
+        """Chunk number of each paragraph."""
+        ends, after = cuts(tokens)
+        opens, at, after = [], first_cut(ends, fill), after.tolist()
+        while at < len(after):
+            opens.append(at)
+            at = after[at]
+        steps = np.zeros(len(after), np.int64)
+        steps[opens] = 1
+        return chunk + np.cumsum(steps)
+
+    def chunks(batches):
+        """One row per page, with the chunk numbers of its paragraphs."""
+        import pyarrow as pa
+
+        def flat(column):
+            return column.flatten().to_numpy(zero_copy_only=False)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tokens = flat(batch.column("tokens")).astype(np.int64)
+            bounds = np.cumsum(batch.column("tokens").value_lengths().to_numpy())[:-1]
+            starts = (batch.column(c).to_numpy() for c in ("first_chunk", "entry_level"))
+            found = np.concatenate([numbers(*run) for run in zip(np.split(tokens, bounds), *starts)])
+            sizes = flat(batch.column("sizes"))
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            rows = pa.array(np.repeat(np.arange(batch.num_rows), batch.column("sizes").value_lengths().to_numpy()))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").take(rows),
+                    batch.column("page_nos").flatten(),
+                    batch.column("section_type").take(rows),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(found, pa.int64())),
+                ],
+                names=["doc_id", "page_no", "section_type", "chunk_numbers"],
+            )
 
     @F.pandas_udf("array<bigint>")
     def steps(tokens: pd.Series) -> pd.Series:
         return tokens.map(block_steps)
 
-    @F.pandas_udf("array<array<bigint>>")
-    def entries(blocks: pd.Series, steps: pd.Series) -> pd.Series:
-        return pd.Series([enter(*row) for row in zip(blocks, steps)], dtype=object)
-
-    @F.pandas_udf("array<array<bigint>>")
-    def chunks(tokens: pd.Series, sizes: pd.Series, chunk: pd.Series, fill: pd.Series) -> pd.Series:
-        rows = zip(tokens, sizes, chunk, fill)
-        return pd.Series([numbers(*row) for row in rows], dtype=object)
-
-    return SimpleNamespace(steps=steps, entries=entries, chunks=chunks)
+    return SimpleNamespace(
+        steps=steps, composed=composed, group_entries=group_entries, block_entries=block_entries, chunks=chunks
+    )
 
 
 def block_runs(sectioned: DataFrame) -> DataFrame:
@@ -145,11 +217,61 @@ def block_runs(sectioned: DataFrame) -> DataFrame:
     )
 
 
+def _closed_from_empty(tokens: Column, budget: int) -> Column:
+    """Chunks that a run closes, its last one not counted, when it starts a section."""
+    zero = F.lit(0).cast("bigint")
+
+    def pack(state: Column, t: Column) -> Column:
+        full = (state["level"] > 0) & (state["level"] + t > budget)
+        return F.struct(
+            F.when(full, t).otherwise(state["level"] + t).cast("bigint").alias("level"),
+            (state["closed"] + F.when(full, 1).otherwise(0)).cast("bigint").alias("closed"),
+        )
+
+    start = F.struct(zero.alias("level"), zero.alias("closed"))
+    return F.aggregate(tokens, start, pack)["closed"]
+
+
+def _entries(runs: DataFrame, pages: DataFrame, kernel: SimpleNamespace, pages_per_block: int, per_group: int) -> DataFrame:
+    """``entry_chunk, entry_level, last_chunk`` of every block of documents longer than one."""
+    # The keys are those by which the runs already lie, so only this side moves.
+    long_documents = (
+        pages.where(F.col("page_no") >= pages_per_block)
+        .groupBy("doc_id")
+        .agg(F.max(page_block(pages_per_block)).alias("last_block"))
+        .select("doc_id", F.explode(F.sequence(F.lit(0), "last_block")).alias("page_block"))
+    )
+    group = [*RUN_KEYS, "block_group"]
+    # written out: composing groups and walking through them read the same exchange
+    stepped = (
+        runs.join(long_documents, BLOCK_KEYS, "left_semi")
+        .select(
+            *RUN_BLOCK_KEYS,
+            F.floor(F.col("page_block") / per_group).cast("int").alias("block_group"),
+            kernel.steps("tokens").alias("steps"),
+        )
+        .repartition(*group)
+    )
+    keys = [runs.schema[c] for c in RUN_KEYS]
+    group_no, block_no = (T.StructField(c, T.IntegerType()) for c in ("block_group", "page_block"))
+    entry = [T.StructField(c, T.LongType()) for c in ("entry_chunk", "entry_level")]
+    steps = T.StructField("steps", T.ArrayType(T.LongType()))
+    composed = stepped.groupBy(*group).applyInArrow(kernel.composed, T.StructType([*keys, group_no, steps]))
+    starts = composed.groupBy(*RUN_KEYS).applyInArrow(kernel.group_entries, T.StructType([*keys, group_no, *entry]))
+    ends = T.StructField("last_chunk", T.LongType())
+    return (
+        stepped.groupBy(*group)
+        .cogroup(starts.groupBy(*group))
+        .applyInArrow(kernel.block_entries, T.StructType([*keys, block_no, *entry, ends]))
+    )
+
+
 def assign_chunks(
     sectioned: DataFrame,
     pages: DataFrame,
     budget: int = fv.MAX_TOKENS_PER_CHUNK,
     pages_per_block: int = PAGES_PER_BLOCK,
+    blocks_per_group: int = BLOCKS_PER_GROUP,
 ) -> DataFrame:
     """Chunk numbers, from 1 per document, of the paragraphs of every page.
 
@@ -163,71 +285,48 @@ def assign_chunks(
     """
     kernel = _kernels(budget)
     runs = block_runs(sectioned)
-
-    # The keys are those by which the runs already lie, so only this side moves.
-    long_documents = (
-        pages.where(F.col("page_no") >= pages_per_block)
-        .groupBy("doc_id")
-        .agg(F.max(page_block(pages_per_block)).alias("last_block"))
-        .select("doc_id", F.explode(F.sequence(F.lit(0), "last_block")).alias("page_block"))
-    )
-    chains = (
-        runs.join(long_documents, BLOCK_KEYS, "left_semi")
-        .select(*RUN_BLOCK_KEYS, kernel.steps("tokens").alias("steps"))
-        .groupBy(*RUN_KEYS)
-        .agg(F.array_sort(F.collect_list(F.struct("page_block", "steps"))).alias("blocks"))
-    )
-    entry = F.col("entry")
-    entries = chains.select(
-        *RUN_KEYS,
-        F.explode(
-            kernel.entries(F.col("blocks")["page_block"], F.col("blocks")["steps"])
-        ).alias("entry"),
-    ).select(
-        *RUN_KEYS,
-        entry[0].cast("int").alias("page_block"),
-        entry[1].alias("entry_chunk"),
-        entry[2].alias("entry_level"),
-    )
-    packed = runs.join(entries, RUN_BLOCK_KEYS, "left").select(
+    entries = _entries(runs, pages, kernel, pages_per_block, blocks_per_group)
+    states = runs.select(
+        *RUN_BLOCK_KEYS,
+        F.get("page_nos", F.lit(0)).alias("first_page"),
+        _closed_from_empty(F.col("tokens"), budget).alias("closed"),
+    ).join(entries, RUN_BLOCK_KEYS, "left")
+    states = states.select(
         *RUN_BLOCK_KEYS,
-        "page_nos",
-        kernel.chunks(
-            "tokens",
-            "sizes",
-            F.coalesce("entry_chunk", F.lit(0)),
-            F.coalesce("entry_level", F.lit(0)),
-        ).alias("chunks"),
+        "first_page",
+        F.coalesce("entry_chunk", F.lit(0)).alias("entry_chunk"),
+        F.coalesce("entry_level", F.lit(0)).alias("entry_level"),
+        F.coalesce("last_chunk", "closed").alias("last_chunk"),
     )
-
-    numbered = packed.join(_section_offsets(packed), RUN_BLOCK_KEYS)
-    page = F.col("page")
-    return numbered.select(
-        *RUN_KEYS, "offset", F.explode(F.arrays_zip("page_nos", "chunks")).alias("page")
-    ).select(
-        "doc_id",
-        page["page_nos"].alias("page_no"),
-        "section_type",
-        F.transform(page["chunks"], lambda c: c + F.col("offset")).alias("chunk_numbers"),
+    placed = runs.join(_section_offsets(states), RUN_BLOCK_KEYS).select(
+        *RUN_KEYS, "page_nos", "sizes", "tokens", "first_chunk", "entry_level"
+    )
+    schema = T.StructType(
+        [
+            runs.schema["doc_id"],
+            T.StructField("page_no", runs.schema["page_nos"].dataType.elementType),
+            runs.schema["section_type"],
+            T.StructField("chunk_numbers", T.ArrayType(T.LongType())),
+        ]
     )
+    return placed.mapInArrow(kernel.chunks, schema)
 
 
-def _section_offsets(packed: DataFrame) -> DataFrame:
-    """Number of the first chunk of the section, one row per section and block."""
+def _section_offsets(states: DataFrame) -> DataFrame:
+    """Number of the chunk that is open at the start of each block, from 1 per document, and its
+    level."""
     section = Window.partitionBy(*RUN_KEYS)
     earlier = (
         Window.partitionBy("doc_id")
         .orderBy("section_page")
         .rangeBetween(Window.unboundedPreceding, -1)
     )
-    summaries = packed.select(
-        *RUN_BLOCK_KEYS,
-        F.get("page_nos", F.lit(0)).alias("first_page"),
-        F.element_at(F.flatten("chunks"), -1).alias("last_chunk"),
-    ).repartition("doc_id")
     return (
-        summaries.select(
+        states.repartition("doc_id")
+        .select(
             *RUN_BLOCK_KEYS,
+            "entry_chunk",
+            "entry_level",
             F.min("first_page").over(section).alias("section_page"),
             F.when(
                 F.col("page_block") == F.min("page_block").over(section),
@@ -238,6 +337,7 @@ def _section_offsets(packed: DataFrame) -> DataFrame:
         )
         .select(
             *RUN_BLOCK_KEYS,
-            (F.coalesce(F.sum("section_chunks").over(earlier), F.lit(0)) + 1).alias("offset"),
+            (F.col("entry_chunk") + F.coalesce(F.sum("section_chunks").over(earlier), F.lit(0)) + 1).alias("first_chunk"),
+            "entry_level",
         )
     )

@@ -35,12 +35,12 @@ def expected_numbers(rows, budget):
     return want
 
 
-def assigned(spark, rows, budget, size):
+def assigned(spark, rows, budget, size, group=packing.BLOCKS_PER_GROUP):
     df = spark.createDataFrame(
         rows, "doc_id bigint, page_no int, section_type string, tokens array<int>"
     )
     sectioned = df.withColumn("page_block", page_block(size))
-    got = packing.assign_chunks(sectioned, df, budget, size).collect()
+    got = packing.assign_chunks(sectioned, df, budget, size, group).collect()
     return {(r["doc_id"], r["page_no"]): list(r["chunk_numbers"]) for r in got}
 
 
@@ -64,6 +64,19 @@ def test_packing_agrees_with_a_loop(spark, size, budget):
     # all equal, and all larger than the budget
     rows += [(100, p, "A", [50]) for p in range(1, 40)] + [(101, p, "A", [300]) for p in range(1, 9)]
     assert assigned(spark, rows, budget, size) == expected_numbers(rows, budget)
+    if size < 10:
+        # functions of few blocks are composed, then many groups are walked through
+        assert assigned(spark, rows, budget, size, group=3) == expected_numbers(rows, budget)
+
+
+def test_packing_is_planned_once(spark):
+    df = spark.createDataFrame([(1, 1, "S", [5])], "doc_id bigint, page_no int, section_type string, tokens array<int>")
+    sectioned = df.withColumn("page_block", page_block(4))
+    packed = packing.assign_chunks(sectioned, df, 100, 4)
+    packed.collect()
+    plan = packed._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("MapInArrow chunks(") == 1
+    assert "collect_list(steps" not in plan
 
 
 def body(n, words):
