@@ -73,35 +73,29 @@ def carry_last(pages: DataFrame, column: str, pages_per_block: int = PAGES_PER_B
     )
 
 
-def running_total(
-    pages: DataFrame,
-    counted: DataFrame,
-    count: str,
-    alias: str,
-    pages_per_block: int = PAGES_PER_BLOCK,
+def numbered_items(
+    pages: DataFrame, items: str, alias: str, pages_per_block: int = PAGES_PER_BLOCK
 ) -> DataFrame:
-    """Add ``alias``: the sum of ``count`` over all earlier pages of the document.
+    """``doc_id, page_no, items`` and ``alias``: the number of items on all earlier pages.
 
-    ``counted`` holds the same pages with only ``doc_id, page_no`` and ``count``
-    needed; it is reduced to one row per block before it is shuffled.
+    ``items`` is an array, never null.  Pages are dealt out by block once, with their items;
+    the totals of blocks are read from that same exchange, so whatever makes the items is
+    planned once.  To keep the two reads alike the totals use every column of it: blocks are
+    ordered by their last page.
     """
-    blocked = pages.withColumn("page_block", page_block(pages_per_block))
-    summaries = (
-        counted.withColumn("page_block", page_block(pages_per_block))
-        .groupBy(*BLOCK_KEYS)
-        .agg(F.sum(count).alias("_block_total"))
-    )
-    before = summaries.select(
-        *BLOCK_KEYS,
-        F.coalesce(F.sum("_block_total").over(earlier_blocks()), F.lit(0)).alias("_before"),
+    blocked = (
+        keyed(pages)
+        .select("doc_id", "page_no", items, page_block(pages_per_block).alias("page_block"))
+        .repartition(*BLOCK_KEYS)
     )
-    running = F.sum(count).over(within_block()) - F.col(count) + F.coalesce("_before", F.lit(0))
-    return (
-        blocked.join(before, BLOCK_KEYS, "left")
-        .withColumn(alias, running)
-        .drop("_before", "page_block")
+    totals = blocked.groupBy(*BLOCK_KEYS).agg(
+        F.sum(F.size(items)).alias("_total"), F.max("page_no").alias("_last")
     )
-
+    earlier = Window.partitionBy("doc_id").orderBy("_last").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(*BLOCK_KEYS, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"))
+    own = F.size(items)
+    running = F.sum(own).over(within_block()) - own + F.col("_before")
+    return blocked.join(before, BLOCK_KEYS).select("doc_id", "page_no", items, running.alias(alias))
 
 
 def prefix_sums(

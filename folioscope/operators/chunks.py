@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from folioscope import fixed_values as fv
 from folioscope.functions.extract import bracket_paragraphs, bracket_tokens, section_marker
 from folioscope.functions.text import token_estimate
-from folioscope.operators.blocks import PAGES_PER_BLOCK, carry_last, keyed, running_total
+from folioscope.operators.blocks import PAGES_PER_BLOCK, carry_last, keyed, numbered_items
 from folioscope.operators.conservative import up_to_page
 from folioscope.operators.extraction import (
     FOOTNOTE_METHOD,
@@ -29,13 +29,6 @@ def semantic_chunks(extracted: DataFrame, pages_per_block: int = PAGES_PER_BLOCK
     """
     # No filter on the counts: it would be pushed below the extraction and run it again.
     has_paragraphs = F.col("n_paragraphs") > 0
-    counted = extracted.select(
-        "*",
-        F.when(has_paragraphs, F.col("n_paragraphs") + F.col("n_footnotes"))
-        .otherwise(0)
-        .alias("n_chunks"),
-    )
-    numbered = running_total(counted, counted, "n_chunks", "chunks_before", pages_per_block)
     method = F.lit(None).cast("string")
     paragraphs = F.transform(
         "paragraphs",
@@ -71,13 +64,13 @@ def semantic_chunks(extracted: DataFrame, pages_per_block: int = PAGES_PER_BLOCK
     )
     c = F.col("c")
     prefix = F.when(c["chunk_type"] == "paragraph", "para_").otherwise("footnote_")
+    none = F.array().cast(extracted.select(F.concat(paragraphs, footnotes).alias("x")).schema["x"].dataType)
+    found = extracted.select(
+        "doc_id", "page_no", F.when(has_paragraphs, F.concat(paragraphs, footnotes)).otherwise(none).alias("chunks")
+    )
+    numbered = numbered_items(found, "chunks", "chunks_before", pages_per_block)
     return numbered.select(
-        "doc_id",
-        "page_no",
-        "chunks_before",
-        F.posexplode(F.when(has_paragraphs, F.concat(paragraphs, footnotes))).alias(
-            "position", "c"
-        ),
+        "doc_id", "page_no", "chunks_before", F.posexplode("chunks").alias("position", "c")
     ).select(
         "doc_id",
         F.concat(prefix, F.col("chunks_before") + F.col("position") + 1).alias("chunk_id"),

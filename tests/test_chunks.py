@@ -177,3 +177,11 @@ def test_chunk_text_bounds(make_pages):
     for d in range(4):
         numbers = sorted(int(r["chunk_id"][-4:]) for r in got if r["doc_id"] == d)
         assert numbers == list(range(1, len(numbers) + 1))
+
+
+def test_semantic_chunks_extract_once(spark, make_pages, tmp_path):
+    make_pages([(1, i, f"{i}. " + "The Chamber notes that this paragraph stays " * 3) for i in range(1, 9)]).write.parquet(str(tmp_path / "p"))
+    numbered = chunks.semantic_chunks(extraction.extract_pages(spark.read.parquet(str(tmp_path / "p")), skip=0), pages_per_block=3)
+    assert sorted(r["chunk_id"] for r in numbered.collect()) == [f"para_{i}" for i in range(1, 9)]
+    plan = numbered._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
