@@ -87,8 +87,8 @@ def test_replace_table_with_a_new_column(spark, pages):
     grown = spark.table("grow")
     assert grown.columns[-1] == "summary" and grown.count() == before
     assert all(len(r["summary"].split()) <= 5 for r in grown.select("summary").collect())
-    names = {t.name for t in spark.catalog.listTables()}
-    assert not {"grow__staging", "grow__previous"} & names
+    versions = {t.name for t in spark.catalog.listTables(pattern="grow__v*")}
+    assert len(versions) == 2 and tables.current_version(spark, "grow") in versions
 
 
 def test_bucketed_tables_join_without_shuffle(spark, pages):
@@ -158,12 +158,92 @@ def test_changes_over_a_change_of_columns(spark):
     }
 
 
-def test_a_stale_name_does_not_stop_a_replacement(spark, pages):
-    tables.save_table(pages, "renewed")
-    tables.save_table(pages.limit(1), "renewed__previous")
-    tables.replace_table(spark.table("renewed").withColumn("extra", F.lit(1)), "renewed")
-    assert "extra" in spark.table("renewed").columns
-    assert not spark.catalog.tableExists("renewed__previous")
+@pytest.mark.parametrize("step", ["_write_version", "_point_to", "_drop_versions", "rows"])
+def test_a_failed_replacement_leaves_a_whole_version(spark, pages, monkeypatch, step):
+    """Whichever step fails, before or after its work, a reader finds one version or the other."""
+    before = sorted(map(tuple, pages.collect()))
+    grown = sorted((*r, 1) for r in before)
+    for late in (False, True):
+        name = f"renewed_{step.strip('_')}_{late}"
+        tables.save_table(pages, name)
+        new = spark.table(name).withColumn("extra", F.lit(1))
+        with monkeypatch.context() as patch:
+            if step == "rows":
+                new = new.where(F.when(F.col("page_no") == 10, F.raise_error(F.lit("lost"))).otherwise(True))
+            else:
+                real = getattr(tables, step)
+
+                def fail(*args, real=real, late=late):
+                    if late:
+                        real(*args)
+                    raise RuntimeError("lost")
+
+                patch.setattr(tables, step, fail)
+            with pytest.raises(Exception, match="lost"):
+                tables.replace_table(new, name)
+        spark.catalog.clearCache()
+        found = sorted(map(tuple, spark.table(name).collect()))
+        assert found == (grown if step == "_drop_versions" or (step == "_point_to" and late) else before)
+        tables.replace_table(spark.table(name).drop("extra").withColumn("more", F.lit("x")), name)
+        assert spark.table(name).columns == [*pages.columns, "more"] and spark.table(name).count() == 10
+        tables.drop_table(spark, name)
+        assert not spark.catalog.listTables(pattern=f"{name}*".lower())
+
+
+def test_a_reader_keeps_the_version_it_began_with(spark, pages):
+    tables.save_table(pages, "read_on")
+    reader = spark.table("read_on")
+    tables.replace_table(reader.where("page_no < 4"), "read_on")
+    assert reader.count() == 10 and spark.table("read_on").count() == 3
+
+
+def test_a_plain_table_is_taken_over(spark, pages, monkeypatch):
+    pages.write.saveAsTable("plain")
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_point_to", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            tables.replace_table(spark.table("plain").limit(1), "plain")
+    assert spark.table("plain").count() == 10
+    tables.replace_table(spark.table("plain").limit(1), "plain")
+    assert spark.table("plain").count() == 1 and tables.current_version(spark, "plain")
+
+
+NESTED_SCHEMA = "id bigint, text string, score double, ok boolean, tags array<string>, at struct<page:int,part:string>, more map<string,int>"
+
+
+def nested_rows(spark):
+    rows = [
+        (1, 'says "so", twice\n\nand more ', 0.5, True, ["a", 'b"c'], (1, None), {"x": 1}),
+        (2, " \t", None, None, [], (None, "é,\n"), {}),
+        (3, None, -1.5, False, None, None, None),
+        (4, "", 1e300, True, [None], (2, ""), {"y": None}),
+    ]
+    return spark.createDataFrame(rows, NESTED_SCHEMA)
+
+
+@pytest.mark.parametrize("fmt", ["json", "jsonl", "csv", "parquet"])
+def test_exports_are_read_back(spark, scratch, fmt):
+    rows = nested_rows(spark)
+    tables.export(rows, f"{scratch}/{fmt}", fmt)
+    good, broken = tables.read_export(spark, f"{scratch}/{fmt}", fmt, rows.schema)
+    assert good.schema.simpleString() == rows.schema.simpleString()
+    assert sorted(good.collect(), key=str) == sorted(rows.collect(), key=str)
+    assert broken.count() == 0
+
+
+def test_broken_rows_are_set_apart(spark, scratch):
+    rows = nested_rows(spark)
+    for fmt in ("json", "csv"):
+        tables.export(rows, f"{scratch}/{fmt}", fmt)
+    lines = ['{"id": 5, "text": "cut', '{"id": "six", "text": "t"}', '{"id": 7, "tags": "none"}']
+    spark.createDataFrame([(x,) for x in lines], "value string").write.mode("append").text(f"{scratch}/json")
+    good, broken = tables.read_export(spark, f"{scratch}/json", "json", rows.schema)
+    assert good.count() == 4 and sorted(r["_corrupt_record"] for r in broken.collect()) == sorted(lines)
+    records = ["id,text,score,ok,tags,at,more", '8,t,1.0,true,"[""a""","{}",{}', "nine,t,1.0,true,[],{},{}", '10,t,1.0,true,[],"[1]",{}']
+    spark.createDataFrame([("\n".join(records),)], "value string").write.mode("append").text(f"{scratch}/csv")
+    good, broken = tables.read_export(spark, f"{scratch}/csv", "csv", rows.schema)
+    assert good.count() == 4
+    assert sorted(r["_corrupt_record"] for r in broken.collect()) == ['at: [1]', "nine,t,1.0,true,[],{},{}", 'tags: ["a"']
 
 
 def test_sections_without_summaries_have_no_ratio(spark):

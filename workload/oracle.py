@@ -639,6 +639,25 @@ ORACLE: dict[str, str] = {
         "CAST(sum(footnote_count) AS BIGINT) AS total_footnotes FROM status",
     ),
     "semantic_chunks": with_(SEMANTIC, "SELECT * REPLACE (round(confidence, 6) AS confidence) FROM semantic"),
+    "saved_pages": with_(LEGAL_PAGES, "SELECT doc_id, page_no, page_text AS native_text FROM legal_pages"),
+    "saved_extraction": with_(
+        PARAGRAPHS,
+        """SELECT doc_id, page, 'paragraph' AS kind, paragraph_number AS number, content FROM paragraphs
+UNION ALL SELECT doc_id, page, 'footnote', footnote_number, content FROM footnotes""",
+    ),
+    "replaced_table": with_(
+        PACKED,
+        """SELECT doc_id, chunk_id, section_type, token_count, CAST(length(content) AS INTEGER) AS content_chars
+  FROM chunks WHERE section_type <> 'HEADER'""",
+    ),
+    "exported_json": with_(SEMANTIC, "SELECT * REPLACE (round(confidence, 6) AS confidence) FROM semantic"),
+    "exported_csv": with_(SEMANTIC, "SELECT * REPLACE (round(confidence, 6) AS confidence) FROM semantic"),
+    "exported_parquet": with_(SEMANTIC, "SELECT * REPLACE (round(confidence, 6) AS confidence) FROM semantic"),
+    "exported_extraction": with_(
+        PARAGRAPHS,
+        """SELECT doc_id, page, 'paragraph' AS kind, paragraph_number AS number, footnote_references AS mentioned
+  FROM paragraphs UNION ALL SELECT doc_id, page, 'footnote', footnote_number, '' FROM footnotes""",
+    ),
     "sections": with_(SECTIONS, "SELECT * FROM sections"),
     "conservative_footnotes": with_(
         CONSERVATIVE_NOTES, "SELECT * REPLACE (round(confidence, 6) AS confidence) FROM conservative"

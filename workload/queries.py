@@ -6,6 +6,7 @@ so that a second engine can be compared value by value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,7 @@ from folioscope.operators.summary import with_summary
 from folioscope.operators.vectorize import fit_vectorizer, text_encoder, vectorize
 from folioscope.plans import documents, retrieval
 from folioscope.sources import pages as page_source
+from folioscope.sources import tables
 from folioscope.sources.tables import table_counts
 from folioscope.streaming.changes import snapshot_diff
 from workload.fixtures import (
@@ -113,11 +115,10 @@ def run_statistics(spark, sf):
     return extraction.run_statistics(extraction.page_status(extracted(spark, sf)))
 
 
-@query
-def semantic_chunks(spark, sf):
+def flat_chunks(numbered):
     meta = F.col("metadata")
     return rounded(
-        chunks.semantic_chunks(extracted(spark, sf)).select(
+        numbered.select(
             "doc_id",
             "chunk_id",
             "content",
@@ -136,6 +137,97 @@ def semantic_chunks(spark, sf):
     )
 
 
+@query
+def semantic_chunks(spark, sf):
+    return flat_chunks(chunks.semantic_chunks(extracted(spark, sf)))
+
+
+# --- saved tables and exports -------------------------------------------------
+
+
+def export_folder(spark):
+    """A new folder beside the managed tables, which all executors see."""
+    return f"{spark.conf.get('spark.sql.warehouse.dir')}/exports/{uuid.uuid4()}"
+
+
+@query
+def saved_pages(spark, sf):
+    """Pages saved over an earlier table of the name, and read as pages again."""
+    pages = legal_pages(spark, sf)
+    tables.save_table(pages.select("doc_id"), "workload_pages")
+    tables.save_table(pages, "workload_pages", bucket_by=["doc_id", "page_no"], buckets=8)
+    return page_source.pages_table(spark, "workload_pages").select("doc_id", "page_no", "native_text")
+
+
+@query
+def saved_extraction(spark, sf):
+    """Both tables of an extraction, read back."""
+    found = extracted(spark, sf)
+    tables.save_extraction(extraction.hybrid_paragraphs(found), extraction.hybrid_footnotes(found), "workload")
+    paragraphs = spark.table("workload_paragraphs").select(
+        "doc_id", "page", F.lit("paragraph").alias("kind"), F.col("paragraph_number").alias("number"), "content"
+    )
+    return paragraphs.unionByName(
+        spark.table("workload_footnotes").select(
+            "doc_id", "page", F.lit("footnote").alias("kind"), F.col("footnote_number").alias("number"), "content"
+        )
+    )
+
+
+@query
+def replaced_table(spark, sf):
+    """A chunk table replaced by what is read from it: with a new column, without another and
+    without some rows."""
+    tables.save_table(packed(spark, sf), "workload_chunks")
+    tables.add_column(spark, "workload_chunks", "content_chars", F.char_length("content"))
+    kept = spark.table("workload_chunks").where("section_type <> 'HEADER'").drop("content")
+    tables.replace_table(kept, "workload_chunks")
+    return spark.table("workload_chunks").select("doc_id", "chunk_id", "section_type", "token_count", "content_chars")
+
+
+def exported(spark, sf, fmt):
+    """Chunks with nested columns, written and read back; no row may be broken."""
+    numbered = chunks.semantic_chunks(extracted(spark, sf))
+    folder = export_folder(spark)
+    tables.export(numbered, folder, fmt)
+    good, broken = tables.read_export(spark, folder, fmt, numbered.schema)
+    return flat_chunks(good.unionByName(broken.drop("_corrupt_record")))
+
+
+@query
+def exported_json(spark, sf):
+    return exported(spark, sf, "json")
+
+
+@query
+def exported_csv(spark, sf):
+    return exported(spark, sf, "csv")
+
+
+@query
+def exported_parquet(spark, sf):
+    return exported(spark, sf, "parquet")
+
+
+@query
+def exported_extraction(spark, sf):
+    """Paragraphs and footnotes of the JSON export of an extraction, read back."""
+    found, folder = extracted(spark, sf), export_folder(spark)
+    paragraphs, footnotes = extraction.hybrid_paragraphs(found), extraction.hybrid_footnotes(found)
+    tables.export_json(paragraphs, footnotes, chunks.semantic_chunks(found), folder)
+    p, _ = tables.read_export(spark, f"{folder}/hybrid_paragraphs", "json", paragraphs.schema)
+    n, _ = tables.read_export(spark, f"{folder}/hybrid_footnotes", "json", footnotes.schema)
+    return p.select(
+        "doc_id", "page", F.lit("paragraph").alias("kind"), F.col("paragraph_number").alias("number"),
+        joined("footnote_references").alias("mentioned"),
+    ).unionByName(
+        n.select(
+            "doc_id", "page", F.lit("footnote").alias("kind"), F.col("footnote_number").alias("number"),
+            joined("referenced_paragraphs").alias("mentioned"),
+        )
+    )
+
+
 # --- conservative extraction and chunks ---------------------------------------
 
 
