@@ -11,7 +11,7 @@ from folioscope.operators.summary import document_frequencies, with_summary
 from folioscope.plans import documents
 from folioscope.sources import pages as page_source
 from folioscope.sources import tables
-from folioscope.streaming.changes import snapshot_diff
+from folioscope.streaming.changes import changed_since, differing_buckets, save_snapshot, snapshot_diff
 
 NOTE = "1 ICC-01/04, para. 5"
 PARA = "2. The Chamber notes that this paragraph is long enough to stay"
@@ -146,6 +146,39 @@ def test_change_types(spark):
     }
 
 
+def test_saved_snapshots_read_only_what_differs(spark, scratch):
+    old = spark.range(400).select(F.col("id").alias("chunk_id"), F.concat(F.lit("text "), "id").alias("a"), F.lit(None).cast("int").alias("b"))
+    new = old.where("chunk_id <> 7").withColumn("a", F.when(F.col("chunk_id") == 11, "other").otherwise(F.col("a")))
+    new = new.select("chunk_id", "b", "a").unionByName(spark.createDataFrame([(1000, None, None)], "chunk_id bigint, b int, a string"))
+    save_snapshot(old, f"{scratch}/old", buckets=32)
+    save_snapshot(new, f"{scratch}/new", buckets=32)
+    differing = differing_buckets(spark, f"{scratch}/old", f"{scratch}/new")
+    assert 1 <= len(differing) <= 3
+    diff = changed_since(spark, f"{scratch}/old", f"{scratch}/new")
+    assert sorted(map(tuple, diff.collect()), key=str) == sorted(map(tuple, snapshot_diff(old, new).collect()), key=str)
+    plan = diff._jdf.queryExecution().executedPlan().toString()
+    listed = ", ".join(map(str, differing)) if len(differing) > 1 else str(differing[0])
+    scans = [line for line in plan.split("\n") if "FileScan" in line]
+    assert scans and all(f"PartitionFilters: [_bucket#" in line and listed.replace(", ", ",") in line.replace(", ", ",") for line in scans)
+    assert changed_since(spark, f"{scratch}/old", f"{scratch}/old").count() == 0
+    with pytest.raises(ValueError):
+        save_snapshot(new, f"{scratch}/other", buckets=16)
+        changed_since(spark, f"{scratch}/old", f"{scratch}/other")
+
+
+def test_saved_snapshots_over_a_change_of_columns(spark, scratch):
+    old = spark.createDataFrame([(1, "a", 7), (2, "b", None), (3, None, 9)], "chunk_id int, content string, gone int")
+    new = spark.createDataFrame([(1, "a", "s"), (2, "b", None), (3, None, None)], "chunk_id int, content string, _bucket string")
+    empty = old.limit(0)
+    for name, df in (("old", old), ("new", new), ("empty", empty)):
+        save_snapshot(df, f"{scratch}/{name}", buckets=4)
+    for one, two, was, now in (("old", "new", old, new), ("empty", "new", empty, new), ("old", "empty", old, empty)):
+        got = changed_since(spark, f"{scratch}/{one}", f"{scratch}/{two}")
+        want = snapshot_diff(was, now)
+        assert got.columns == want.columns
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
 def test_changes_over_a_change_of_columns(spark):
     old = spark.createDataFrame([(1, "a", 7), (2, "b", 8), (3, None, 9)], "chunk_id int, content string, gone int")
     new = spark.createDataFrame([(1, "a", "s"), (3, None, None), (4, "d", "t")], "chunk_id int, content string, summary string")

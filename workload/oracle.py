@@ -606,6 +606,14 @@ changed AS (
   WHERE o.content IS DISTINCT FROM n.content OR o.section_type IS DISTINCT FROM n.section_type)"""
 
 
+CHANGES = """SELECT *, 'insert' AS _change_type FROM snapshot_new
+  WHERE chunk_id NOT IN (SELECT chunk_id FROM snapshot_old)
+UNION ALL SELECT *, 'delete' FROM snapshot_old
+  WHERE chunk_id NOT IN (SELECT chunk_id FROM snapshot_new)
+UNION ALL SELECT *, 'update_preimage' FROM snapshot_old WHERE chunk_id IN (SELECT chunk_id FROM changed)
+UNION ALL SELECT *, 'update_postimage' FROM snapshot_new WHERE chunk_id IN (SELECT chunk_id FROM changed)"""
+
+
 def with_(ctes: str, select: str) -> str:
     return f"WITH RECURSIVE {ctes}\n{select}"
 
@@ -881,15 +889,8 @@ UNION ALL SELECT q.query_id, 1 + (SELECT count(*) FROM placed p WHERE p.conv_id
          {lit(fv.HUMAN_PROMPT_CLOSING)}) AS human FROM rag""",
     ),
     "rag_results": with_(PROMPTS, "SELECT query_id, conversation_id, num_contexts, sources FROM rag"),
-    "change_feed": with_(
-        SNAPSHOTS,
-        """SELECT *, 'insert' AS _change_type FROM snapshot_new
-  WHERE chunk_id NOT IN (SELECT chunk_id FROM snapshot_old)
-UNION ALL SELECT *, 'delete' FROM snapshot_old
-  WHERE chunk_id NOT IN (SELECT chunk_id FROM snapshot_new)
-UNION ALL SELECT *, 'update_preimage' FROM snapshot_old WHERE chunk_id IN (SELECT chunk_id FROM changed)
-UNION ALL SELECT *, 'update_postimage' FROM snapshot_new WHERE chunk_id IN (SELECT chunk_id FROM changed)""",
-    ),
+    "change_feed": with_(SNAPSHOTS, CHANGES),
+    "change_feed_of_snapshots": with_(SNAPSHOTS, CHANGES),
     "change_feed_new_column": with_(
         SNAPSHOTS,
         """SELECT *, CAST(NULL AS VARCHAR) AS summary,

@@ -21,7 +21,7 @@ from folioscope.plans import documents, retrieval
 from folioscope.sources import pages as page_source
 from folioscope.sources import tables
 from folioscope.sources.tables import table_counts
-from folioscope.streaming.changes import snapshot_diff
+from folioscope.streaming.changes import changed_since, save_snapshot, snapshot_diff
 from workload.fixtures import (
     chunk_search,
     chunk_texts,
@@ -682,3 +682,12 @@ def change_feed_new_column(spark, sf):
     """The same after the newer version got a column."""
     old, new = snapshots(spark, sf)
     return snapshot_diff(old, new.withColumn("summary", F.concat(F.lit("Section "), "section_type")))
+
+
+@query
+def change_feed_of_snapshots(spark, sf):
+    """The changes between two saved snapshots, by their digests."""
+    folder = export_folder(spark)
+    for name, version in zip(("old", "new"), snapshots(spark, sf)):
+        save_snapshot(version, f"{folder}/{name}", buckets=16)
+    return changed_since(spark, f"{folder}/old", f"{folder}/new")
