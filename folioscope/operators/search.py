@@ -15,9 +15,9 @@ from folioscope.functions.queries import (
     section_weight,
 )
 
-# Queries are cut into slices of so many bytes of vectors, chunks into parts of so many rows.
+# Queries are cut into slices, chunks into parts of so many bytes of vectors, whatever their length.
 SLICE_BYTES = 64 << 20
-CHUNKS_PER_PART = 100_000
+PART_BYTES = 128 << 20
 
 QUERY_KEYS = ["query_id", "variant"]
 
@@ -136,7 +136,7 @@ def similarity_topk(
     queries: DataFrame,
     chunks: DataFrame,
     slice_bytes: int = SLICE_BYTES,
-    chunks_per_part: int = CHUNKS_PER_PART,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """The ``k`` most similar chunks of each query row by dot product.
 
@@ -171,8 +171,9 @@ def similarity_topk(
         return F.greatest(F.ceil(F.coalesce(n, F.lit(0))).cast("int"), F.lit(1))
 
     one = F.lit(1).alias("_one")
-    slices = wanted.agg(at_least_one(F.sum(F.size("embedding")) * 8 / slice_bytes).alias("slices"))
-    parts = vectors.agg(at_least_one(F.count("*") / chunks_per_part).alias("parts"))
+    vector_bytes = F.sum(F.size("embedding").cast("long")) * 8
+    slices = wanted.agg(at_least_one(vector_bytes / slice_bytes).alias("slices"))
+    parts = vectors.agg(at_least_one(vector_bytes / part_bytes).alias("parts"))
     counts = F.broadcast(slices.select(one, "*").join(parts.select(one, "*"), "_one"))  # one row
 
     def every(n: str) -> Column:
