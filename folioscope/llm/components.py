@@ -7,15 +7,19 @@ minimum, aggregated before the shuffle; no neighbourhood is collected.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from folioscope.llm.storage import cut
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """``edges`` cut off from their plan, with their number and a sum of hashes, which are taken
+    while they are written."""
+    seen = Observation()
+    digest = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
+    now = cut(edges.observe(seen, F.count(F.lit(1)).alias("n"), digest.alias("digest")))
+    return now, (seen.get["n"], seen.get["digest"])
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -24,7 +28,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     if large:
         around = around.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = around.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-    joined = around.join(least, "a")
+    # a round of broadcasts would cost the driver a job and a table for every join
+    joined = around.join(least.hint("merge"), "a")
     if large:
         moved = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
@@ -40,11 +45,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Null ends and loops are ignored; repeated and reversed edges count once."""
     x, y = F.col(a), F.col(b)
-    now = cut(edges.where(x != y).select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).distinct())
-    seen = _fingerprint(now)
+    now, seen = _written(edges.where(x != y).select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).distinct())
     while seen[0]:
-        now = cut(_star(_star(now, True), False))
-        last, seen = seen, _fingerprint(now)
+        last = seen
+        now, seen = _written(_star(_star(now, True), False))
         if seen == last:
             break
     stars = now.select(F.col("a").alias("id"), F.col("b").alias("component"))
