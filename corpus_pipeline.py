@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.llm import decontaminate, lines, minhash, packing, quality
-from folioscope.llm.storage import cut
+from folioscope.llm.storage import clear, cut, stored
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -74,5 +74,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
+        before = stored()
         docs = cut(stage(spark, docs, sf_dir))
+        # the stage is written; what it stored on the way is read no more
+        clear(spark, [path for path in stored() if path not in before])
     return STAGES[-1][1](spark, docs, sf_dir)
