@@ -12,7 +12,9 @@ pass all seeds that the benchmark has and few others; the join is exact.
 
 Defined cases: null and empty texts have no seeds. Items or documents with fewer than ``LEAST``
 tokens overlap with nothing. Null ids are passed on. Repeated rows count once. An empty
-table on either side gives no rows. Other columns are not read.
+table on either side gives no rows. Very long texts are scanned one at a time, in memory
+proportional to the text. Other columns, of any name, are not read, and pass through
+``drop_contaminated``.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.functions.names import fresh
 from folioscope.llm import words as w
 from folioscope.llm.storage import cut
 
@@ -146,6 +149,18 @@ def _aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield found[found["n_equal"] > 0]
 
 
+def _bitmap(places: DataFrame) -> np.ndarray:
+    """Flags of ``1 << FILTER_BITS`` places, made in the tasks; the driver takes pieces of 4 KB."""
+    flags = np.zeros(1 << FILTER_BITS, bool)
+    parts = places.groupBy(F.shiftright("at", 15).alias("part")).agg(
+        F.bitmap_construct_agg(F.col("at").bitwiseAND((1 << 15) - 1)).alias("bits")
+    )
+    for row in parts.collect():
+        first = row["part"] << 15
+        flags[first : first + (1 << 15)] = np.unpackbits(np.frombuffer(row["bits"], np.uint8), bitorder="little")
+    return flags
+
+
 def overlaps(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -168,9 +183,7 @@ def overlaps(
     )
     top = F.shiftrightunsigned("seed", 64 - 2 * FILTER_BITS)
     pairs = seeds.select(F.shiftright(top, FILTER_BITS).alias("one"), top.bitwiseAND((1 << FILTER_BITS) - 1).alias("two"))
-    bitmaps = np.zeros((2, 1 << FILTER_BITS), bool)
-    for row in pairs.distinct().toLocalIterator():
-        bitmaps[0, row.one] = bitmaps[1, row.two] = True
+    bitmaps = np.stack([_bitmap(pairs.select(F.col(half).alias("at"))) for half in ("one", "two")])
 
     narrow = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
     regions = cut(
@@ -198,5 +211,6 @@ def overlaps(
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` without an overlap, with all their columns."""
-    found = overlaps(docs, benchmark, doc_id, **options).select(F.col(doc_id).alias("__hit")).distinct()
-    return docs.join(found, F.col(doc_id).eqNullSafe(F.col("__hit")), "left_anti")
+    id_hit = fresh("_hit", docs)
+    found = overlaps(docs, benchmark, doc_id, **options).select(F.col(doc_id).alias(id_hit)).distinct()
+    return docs.join(found, F.col(doc_id).eqNullSafe(F.col(id_hit)), "left_anti")

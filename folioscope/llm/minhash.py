@@ -13,7 +13,9 @@
 
 Defined cases: a document without words, or null, has no set and no link. A null id takes no
 part in links, stays, and has no component. Repeated rows each return a row. One id with
-several texts is one vertex with the links of all its texts. Other columns are not read.
+several texts is one vertex with the links of all its texts. An empty table gives no rows. A very
+long text is one row of shingles, in memory proportional to the text. Other columns, of any name,
+are not read, and pass through ``drop_near_duplicates``.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.functions.names import fresh
 from folioscope.llm import words as w
 from folioscope.llm.components import components
 from folioscope.llm.storage import cut
@@ -292,5 +295,6 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", **options) ->
     """The rows of ``docs`` that stand for their group, with all their columns.
 
     Of rows that share an id all stay: they can't be told apart by it."""
-    kept = near_duplicates(docs, doc_id, **options).where("kept").select(F.col(doc_id).alias("__kept")).distinct()
-    return docs.join(kept, F.col(doc_id).eqNullSafe(F.col("__kept")), "left_semi")
+    id_kept = fresh("_kept", docs)
+    kept = near_duplicates(docs, doc_id, **options).where("kept").select(F.col(doc_id).alias(id_kept)).distinct()
+    return docs.join(kept, F.col(doc_id).eqNullSafe(F.col(id_kept)), "left_semi")

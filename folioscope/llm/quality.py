@@ -9,7 +9,9 @@ of near-duplicate removal, don't turn their own text into boilerplate.
 
 Defined cases: a null text or one without words has no lines, zero counts and fails the base
 rules; a null text stays null. A null host is a host of its own. A null id is an id like any other. Repeated rows each
-return a row and count once. An empty table returns no rows. Other columns pass through.
+return a row and count once. An empty table returns no rows. Very long texts are profiled one at a
+time, in memory proportional to the text; texts travel compressed to meet their verdicts. Other
+columns, of any name, pass through.
 """
 
 from __future__ import annotations
@@ -21,8 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.functions.names import fresh
 from folioscope.llm import words as w
 from folioscope.llm.storage import cut
+from folioscope.llm.texts import packed, unpacked
 
 WINDOW = 8
 #: A line is boilerplate in more documents of its host. A share of the host's documents can be
@@ -184,16 +188,18 @@ def quality_verdicts(
 def _cleaned(docs: DataFrame, verdict: DataFrame, doc_id: str, text: str, host: str, more: tuple[str, ...], removed: str | None = None) -> DataFrame:
     """The rows of ``docs`` that ``verdict`` has, without the boilerplate in ``text``; with its columns ``more``."""
     key = F.struct("doc", "host", "hash")
-    judged = verdict.select(F.xxhash64(key).alias("__hash"), key.alias("__key"), F.col("gone").alias("__gone"), *more)
+    of, whose, gone, own, own_hash = (fresh(f"_{n}", docs) for n in ("of", "whose", "gone", "own", "own_hash"))
+    judged = verdict.select(F.xxhash64(key).alias(of), key.alias(whose), F.col("gone").alias(gone), *more)
     # repeated rows have the same verdict
-    judged = judged.dropDuplicates(["__hash", "__key"])
-    own = F.struct(F.col(doc_id).alias("doc"), F.col(host).cast("string").alias("host"), F.xxhash64(text).alias("hash"))
-    met = docs.withColumn("__own", own).withColumn("__own_hash", F.xxhash64("__own"))
-    met = met.join(judged, (F.col("__own_hash") == F.col("__hash")) & F.col("__own").eqNullSafe(F.col("__key")))
-    left = F.array_join(F.filter(F.split(text, "\n", -1), lambda line, i: ~F.array_contains("__gone", i)), "\n")
-    kept = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(left).alias(text)
-    count = [F.coalesce(F.size("__gone"), F.lit(0)).alias(removed)] if removed else []
-    return met.select(*[kept if name == text else F.col(name) for name in docs.columns], *count, *more)
+    judged = judged.dropDuplicates([of, whose])
+    name = F.struct(F.col(doc_id).alias("doc"), F.col(host).cast("string").alias("host"), F.xxhash64(text).alias("hash"))
+    named = packed(docs.withColumn(own, name).withColumn(own_hash, F.xxhash64(own)), text)
+    met = named.join(judged, (F.col(own_hash) == F.col(of)) & F.col(own).eqNullSafe(F.col(whose)))
+    met = unpacked(met.drop(own, own_hash, of, whose), text)
+    left = F.array_join(F.filter(F.split(text, "\n", -1), lambda line, i: ~F.array_contains(gone, i)), "\n")
+    kept = F.when(F.col(gone).isNull(), F.col(text)).otherwise(left).alias(text)
+    count = [F.coalesce(F.size(gone), F.lit(0)).alias(removed)] if removed else []
+    return met.select(*[kept if c == text else F.col(c) for c in docs.columns], *count, *more)
 
 
 def clean_documents(

@@ -98,3 +98,10 @@ def test_changes_at_random_places_are_found(spark):
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     got = {(r.doc_id, r.item_id) for r in decontaminate.overlaps(docs, bench).collect()}
     assert {(i, i) for i in range(120)} <= got
+
+
+def test_columns_of_any_name_pass(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, text, "x", 1), (2, "other words", "y", 2)], "doc_id bigint, text string, _hit string, __hit int")
+    benchmark = spark.createDataFrame([(1, text)], "item_id bigint, text string")
+    assert [tuple(r) for r in decontaminate.drop_contaminated(docs, benchmark).collect()] == [(2, "other words", "y", 2)]

@@ -116,3 +116,9 @@ def test_bitmaps_never_rule_out_a_similar_pair(spark):
     table = spark.createDataFrame(pairs, "n int, x array<bigint>, m int, y array<bigint>, similar boolean")
     kept = table.select("similar", minhash._may_share(F.col("n"), F.col("x"), F.col("m"), F.col("y"), 80).alias("may")).collect()
     assert all(r.may for r in kept if r.similar) and any(r.similar for r in kept) and any(not r.may for r in kept)
+
+
+def test_columns_of_any_name_pass(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, text, "x", 1), (2, text, "y", 2)], "doc_id bigint, text string, _kept string, __kept int")
+    assert [tuple(r) for r in minhash.drop_near_duplicates(docs).collect()] == [(1, text, "x", 1)]

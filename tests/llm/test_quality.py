@@ -2,12 +2,14 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from folioscope.llm import quality
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id bigint, text string, source string, lines string, kept string"
+CLASHES = "doc_id bigint, text string, source string, _gone string, __gone string, _own string, _of int"
 
 
 def base(text):
@@ -96,3 +98,14 @@ def test_stage_removes_boilerplate_and_counts_anew(spark):
     docs = spark.createDataFrame(data, "doc_id bigint, text string, source string, n_chars bigint")
     got = {(r.doc_id, r.text, r.n_chars) for r in corpus_pipeline.quality_rules(spark, docs, "").collect()}
     assert got == {(i, f"{x}\n", len(x) + 1) for i, x in enumerate(own)}
+
+
+def test_columns_of_any_name_pass(spark):
+    rows = [(1, "a few words " * 9, "s", "x", "y", "z", 7), (2, "", None, None, None, None, None), (3, None, "s", "x", None, None, 1)]
+    docs = spark.createDataFrame(rows, CLASHES)
+    got = quality.keep_good(docs, removed="n_gone")
+    assert got.columns == [*docs.columns, "n_gone"]
+    # the first repeats itself, the others have no words
+    assert got.collect() == []
+    kept = quality.keep_good(docs.withColumn("text", F.lit(" ".join(f"w{i}" for i in range(30)))))
+    assert sorted(r["__gone"] or "" for r in kept.collect()) == ["", "", "y"]
