@@ -74,13 +74,27 @@ def _softmax(s: np.ndarray) -> np.ndarray:
 _TOP = np.float32(60)
 
 
+#: Rows that are multiplied together when texts are scored.
+TILE = 128
+
+
+def _times(h: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """``h @ weight`` in tiles of one shape, so that a row's rounding doesn't depend on how many
+    rows there are and where it stands: equal texts have equal scores."""
+    n = len(h)
+    tiles = -(-n // TILE)
+    if tiles * TILE != n:
+        h = np.concatenate([h, np.zeros((tiles * TILE - n, h.shape[1]), h.dtype)])
+    return np.matmul(h.reshape(tiles, TILE, -1), weight).reshape(tiles * TILE, -1)[:n]
+
+
 def _log_softmax_at(h: np.ndarray, weight: np.ndarray, bias: np.ndarray, at: np.ndarray) -> np.ndarray:
-    s = h @ weight
+    s = _times(h, weight)
     s += bias
     np.minimum(s, _TOP, out=s)
-    picked = s.ravel()[np.arange(len(s)) * s.shape[1] + at]
+    picked = s[np.arange(len(s)), at]
     np.exp(s, out=s)
-    return picked - np.log(s @ np.ones(s.shape[1], np.float32))
+    return picked - np.log(s.sum(axis=1))
 
 
 def _bias(p: Weights) -> np.ndarray:
@@ -126,11 +140,11 @@ class Scorer:
         p = self.p
         q, k, v = self.queries[stream], self.keys[stream], self.values[stream]
         h = p["embed"][stream[STRIDE:]]
-        h += np.concatenate([self._attend(q, k, v, head) for head in range(HEADS)], axis=1) @ p["mix"]
-        inner = h @ p["wide"]
+        h += _times(np.concatenate([self._attend(q, k, v, head) for head in range(HEADS)], axis=1), p["mix"])
+        inner = _times(h, p["wide"])
         inner += p["wide_b"]
         np.maximum(inner, 0, out=inner)
-        h += inner @ p["narrow"]
+        h += _times(inner, p["narrow"])
         return h
 
     def log_probabilities(self, stream: np.ndarray, target: np.ndarray) -> np.ndarray:

@@ -16,7 +16,9 @@ determine each other.
 
 Defined cases: a null text is empty and consists of the end. Without a text to learn from all
 counts are 0 and the model is the uniform one. Null ids are passed on and aren't held out.
-Repeated rows are counted and scored each. An empty table gives no rows.
+Repeated rows are counted and scored each; equal texts have equal scores, wherever they stand. An
+empty table gives no rows. Very long texts are scored one at a time, in memory proportional to the
+text. Other columns, of any name, are not read but for what ``learn`` asks for.
 """
 
 from __future__ import annotations
@@ -39,9 +41,9 @@ from folioscope.llm.tokens import _CACHES, Cache, Splitter, id_bytes
 
 #: Bound of the words that every task knows.
 FREQUENT = 1 << 18
-#: Windows of a piece of text, which is dealt as one; windows of a trainer, rounds of averaging;
-#: steps of a round, if that takes no more than so many passes.
-PIECE, PER_TRAINER, ROUNDS, STEPS, EPOCHS, BATCH = 16, 100_000, 3, 250, 8, 128
+#: Windows of a piece of text, which is dealt as one; windows of a trainer, rounds of averaging,
+#: each over its own share of the pieces, once, however many there are; windows of a step.
+PIECE, PER_TRAINER, ROUNDS, BATCH = 16, 100_000, 3, 128
 RATE = 0.004
 #: A window's ids with the one that follows.
 WINDOW = SPAN + 1
@@ -183,9 +185,7 @@ def _trainer(shared, number: int):
         targets = np.where(mask, targets, 0)
         p = _unflatten(flat, like)
         adam, rng = attention.Adam(p, RATE), np.random.default_rng(number)
-        once = -(-len(ids) // BATCH)
-        # few windows are gone through several times, but not until they are known by heart
-        steps = once * min(EPOCHS, -(-STEPS // once))
+        steps = -(-len(ids) // BATCH)
         order = rng.permutation(len(ids))
         for step in range(steps):
             at = np.take(order, np.arange(step * BATCH, (step + 1) * BATCH), mode="wrap")
@@ -266,14 +266,16 @@ def _score(path: str, shared):
                 raw = data.tobytes().lower()
                 ids = [np.frombuffer(subwords.of(raw[a:b].split()), "<u4") for a, b in zip(offsets[:-1], offsets[1:])]
                 inputs, targets, owner = _streams(ids, own, subwords.end)
-                score = np.zeros(n)
+                logs_of = []
                 step = 4 * attention.WINDOWS * STRIDE
                 for begin in range(0, len(inputs) - STRIDE, step):
                     end = min(begin + step, len(inputs) - STRIDE)
                     logp = scorer.log_probabilities(inputs[begin : end + STRIDE], targets[begin + STRIDE : end + STRIDE])
-                    whose = owner[begin + STRIDE : end + STRIDE]
-                    inside = whose >= 0
-                    score += np.bincount(whose[inside], logp[inside].astype(np.float64), n)
+                    logs_of.append(logp)
+                # added up in the order of the text, wherever it stands
+                whose = owner[STRIDE:]
+                inside = whose >= 0
+                score = np.bincount(whose[inside], np.concatenate(logs_of)[inside].astype(np.float64), n)
                 score += [share[i].sum() for i in ids]
                 yield pa.RecordBatch.from_arrays(
                     [

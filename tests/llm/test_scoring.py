@@ -86,7 +86,6 @@ def rows():
 
 def test_base_scores_equal_plain_python(spark, rows, monkeypatch):
     monkeypatch.setattr(scoring, "FREQUENT", 40)
-    monkeypatch.setattr(scoring, "STEPS", 30)
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, rare string")
     got = scoring.score_texts(docs, F.col("doc_id") % 5 != 1, PATH).collect()
     counts = Counter(x for i, t in rows if i is not None and i % 5 != 1 for x in words(t))
@@ -101,6 +100,21 @@ def test_base_scores_equal_plain_python(spark, rows, monkeypatch):
         assert r.score < 0
     by_id = {r.doc_id: r.score for r in got}
     assert by_id[200] == by_id[201] and by_id[203] < by_id[200]
+    assert by_id[None] == by_id[3]
+
+
+def test_equal_texts_have_equal_scores(spark, rows):
+    """In whatever batch, place and company."""
+    texts = [t for _, t in rows if t][:40]
+    rng = random.Random(9)
+    docs = list(enumerate(texts * 5))
+    rng.shuffle(docs)
+    table = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(7)
+    got = scoring.score_texts(table, F.col("doc_id") % 5 != 1, PATH).collect()
+    seen = {}
+    for r in got:
+        seen.setdefault(texts[r.doc_id % len(texts)], set()).add(r.score)
+    assert all(len(scores) == 1 for scores in seen.values())
 
 
 def test_nothing_to_learn_from_and_empty_tables(spark, rows):
