@@ -18,22 +18,26 @@ from folioscope.functions.queries import (
 # Queries are cut into slices, chunks into parts of so many bytes of vectors, whatever their length.
 SLICE_BYTES = 64 << 20
 PART_BYTES = 128 << 20
+# A task turns so many bytes of chunk vectors into a matrix at a time.
+BATCH_BYTES = 8 << 20
 
 QUERY_KEYS = ["query_id", "variant"]
 
 
-def _scorer(hit_schema: T.StructType, tile: int = 256):
+def _scorer(hit_schema: T.StructType, tile: int = 256, batch_bytes: int = BATCH_BYTES):
     """Best chunks of each query among a stream of chunk batches.
 
     Nested functions only: executors get them by value.
     """
 
+    from types import SimpleNamespace
+
     from pyspark.sql.pandas.types import to_arrow_schema
 
     schema = to_arrow_schema(hit_schema)
 
-    def best(query_rows, batches):
-        """``query_rows``: (query_id, variant, vector, k); ``batches``: (ids, matrix)."""
+    def best(query_rows):
+        """``query_rows``: (query_id, variant, vector, k).  ``add`` takes ids and a matrix."""
         import heapq
 
         import numpy as np
@@ -54,7 +58,7 @@ def _scorer(hit_schema: T.StructType, tile: int = 256):
             def __lt__(self, other):
                 return self.id > other.id
 
-        for ids, matrix in batches:
+        def add(ids, matrix):
             for at in range(0, len(query_rows), tile):
                 scores = vectors[at : at + tile] @ matrix.T
                 # The fast product only preselects, with a margin for its rounding;
@@ -78,58 +82,76 @@ def _scorer(hit_schema: T.StructType, tile: int = 256):
                             heapq.heapreplace(heap, entry)
                     if len(heap) == k:
                         floor[q] = heap[0][0]
-        for (query_id, variant, _, k), heap in zip(query_rows, kept):
-            for score, last in heap:
-                yield query_id, variant, last.id, score, k
 
-    def usable(table, column):
-        """Row numbers, by the length of their vector, of those without a hole in it."""
+        def rows():
+            for (query_id, variant, _, k), heap in zip(query_rows, kept):
+                for score, last in heap:
+                    yield query_id, variant, last.id, score, k
+
+        return SimpleNamespace(add=add, rows=rows)
+
+    def usable(vectors):
+        """Row numbers and vectors, by their length, of those without a hole, so many bytes at
+        a time."""
         import numpy as np
         import pyarrow.compute as pc
 
-        vectors = table.column(column).combine_chunks()
-        lengths = pc.fill_null(pc.list_value_length(vectors), 0).to_numpy()
+        lengths = pc.fill_null(pc.list_value_length(vectors), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(lengths)
-        flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        flat = vectors.flatten().to_numpy(zero_copy_only=False)
         holes = np.concatenate([[0], np.cumsum(~np.isfinite(flat))])
         sound = (lengths > 0) & (holes[ends] == holes[ends - lengths])
-        return {
-            int(n): (rows := np.flatnonzero(sound & (lengths == n)), flat[(ends[rows] - n)[:, None] + np.arange(n)])
-            for n in np.unique(lengths[sound])
-        }
-
-    def hits(rows):
+        for n in np.unique(lengths[sound]).tolist():
+            rows = np.flatnonzero(sound & (lengths == n))
+            step = max(1, batch_bytes // (8 * n))
+            for at in range(0, len(rows), step):
+                some = rows[at : at + step]
+                yield n, some, flat[(ends[some] - n)[:, None] + np.arange(n)].astype(np.float64)
+
+    def asked(queries):
+        """Query rows by the length of their vector."""
+        keys = list(zip(*[queries.column(c).to_pylist() for c in ("query_id", "variant", "k")]))
+        found = {}
+        for length, rows, vectors in usable(queries.column("embedding").combine_chunks()):
+            found.setdefault(length, []).extend((*keys[r][:2], v, keys[r][2]) for r, v in zip(rows.tolist(), vectors))
+        return {length: best(rows) for length, rows in found.items()}
+
+    def score(searches, ids, vectors):
+        """Vectors meet queries of their length."""
+        for length, rows, matrix in usable(vectors):
+            if length in searches:
+                searches[length].add([ids[i] for i in rows.tolist()], matrix)
+
+    def hits(searches):
         import pyarrow as pa
 
-        columns = list(zip(*rows))
-        if columns:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema
-            )
+        columns = list(zip(*(row for search in searches.values() for row in search.rows())))
+        arrays = [pa.array(c, type=f.type) for c, f in zip(columns, schema)] if columns else [pa.nulls(0, f.type) for f in schema]
+        return pa.Table.from_arrays(arrays, schema=schema)
 
     def score_pair(chunks, queries):
-        """One slice of queries and one part of the chunks; vectors meet those of their length."""
-        import pyarrow as pa
-
+        """One slice of queries and one part of the chunks."""
         if not (queries.num_rows and chunks.num_rows):
             return schema.empty_table()
-        batch = 10_000
-        ids = chunks.column("chunk_id").to_pylist()
-        keys = list(zip(*[queries.column(c).to_pylist() for c in ("query_id", "variant", "k")]))
-        of_chunks, found = usable(chunks, "embedding"), []
-        for length, (rows, vectors) in usable(queries, "embedding").items():
-            if length not in of_chunks:
-                continue
-            places, matrix = of_chunks[length]
-            asked = [(*keys[r][:2], v, keys[r][2]) for r, v in zip(rows.tolist(), vectors)]
-            batches = (
-                ([ids[i] for i in places[at : at + batch].tolist()], matrix[at : at + batch])
-                for at in range(0, len(places), batch)
-            )
-            found.extend(hits(best(asked, batches)))
-        return pa.Table.from_batches(found, schema=schema)
-
-    return score_pair
+        searches = asked(queries)
+        for batch in chunks.select(["chunk_id", "embedding"]).to_batches():
+            score(searches, batch.column("chunk_id").to_pylist(), batch.column("embedding"))
+        return hits(searches)
+
+    def score_scan(batches):
+        """The rows of a scan, the first of which brings the queries; hands on the best of them."""
+        import pyarrow as pa
+
+        searches = None
+        for batch in batches:
+            if searches is None and batch.num_rows:
+                brought = batch.column("_asked").slice(0, 1).flatten()
+                searches = asked(pa.Table.from_arrays(brought.flatten(), names=[f.name for f in brought.type]))
+            if searches:
+                score(searches, batch.column("chunk_id").to_pylist(), batch.column("embedding"))
+        yield from hits(searches or {}).to_batches()
+
+    return SimpleNamespace(score_pair=score_pair, score_scan=score_scan)
 
 
 def similarity_topk(
@@ -144,11 +166,15 @@ def similarity_topk(
     embedding``, with unit vectors.  Equal scores are ordered by ``chunk_id``.
     Result: ``query_id, variant, chunk_id, similarity_score, rank``.
 
-    Every query has to meet every chunk, but no pair becomes a row: a task scores one part of
-    the chunks against one slice of the queries with matrix products and hands on the best
-    ``k`` of each query.  Queries, the small side, go to every part; chunk vectors are
-    shuffled once as long as the queries fit into one slice.  The numbers of slices and
-    parts are computed in the plan, so no job runs before the caller's.
+    Every query has to meet every chunk, but no pair becomes a row: a task scores chunk vectors
+    against queries with matrix products, some megabytes at a time, and hands on the best ``k`` of
+    each query.  Queries are cut by hash into slices of at most about ``slice_bytes`` of vectors; how
+    many there are is computed in the plan, so no job runs before the caller's.
+
+    * The first slice, all queries unless there are very many, is broadcast as one row.  It meets the
+      first row of every partition, so chunk vectors are scored where they are scanned.
+    * Further slices go to parts of the chunks, of ``part_bytes`` each; a chunk vector is shuffled
+      once for every such slice.  Without any, adaptive execution drops this branch unread.
 
     Vectors meet vectors of their length.  One that is null, empty or holds a null or a value
     that isn't finite meets none.
@@ -167,27 +193,41 @@ def similarity_topk(
         ]
     )
 
+    scorer = _scorer(hit_schema)
+
     def at_least_one(n: Column) -> Column:
         return F.greatest(F.ceil(F.coalesce(n, F.lit(0))).cast("int"), F.lit(1))
 
     one = F.lit(1).alias("_one")
     vector_bytes = F.sum(F.size("embedding").cast("long")) * 8
-    slices = wanted.agg(at_least_one(vector_bytes / slice_bytes).alias("slices"))
-    parts = vectors.agg(at_least_one(vector_bytes / part_bytes).alias("parts"))
-    counts = F.broadcast(slices.select(one, "*").join(parts.select(one, "*"), "_one"))  # one row
+    slices = wanted.agg(at_least_one(vector_bytes / slice_bytes).alias("slices")).select(one, "*")  # one row
+    dealt = wanted.select(one, "*").join(F.broadcast(slices), "_one")
+    dealt = dealt.withColumn("slice", F.pmod(F.xxhash64(*QUERY_KEYS), "slices").cast("int"))
+
+    first = F.collect_list(F.when(F.col("slice") == 0, F.struct(*QUERY_KEYS, "embedding", "k")))
+    asked = dealt.agg(first.alias("_asked")).select(F.lit(True).alias("_leads"), "_asked")
+    leading = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    led = vectors.withColumn("_first", leading).join(F.broadcast(asked), F.col("_first") == F.col("_leads"), "left")
+    scanned = led.select("chunk_id", "embedding", "_asked").mapInArrow(scorer.score_scan, hit_schema)
+
+    # one row if there are further slices, none otherwise
+    more = slices.where("slices > 1")
+    parts = vectors.select(one, "embedding").join(F.broadcast(more), "_one")
+    parts = parts.agg(at_least_one(vector_bytes / part_bytes).alias("parts")).select(one, "*")
+    counts = F.broadcast(more.join(F.broadcast(parts), "_one"))
 
-    def every(n: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    def every(from_: int, n: str) -> Column:
+        return F.explode(F.sequence(F.lit(from_), F.col(n) - 1))
 
     left = vectors.select(one, "*").join(counts, "_one").select(
-        "chunk_id", "embedding", F.pmod(F.xxhash64("chunk_id"), "parts").cast("int").alias("part"), every("slices").alias("slice")
+        "chunk_id", "embedding", F.pmod(F.xxhash64("chunk_id"), "parts").cast("int").alias("part"), every(1, "slices").alias("slice")
     )
-    right = wanted.select(one, "*").join(counts, "_one").select(
-        *QUERY_KEYS, "embedding", "k", F.pmod(F.xxhash64(*QUERY_KEYS), "slices").cast("int").alias("slice"), every("parts").alias("part")
+    right = dealt.drop("slices").where("slice > 0").join(counts, "_one").select(
+        *QUERY_KEYS, "embedding", "k", "slice", every(0, "parts").alias("part")
     )
-    partial = left.groupBy("slice", "part").cogroup(right.groupBy("slice", "part")).applyInArrow(_scorer(hit_schema), hit_schema)
+    met = left.groupBy("slice", "part").cogroup(right.groupBy("slice", "part")).applyInArrow(scorer.score_pair, hit_schema)
     order = Window.partitionBy(*QUERY_KEYS).orderBy(F.desc("similarity_score"), "chunk_id")
-    ranked = partial.withColumn("rank", F.row_number().over(order))
+    ranked = scanned.unionByName(met).withColumn("rank", F.row_number().over(order))
     return ranked.where(F.col("rank") <= F.col("k")).drop("k")
 
 

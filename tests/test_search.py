@@ -146,6 +146,20 @@ def test_unusable_vectors_leave_the_others_alone(spark):
     assert {(r["query_id"], r["chunk_id"], r["similarity_score"]) for r in got} == {(0, 1, 1.0), (2, 3, 2.0)}
 
 
+def test_chunk_vectors_are_scored_where_they_lie(spark, tmp_path):
+    """Queries of one slice are broadcast: nothing with an embedding is exchanged or read twice."""
+    spark.range(500).select(
+        F.col("id").alias("chunk_id"), F.array(*[F.rand(i).cast("float") for i in range(16)]).alias("embedding")
+    ).repartition(6).write.parquet(str(tmp_path / "chunks"))
+    chunks = spark.read.parquet(str(tmp_path / "chunks"))
+    queries = spark.createDataFrame([(i, 0, [float(i)] * 16, 3) for i in range(4)], "query_id bigint, variant int, embedding array<float>, k int")
+    hits = search.similarity_topk(queries, chunks)
+    assert {(r["query_id"], r["variant"], r["chunk_id"], r["rank"], r["similarity_score"]) for r in hits.collect()} == brute_force(spark, queries, chunks)
+    plan = hits._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # the branch of further slices has shrunk to empty relations
+    assert plan.count("FileScan") == 1 and "EmptyRelation" in plan
+
+
 def test_planning_a_search_runs_no_job(spark):
     _, chunks = vectors(spark, 20, 4, 1)
     queries = spark.createDataFrame([(1, 0, [1.0, 0.0, 0.0, 0.0], 3)], "query_id bigint, variant int, embedding array<float>, k int")
