@@ -16,7 +16,8 @@ All occurrences of a line that has an earlier neighbour go, of any other line al
 
 Defined cases: a null text stays null, an empty one empty. Lines without words stay. Documents
 with a null id come last. Rows with the same id and text are one document and lose the same
-lines. An empty table gives no rows. Other columns, of any name, pass through.
+lines. An empty table gives no rows. A very long line is one row of words, and its work grows with
+them. Lines are told apart by 64 bits of hash. Other columns, of any name, pass through.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.functions.names import fresh
+from folioscope.functions.text import bind
 from folioscope.llm.storage import store
 
 MIN_NEAR = 8
@@ -55,10 +58,32 @@ def _half_keys(words: Column, n: Column) -> Column:
     return F.array(*keys)
 
 
+#: Words of a line whose running values are made together.
+STRETCH = 64
+
+
 def _running(hashes: Column) -> Column:
-    """Exclusive ors of the first 0, 1, 2, ... values."""
-    zero = F.array(F.lit(0).cast("bigint"))
-    return F.aggregate(hashes, zero, lambda out, h: F.concat(out, F.array(F.element_at(out, -1).bitwiseXOR(h))))
+    """Exclusive ors of the first 0, 1, 2, ... values.
+
+    A running array is copied for every value, so it is made for stretches of ``STRETCH`` values,
+    and once for the stretches: a line of a million words is no quadratic work."""
+    zero = F.lit(0).cast("bigint")
+
+    def scan(values: Column, start: Column) -> Column:
+        return F.aggregate(values, F.array(start), lambda out, h: F.concat(out, F.array(F.element_at(out, -1).bitwiseXOR(h))))
+
+    def stretches(values: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(values) / STRETCH).cast("int") - 1, F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(values, i * STRETCH + 1, STRETCH))
+
+    def joined(parts: Column) -> Column:
+        totals = F.transform(parts, lambda part: F.aggregate(part, zero, lambda x, y: x.bitwiseXOR(y)))
+        return bind(
+            scan(totals, zero),
+            lambda starts: F.flatten(F.transform(parts, lambda part, i: F.slice(scan(part, F.get(starts, i)), 2, STRETCH))),
+        )
+
+    return F.concat(F.array(zero), bind(hashes, lambda values: bind(stretches(values), joined)))
 
 
 def _neighbourhood(words: Column) -> Column:
@@ -166,14 +191,15 @@ def drop_repeated_lines(
 ) -> DataFrame:
     """``docs`` without repeated lines in ``text``; ``counted`` names added counts of lines and removed lines."""
     names = docs.columns
+    hashed, whose, places, own = (fresh(f"_{n}", docs) for n in ("hash", "whose", "places", "own"))
     gone = repeated_lines(docs, doc_id, text, min_near).select(
-        F.col("doc_hash").alias("__hash"), F.col("key").alias("__key"), F.col("places").alias("__places")
+        F.col("doc_hash").alias(hashed), F.col("key").alias(whose), F.col("places").alias(places)
     )
     key = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("doc"), F.xxhash64(text).alias("content"))
-    own = docs.withColumn("__own", key)
-    met = own.join(gone, (F.xxhash64("__own") == F.col("__hash")) & F.col("__own").eqNullSafe(F.col("__key")), "left")
+    met = docs.withColumn(own, key)
+    met = met.join(gone, (F.xxhash64(own) == F.col(hashed)) & F.col(own).eqNullSafe(F.col(whose)), "left")
     lines = F.split(text, "\n", -1)
-    left = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("__places", i)), "\n")
-    more = [F.size(lines).alias(counted[0]), F.coalesce(F.size("__places"), F.lit(0)).alias(counted[1])] if counted else []
-    kept = F.when(F.col("__places").isNull(), F.col(text)).otherwise(left).alias(text)
+    left = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains(places, i)), "\n")
+    more = [F.size(lines).alias(counted[0]), F.coalesce(F.size(places), F.lit(0)).alias(counted[1])] if counted else []
+    kept = F.when(F.col(places).isNull(), F.col(text)).otherwise(left).alias(text)
     return met.select(*[kept if name == text else F.col(name) for name in names], *more)

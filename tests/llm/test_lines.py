@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 from folioscope.llm import lines
@@ -88,3 +89,22 @@ def test_stage_drops_emptied_documents_only(spark):
 
 def test_empty_table(spark):
     assert lines.drop_repeated_lines(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_a_very_long_line(spark):
+    """Work on a line grows with its words, not with their square."""
+    long = [f"w{i % 9973}" for i in range(100_000)]
+    other = [*long[:70_000], "changed", *long[70_001:]]
+    rows = [(1, " ".join(long)), (2, " ".join(other) + "\nown"), (3, " ".join(long[:50_000] + ["x", "y"] + long[50_000:]))]
+    docs = spark.createDataFrame([(*r, 1, "k", None) for r in rows], SCHEMA)
+    started = time.time()
+    left = {r.doc_id: r.text for r in lines.drop_repeated_lines(docs).collect()}
+    assert left[1] == rows[0][1] and left[2] == "own" and left[3] == rows[2][1]
+    assert time.time() - started < 90
+
+
+def test_columns_of_any_name_pass(spark):
+    docs = spark.createDataFrame([(1, "a b c", "x", 1), (2, "a b c\nd", "y", 2)], "doc_id bigint, text string, __places string, _own int")
+    got = lines.drop_repeated_lines(docs)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect())) == [(1, "a b c", "x", 1), (2, "d", "y", 2)]
