@@ -2,8 +2,8 @@
 
 Messages name their parent. Root-to-leaf paths are found by self-joins that double their reach:
 after k of them a message knows its ancestor 2**k steps up and the score on the way, so depth d
-takes log2(d) rounds. The branches of a tree are ranked by the sum of their messages' scores,
-and each chosen path becomes one conversation.
+takes log2(d) rounds. The branches of a tree are ranked by the sum of their messages' scores at
+their leaves; only the chosen ones are written out as paths, and each becomes one conversation.
 
 Template: ``<|im_start|>role``, a line feed, the text, ``<|im_end|>``, a line feed. Inside roles
 and texts a backslash is doubled, ``<|`` becomes ``<\\|``, and a line feed in a role ``\\n``; so no
@@ -14,7 +14,7 @@ Defined cases: null texts and roles are empty; a null score is 0. A message whos
 exist is a root. Messages in a cycle reach no root and are left out. Branches of equal score are
 ranked by their leaf. Conversations with a null id are one conversation. Rows that share an id
 in one tree aren't told apart: ids must be unique, as ``chained`` makes them. An empty table
-gives no rows. Other columns are not read.
+gives no rows. Very long texts are escaped in their row. Other columns, of any name, are not read.
 """
 
 from __future__ import annotations
@@ -60,7 +60,10 @@ def best_paths(messages: DataFrame, top: int = 1) -> DataFrame:
     known = messages.select("node", F.coalesce("score", F.lit(0.0)).alias("score"))
     parents = messages.select("node", F.col("parent").alias("up")).where("up is not null")
     real = parents.join(known.select(F.col("node").alias("up")), "up", "left_semi")
-    state = known.join(real, "node", "left").select("node", "up", "score", F.lit(1).cast("long").alias("steps"))
+    # ``root`` is known as soon as nothing is further up
+    state = known.join(real, "node", "left").select(
+        "node", "up", F.col("node").alias("root"), "score", F.lit(1).cast("long").alias("steps")
+    )
     state = cut(state)
     rounds = max(1, math.ceil(math.log2(max(2, state.count()))) + 1)
     jumps = []
@@ -70,28 +73,28 @@ def best_paths(messages: DataFrame, top: int = 1) -> DataFrame:
             break
         jumps.append(jump)
         above = state.select(
-            F.col("node").alias("up"), F.col("up").alias("next"), F.col("score").alias("more"), F.col("steps").alias("far")
+            F.col("node").alias("up"), F.col("up").alias("next"), F.col("root").alias("top"), F.col("score").alias("more"), F.col("steps").alias("far")
         )
         # a message that has reached its root waits; only the others go on
-        further = state.where("up is not null").join(above, "up").select(
+        further = state.where("up is not null").drop("root").join(above, "up").select(
             "node",
             F.col("next").alias("up"),
+            F.col("top").alias("root"),
             (F.col("score") + F.col("more")).alias("score"),
             (F.col("steps") + F.col("far")).alias("steps"),
         )
         state = cut(state.where("up is null").union(further.select(*state.columns)))
-    rooted = state.where("up is null").select("node", "score", (F.col("steps") - 1).alias("depth"))
+    rooted = state.where("up is null").select("node", "root", "score", (F.col("steps") - 1).alias("depth"))
 
+    # branches are ranked by their leaves; only the chosen ones are written out
     leaves = rooted.join(real.select(F.col("up").alias("node")).distinct(), "node", "left_anti")
-    path = leaves.select(F.col("node").alias("leaf"), "node", "score")
+    by_score = Window.partitionBy("root").orderBy(F.col("score").desc(), "node")
+    ranked = leaves.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= top)
+    path = ranked.select(F.col("node").alias("leaf"), "node", "rank")
     for jump in jumps:
         # each round doubles what is known of a path, and would double the plan as well
-        path = cut(path.union(path.join(jump, "node").select("leaf", F.col("up").alias("node"), "score")))
-    path = cut(path.join(rooted.select("node", "depth"), "node"))
-    roots = path.where("depth = 0").select("leaf", F.col("node").alias("root"), "score")
-    by_score = Window.partitionBy("root").orderBy(F.col("score").desc(), "leaf")
-    ranked = roots.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= top)
-    chosen = path.drop("score").join(ranked.select("leaf", "rank"), "leaf")
+        path = cut(path.union(path.join(jump, "node").select("leaf", F.col("up").alias("node"), "rank")))
+    chosen = path.join(rooted.select("node", "depth"), "node")
     return messages.drop("score").join(chosen, "node")
 
 

@@ -10,7 +10,9 @@ inputs are bytes alone.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0, as is every text
 if there is nothing to learn from. Rows without a label aren't learned from. Repeated rows get
-equal predictions; null ids count as not held out. An empty table gives no rows.
+equal predictions; null ids count as not held out. An empty table gives no rows. Very long texts
+are read whole, in memory proportional to the text. Other columns, of any name, are not read but
+for what ``learn`` asks for.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ WINDOW = 64
 HIDDEN = 12
 #: Bounds of the sample: texts of a language, and windows of a text.
 TEXTS, PIECES = 600, 8
+#: So many times as many texts are expected among the hashes that are ranked.
+DRAWN = 4
 STEPS, BATCH, RATE = 500, 256, 0.01
 #: Windows that run side by side.
 LANES = 512
@@ -181,7 +185,15 @@ def train(windows: np.ndarray, lengths: np.ndarray, labels: np.ndarray, language
 def _sample(labelled: DataFrame, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
     """Windows of ``labelled`` (``text``, ``lang``): byte windows, their lengths and languages."""
     hashed = labelled.withColumn("draw", F.xxhash64("text"))
-    ranked = hashed.select("lang", "draw").withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("draw")))
+    # a share of the hashes that holds some times as many as wanted leaves the tasks, no more:
+    # copies of a text have one hash, and a language may be that of nearly all documents
+    sizes = hashed.groupBy("lang").agg(F.approx_count_distinct("draw").alias("n")).collect()
+    share = F.lit(None).cast("bigint")
+    for row in sizes:
+        until = min((1 << 63) - 1, (DRAWN * texts << 64) // max(row.n, 1) - (1 << 63))
+        share = F.when(F.col("lang") == row.lang, F.lit(until)).otherwise(share)
+    near = hashed.select("lang", "draw").where(F.col("draw") <= share).distinct()
+    ranked = near.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("draw")))
     last = {r.lang: r.draw for r in ranked.where(F.col("n") <= texts).groupBy("lang").agg(F.max("draw").alias("draw")).collect()}
     languages = sorted(last)
     if not languages:

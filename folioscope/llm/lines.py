@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.functions.names import fresh
-from folioscope.functions.text import bind
+from folioscope.llm.arrays import running
 from folioscope.llm.storage import store
 
 MIN_NEAR = 8
@@ -58,32 +58,9 @@ def _half_keys(words: Column, n: Column) -> Column:
     return F.array(*keys)
 
 
-#: Words of a line whose running values are made together.
-STRETCH = 64
-
-
 def _running(hashes: Column) -> Column:
-    """Exclusive ors of the first 0, 1, 2, ... values.
-
-    A running array is copied for every value, so it is made for stretches of ``STRETCH`` values,
-    and once for the stretches: a line of a million words is no quadratic work."""
-    zero = F.lit(0).cast("bigint")
-
-    def scan(values: Column, start: Column) -> Column:
-        return F.aggregate(values, F.array(start), lambda out, h: F.concat(out, F.array(F.element_at(out, -1).bitwiseXOR(h))))
-
-    def stretches(values: Column) -> Column:
-        last = F.greatest(F.ceil(F.size(values) / STRETCH).cast("int") - 1, F.lit(0))
-        return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(values, i * STRETCH + 1, STRETCH))
-
-    def joined(parts: Column) -> Column:
-        totals = F.transform(parts, lambda part: F.aggregate(part, zero, lambda x, y: x.bitwiseXOR(y)))
-        return bind(
-            scan(totals, zero),
-            lambda starts: F.flatten(F.transform(parts, lambda part, i: F.slice(scan(part, F.get(starts, i)), 2, STRETCH))),
-        )
-
-    return F.concat(F.array(zero), bind(hashes, lambda values: bind(stretches(values), joined)))
+    """Exclusive ors of the first 0, 1, 2, ... values."""
+    return running(hashes, F.lit(0).cast("bigint"), lambda x, y: x.bitwiseXOR(y))
 
 
 def _neighbourhood(words: Column) -> Column:

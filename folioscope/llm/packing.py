@@ -12,7 +12,8 @@ lack pieces. Sequence numbers hold the partition in their upper bits, so a task
 again numbers alike.
 
 Defined cases: a null text is empty and consists of the end id; a null id is passed on;
-repeated rows are packed each; an empty table gives no pieces.
+repeated rows are packed each; an empty table gives no pieces. Very long texts are encoded one at a
+time, in memory proportional to the text. Other columns, of any name, are not read.
 """
 
 from __future__ import annotations

@@ -1,16 +1,17 @@
 """Token counts and token ids of whole texts, equal to those of the tokenizer file's library.
 
 Two tiers answer a pre-token: a compact table of frequent ones that the driver broadcasts, of
-bounded size, and a cache in each Python worker that the library fills on a miss. Nothing is
-shuffled. The table only saves work: it holds pre-tokens of a bounded sample of texts, and any
-table gives the same counts.
+bounded size, and a cache in each Python worker that the library fills on a miss. No pre-token of
+the texts that are counted is shuffled. The table only saves work: it holds the pre-tokens most
+frequent in a bounded sample of texts from all partitions, and any table gives the same counts.
 
 Pre-tokens are cut by the file's own pattern. Texts with characters beyond plain Latin ones or
 with the text of a special token are given whole to the library, as rules for them (Unicode
 versions, composition, special tokens) are its own.
 
 Defined cases: a null text is empty and has no tokens. Rows are independent; nulls in other
-columns, repeated rows and an empty table need no rule.
+columns, repeated rows and an empty table need no rule. Very long texts are encoded one at a time,
+in memory proportional to the text. Other columns, of any name, pass through.
 """
 
 from __future__ import annotations
@@ -127,14 +128,25 @@ def id_bytes(ids: list[int]) -> bytes:
 
 
 def frequent_lengths(docs: DataFrame, text: str, path: str, size: int = FREQUENT, texts: int = SAMPLE_TEXTS) -> dict[str, int]:
-    """Token counts of the most frequent units of at most ``texts`` whole texts."""
+    """Token counts of the most frequent units of about ``texts`` whole texts from all partitions.
+
+    Units are counted in the tasks; the driver takes ``size`` short ones at most."""
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        splitter = Splitter(path)
+        for batch in batches:
+            seen: Counter = Counter()
+            for t in batch["t"]:
+                if splitter.plain(t) and (found := splitter.units(t)):
+                    seen.update(unit for unit in found[1] if len(unit) < 64)
+            yield pd.DataFrame({"unit": list(seen), "n": list(seen.values())})
+
+    named = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("t"))
+    share = min(1.0, texts / max(named.count(), 1))
+    units = named.sample(share, seed=1).mapInPandas(counted, "unit string, n bigint")
+    ranked = units.groupBy("unit").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "unit").limit(size)
     splitter = Splitter(path)
-    seen: Counter = Counter()
-    # collected with its limit, this reads the first partitions only and shuffles nothing
-    for row in docs.where(F.col(text).isNotNull()).select(F.col(text).alias("t")).limit(texts).collect():
-        if splitter.plain(row.t) and (found := splitter.units(row.t)):
-            seen.update(found[1])
-    return {unit: len(splitter.unit_ids(unit)) for unit, _ in seen.most_common(size) if len(unit) < 64}
+    return {row.unit: len(splitter.unit_ids(row.unit)) for row in ranked.collect()}
 
 
 def token_counts(docs: DataFrame, path: str, text: str = "text", alias: str = "n_tokens") -> DataFrame:
