@@ -55,6 +55,18 @@ def test_stages_take_odd_rows_and_empty_tables(spark):
                 assert out.columns == docs.columns
 
 
+def test_columns_of_any_name_pass(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame(
+        [(1, text, "en", "s", 9, "a", "b", 1, 2, "c", "d")],
+        "doc_id bigint, text string, lang string, source string, n_chars int, __removed string, _removed string, "
+        "__lines int, _lines int, __kept string, __hit string",
+    )
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, DIR)
+        assert out.columns == docs.columns and list(map(tuple, out.collect())) == list(map(tuple, docs.collect())), name
+
+
 def test_all_operators_are_registered():
     names = contract.queries()
     for number in range(1, 14):
