@@ -17,6 +17,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioscope.functions.names import fresh
 from folioscope.llm import decontaminate, lines, minhash, packing, quality
 from folioscope.llm.storage import clear, cut, stored
 
@@ -25,25 +26,27 @@ END_ID = 1
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    left = quality.keep_good(docs, removed="__removed")
-    return _recounted(left, docs).select(*docs.columns)
+    removed = fresh("_removed", docs)
+    left = quality.keep_good(docs, removed=removed)
+    return _recounted(left, docs, removed).select(*docs.columns)
 
 
-def _recounted(left: DataFrame, docs: DataFrame) -> DataFrame:
+def _recounted(left: DataFrame, docs: DataFrame, removed: str) -> DataFrame:
     """``n_chars``, if there is one, of the texts that lost lines."""
     if "n_chars" not in docs.columns:
         return left
-    changed = F.when(F.col("__removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+    changed = F.when(F.col(removed) > 0, F.char_length("text")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     names = docs.columns
-    left = lines.drop_repeated_lines(docs, counted=("__lines", "__removed"))
+    total, removed = fresh("_lines", docs), fresh("_removed", docs)
+    left = lines.drop_repeated_lines(docs, counted=(total, removed))
     # null texts lose nothing; a text whose words are all gone has only blank lines left
-    emptied = (F.col("__removed") > 0) & (F.length(F.regexp_replace("text", lines.SPACE, "")) == 0)
+    emptied = (F.col(removed) > 0) & (F.length(F.regexp_replace("text", lines.SPACE, "")) == 0)
     left = left.where(~F.coalesce(emptied, F.lit(False)))
-    return _recounted(left, docs).select(*names)
+    return _recounted(left, docs, removed).select(*names)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -68,7 +68,7 @@ CONSERVATIVE_FOOTNOTE_PATTERNS = [
 
 LEGAL_INDICATORS = [
     "see", "cf.", "ibid", "supra", "para", "judgment", "decision",
-    "icc-", "ictr-", "icty-", "article", "rule", "statute",
+    "ICC-", "ICTR-", "ICTY-", "article", "rule", "statute",
 ]
 
 CONSERVATIVE_KEYWORDS = [

@@ -211,7 +211,7 @@ def conservative_page_footnotes(
     cited = F.filter(
         candidates,
         lambda c: (F.length(c["content"]) > 10)
-        & any_contained(F.lower(c["content"]), fv.LEGAL_INDICATORS),
+        & any_contained(F.lower(c["content"]), [w.lower() for w in fv.LEGAL_INDICATORS]),
     )
     scored = F.transform(
         cited,

@@ -231,7 +231,7 @@ scored AS (
     + CASE WHEN {matches('content', r'(See|Cf\.)\s+')} THEN {dbl(0.1)} ELSE 0 END,
     {dbl(1)}) AS confidence
   FROM opened
-  WHERE length(content) > 10 AND {any_contained('lower(content)', fv.LEGAL_INDICATORS)}),
+  WHERE length(content) > 10 AND {any_contained('lower(content)', [w.lower() for w in fv.LEGAL_INDICATORS])}),
 conservative AS (
   SELECT doc_id, concat('fn_conservative_', page_no, '_', number) AS id,
     number AS footnote_number, content, page_no AS page, confidence,
