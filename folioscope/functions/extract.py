@@ -258,14 +258,18 @@ def _bracketed(text: Column) -> Column:
     )
 
 
-def bracket_paragraphs(text: Column) -> Column:
-    """Bracketed paragraphs: ``array<struct<number, content, token_count>>``."""
-    clean = F.transform(
+def bracket_texts(text: Column) -> Column:
+    """Bracketed paragraphs: ``array<struct<number, content>>``."""
+    return F.transform(
         _bracketed(text),
         lambda p: F.struct(p["number"].alias("number"), squeeze(p["raw"]).alias("content")),
     )
+
+
+def bracket_paragraphs(text: Column) -> Column:
+    """The same with their token counts: ``array<struct<number, content, token_count>>``."""
     return F.transform(
-        clean,
+        bracket_texts(text),
         lambda p: p.withField("token_count", token_estimate(p["content"], squeezed_word_count)),
     )
 

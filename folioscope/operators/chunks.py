@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope import fixed_values as fv
-from folioscope.functions.extract import bracket_paragraphs, bracket_tokens, section_marker
+from folioscope.functions.extract import bracket_texts, bracket_tokens, section_marker
 from folioscope.functions.text import token_estimate
 from folioscope.operators.blocks import PAGES_PER_BLOCK, carry_last, keyed, numbered_items
 from folioscope.operators.conservative import up_to_page
@@ -91,8 +91,8 @@ def semantic_chunks(extracted: DataFrame, pages_per_block: int = PAGES_PER_BLOCK
 
 def _numbered(
     pages: DataFrame, budget: int, max_pages: int | None, pages_per_block: int
-) -> tuple[DataFrame, DataFrame]:
-    """Section and paragraph tokens of every page, and the chunk numbers of its paragraphs."""
+) -> DataFrame:
+    """Section of every page, and chunk numbers and tokens of its paragraphs."""
     native = F.col("native_text")
     counts = keyed(pages).select(
         "doc_id",
@@ -107,7 +107,7 @@ def _numbered(
         F.coalesce("marker", F.lit(fv.INITIAL_SECTION)).alias("section_type"),
         "tokens",
     )
-    return sectioned, assign_chunks(sectioned, pages, budget, pages_per_block)
+    return assign_chunks(sectioned, pages, budget, pages_per_block)
 
 
 def chunk_index(
@@ -121,12 +121,9 @@ def chunk_index(
 
     Reports need no more; page texts stay in the scan.
     """
-    sectioned, numbers = _numbered(pages, budget, max_pages, pages_per_block)
     z = F.col("z")
-    members = (
-        sectioned.select("doc_id", "page_no", "tokens")
-        .join(numbers, ["doc_id", "page_no"])
-        .select("doc_id", "page_no", "section_type", F.explode(F.arrays_zip("tokens", "chunk_numbers")).alias("z"))
+    members = _numbered(pages, budget, max_pages, pages_per_block).select(
+        "doc_id", "page_no", "section_type", F.explode(F.arrays_zip("tokens", "chunk_numbers")).alias("z")
     )
     return members.groupBy("doc_id", "section_type", z["chunk_numbers"].alias("chunk_number")).agg(
         F.sum(z["tokens"]).alias("token_count"),
@@ -146,14 +143,14 @@ def main_text_chunks(
     paragraphs, metadata, token_count``.
 
     Section labels and chunk numbers are worked out on page numbers and token
-    counts; the text is then joined by page and grouped by chunk, so it is
-    shuffled twice whatever the shape of the documents.
+    counts, which come along with the numbers; the text is then joined by page and
+    grouped by chunk, so it is shuffled twice whatever the shape of the documents.
     """
     full = keyed(pages)
     native = F.col("native_text")
-    _, numbers = _numbered(pages, budget, max_pages, pages_per_block)
+    numbers = _numbered(pages, budget, max_pages, pages_per_block)
     text = full.select(
-        "doc_id", "page_no", up_to_page(bracket_paragraphs(native), max_pages).alias("paragraphs")
+        "doc_id", "page_no", up_to_page(bracket_texts(native), max_pages).alias("paragraphs")
     )
     z = F.col("z")
     members = (
@@ -162,7 +159,7 @@ def main_text_chunks(
             "doc_id",
             "page_no",
             "section_type",
-            F.posexplode(F.arrays_zip("paragraphs", "chunk_numbers")).alias("ordinal", "z"),
+            F.posexplode(F.arrays_zip("paragraphs", "chunk_numbers", "tokens")).alias("ordinal", "z"),
         )
         .select(
             "doc_id",
@@ -176,7 +173,7 @@ def main_text_chunks(
                 ).alias("id"),
                 z["paragraphs"]["number"].alias("number"),
                 z["paragraphs"]["content"].alias("content"),
-                z["paragraphs"]["token_count"].alias("token_count"),
+                z["tokens"].alias("token_count"),
             ).alias("paragraph"),
         )
     )

@@ -180,16 +180,17 @@ def _kernels(budget: int) -> SimpleNamespace:
             starts = (batch.column(c).to_numpy() for c in ("first_chunk", "entry_level"))
             found = np.concatenate([numbers(*run) for run in zip(np.split(tokens, bounds), *starts)])
             sizes = flat(batch.column("sizes"))
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             rows = pa.array(np.repeat(np.arange(batch.num_rows), batch.column("sizes").value_lengths().to_numpy()))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(rows),
                     batch.column("page_nos").flatten(),
                     batch.column("section_type").take(rows),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(found, pa.int64())),
+                    pa.ListArray.from_arrays(offsets, pa.array(found, pa.int64())),
+                    pa.ListArray.from_arrays(offsets, batch.column("tokens").flatten()),
                 ],
-                names=["doc_id", "page_no", "section_type", "chunk_numbers"],
+                names=["doc_id", "page_no", "section_type", "chunk_numbers", "tokens"],
             )
 
     @F.pandas_udf("array<bigint>")
@@ -281,7 +282,7 @@ def assign_chunks(
     which documents are longer than a block.
 
     Sections are numbered in the order of their first paragraph.  Result:
-    ``doc_id, page_no, section_type, chunk_numbers``.
+    ``doc_id, page_no, section_type, chunk_numbers, tokens``.
     """
     kernel = _kernels(budget)
     runs = block_runs(sectioned)
@@ -307,6 +308,7 @@ def assign_chunks(
             T.StructField("page_no", runs.schema["page_nos"].dataType.elementType),
             runs.schema["section_type"],
             T.StructField("chunk_numbers", T.ArrayType(T.LongType())),
+            T.StructField("tokens", runs.schema["tokens"].dataType),
         ]
     )
     return placed.mapInArrow(kernel.chunks, schema)
