@@ -1,7 +1,7 @@
 """A small causal self-attention model over subword classes, in NumPy.
 
-Inputs are classes of subword ids: frequent ids have one of their own, the others share one. A
-window has ``2 * STRIDE`` inputs; its later half are the queries, so windows that overlap by
+Inputs are classes of subword ids: frequent ids have one of their own, the others are dealt to
+``SHARED`` classes by a hash, so that any id tells a context apart. A window has ``2 * STRIDE`` inputs; its later half are the queries, so windows that overlap by
 half score each token once with ``STRIDE`` to ``2 * STRIDE - 1`` tokens before it. The output is
 a two-level softmax: a cluster of classes, then the class within it.
 """
@@ -19,8 +19,9 @@ CLUSTERS, MEMBERS = 32, 32
 CLASSES = CLUSTERS * MEMBERS
 #: Windows that are scored side by side.
 WINDOWS = 512
-#: Classes with a meaning of their own: the end (and start) of a text, all rare ids, no token.
-END, RARE, NONE = 0, 1, CLASSES
+#: Classes with a meaning of their own: the end (and start) of a text, and no token. The last
+#: ``SHARED`` classes are those of rare ids.
+END, NONE, SHARED = 0, CLASSES, 256
 
 NAMES = ("embed", "query", "key", "value", "near", "mix", "wide", "wide_b", "narrow", "group", "group_b", "member", "member_b")
 Weights = dict[str, np.ndarray]

@@ -4,7 +4,7 @@ Learning reads all texts that it may: every word and subword is counted, and the
 train the attention model cover every text from end to end, so each of its subwords is a target
 once, with the tokens before it that scoring uses. Trainers, whose number grows with the windows, run Adam over
 their own windows; after each round their weights are averaged. The counts of subwords choose
-the classes of the model and give the share of an id among the rare ones.
+the classes of the model and give the share of a rare id among those of its class.
 
 Scoring runs over whole texts. The most frequent words, a bounded number, are known to every
 task; all others leave it as counts per text and meet the corpus counts in a join. The attention
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from folioscope.llm import attention
 from folioscope.llm import words as w
-from folioscope.llm.attention import CLASSES, END, NONE, RARE, SPAN, STRIDE
+from folioscope.llm.attention import CLASSES, END, NONE, SHARED, SPAN, STRIDE
 from folioscope.llm.storage import cut
 from folioscope.llm.tokens import _CACHES, Cache, Splitter, id_bytes
 
@@ -148,14 +148,16 @@ def _classes(id_counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     """Class of each id, count of each class, and the log share of each id in its class."""
     size, end = len(id_counts), len(id_counts) - 1
     order = np.argsort(-id_counts[:end], kind="stable")
-    order = order[: CLASSES - 2]
-    own = np.full(size, RARE, np.int16)
-    own[order[id_counts[order] > 0]] = np.arange(2, 2 + int((id_counts[order] > 0).sum()))
+    order = order[: CLASSES - SHARED - 1]
+    # neighbouring ids are often alike, so classes are dealt by a mixed hash
+    own = (CLASSES - SHARED + w.mix(np.arange(size, dtype=np.uint64)) % np.uint64(SHARED)).astype(np.int16)
+    own[order[id_counts[order] > 0]] = np.arange(1, 1 + int((id_counts[order] > 0).sum()))
     own[end] = END
     counts = np.bincount(own, id_counts, CLASSES)
-    rare = own == RARE
+    rare = own >= CLASSES - SHARED
+    members = np.bincount(own[rare], minlength=CLASSES)
     share = np.zeros(size)
-    share[rare] = np.log((id_counts[rare] + SMOOTH) / (id_counts[rare].sum() + SMOOTH * rare.sum()))
+    share[rare] = np.log((id_counts[rare] + SMOOTH) / (counts[own[rare]] + SMOOTH * members[own[rare]]))
     return own, counts, share
 
 
