@@ -3,7 +3,7 @@
 A saved table is a view on its current version.  Every save writes a version of its own and then
 replaces the view: one step of the catalog, schema included, so a reader finds one version or the
 other and a job that fails anywhere leaves a whole one behind.  The version before the current one
-stays for readers that have already begun.
+stays for readers that have already begun.  A name has one writer at a time.
 """
 
 from __future__ import annotations
