@@ -8,8 +8,9 @@ well. Boosted trees score a candidate by its format and the characters around it
 stripped that the rule decides by: the plus sign, the ``@``, the separators. So spans that only
 lack the mark look like those that have it.
 
-The trees learn from a bounded sample of candidates, drawn by a hash, to tell candidates that cover
-a base span of their kind from all others. The others are not negatives but unlabelled: among
+The trees learn from all candidates to tell those that cover a base span of their kind from all
+others. Candidates of equal features and label are one row with a weight, their number; a fifth, by a
+hash, is held out for the thresholds. The others are not negatives but unlabelled: among
 candidates that look alike the trees give the share that has the mark. Where nearly all are
 personal data that share is as high as it gets, so per kind it is compared with that of the surest
 held-out positives: a candidate is selected from ``PURITY`` of it on. Clear negatives (numbers of a
@@ -73,9 +74,10 @@ GENERATORS = (
     ("phone", r"[0-9][\x20().0-9/-]{5}", r"\+?[(]?[0-9][\x20().0-9/-]{5,30}[0-9]"),
 )
 
-#: Size of the training sample and bounds of the trees.
-SAMPLE = 20_000
+#: Bounds of the trees. Up to ``SPLIT_ROWS`` rows Spark ML reads all of them to place its splits, and
+#: beyond that a sample of the square of the number of bins.
 TREES, DEPTH = 20, 3
+BINS, SPLIT_ROWS = 32, 10_000
 STEP = 0.3
 PRECISION, PURITY, SUPPORT = 0.98, 0.9, 30
 #: The surest share of held-out positives, which shows how pure candidates get.
@@ -269,25 +271,26 @@ class Selector:
         return chosen
 
 
-def fit_selector(scanned: DataFrame, sample: int = SAMPLE, precision: float = PRECISION, support: int = SUPPORT) -> Selector:
-    """Learn from about ``sample`` candidates of ``scanned`` (``doc``, ``candidates``), twice as many at most."""
-    total = scanned.agg(F.sum(F.size("candidates"))).first()[0] or 0
+def fit_selector(scanned: DataFrame, precision: float = PRECISION, support: int = SUPPORT) -> Selector:
+    """Learn from all candidates of ``scanned`` (``doc``, ``candidates``)."""
+    place = F.xxhash64("doc", "c.start", "c.kind")
     rows = scanned.select("doc", F.explode("candidates").alias("c"))
-    rows = rows.select("c.kind", "c.features", "c.label", F.xxhash64("doc", "c.start", "c.kind").alias("place"))
-    # a share of the hashes, the same in every run, before anything leaves the tasks
-    share = min(1.0, sample / max(total, 1))
-    rows = rows.where(F.col("place") <= int(-(1 << 63) + share * ((1 << 64) - 1)) if share < 1 else F.lit(True)).limit(2 * sample)
-    drawn = scanned.sparkSession.createDataFrame(rows.toArrow())
-    drawn = drawn.withColumn("vector", array_to_vector("features"))
-    drawn = drawn.withColumn("marked", (F.col("label") == 1).cast("double"))
-    train = drawn.where(F.pmod("place", F.lit(5)) != 0)
-    if train.select("marked").distinct().count() < 2:
+    rows = rows.select("c.kind", "c.features", "c.label", (F.pmod(place, F.lit(5)) == 0).alias("held"))
+    groups = store(rows.groupBy("kind", "features", "label", "held").agg(F.count("*").alias("n")))
+    train = groups.where(~F.col("held")).select(
+        array_to_vector("features").alias("vector"), (F.col("label") == 1).cast("double").alias("marked"), F.col("n").cast("double").alias("n")
+    )
+    marks = train.groupBy("marked").agg(F.count("*").alias("rows")).collect()
+    if len(marks) < 2:
         return Selector(None, {})
-    model = GBTClassifier(featuresCol="vector", labelCol="marked", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=1).fit(train)
+    distinct = sum(r.rows for r in marks)
+    # so many bins that splits are placed by all rows; a feature has as many as it has values at most
+    bins = BINS if distinct <= SPLIT_ROWS else math.ceil(math.sqrt(distinct))
+    trees = GBTClassifier(featuresCol="vector", labelCol="marked", weightCol="n", maxIter=TREES, maxDepth=DEPTH, maxBins=bins, stepSize=STEP, seed=1)
+    model = trees.fit(train)
     selector = Selector(model, {})
-    held = drawn.where(F.pmod("place", F.lit(5)) == 0)
-    scored = held.select("kind", "label", F.round(selector.score(F.col("features")), 2).alias("score"))
-    steps = scored.groupBy("kind", "label", "score").agg(F.count("*").alias("n")).collect()
+    scored = groups.where("held").select("kind", "label", F.round(selector.score(F.col("features")), 2).alias("score"), "n")
+    steps = scored.groupBy("kind", "label", "score").agg(F.sum("n").alias("n")).collect()
     for kind in range(len(KINDS)):
         found = threshold([(r.score, r.label, r.n) for r in steps if r.kind == kind], precision, support)
         if found is not None:

@@ -127,6 +127,21 @@ def test_threshold():
     assert pii.threshold([(2.0, 1, 50), (2.0, -1, 50)]) is None
 
 
+def test_every_candidate_counts(spark):
+    """Positives are rare among 60,000 candidates; all held-out ones count, not those of a sample."""
+    n = F.when(F.col("id") % 300 == 0, 1.0).otherwise(0.0)
+    width = pii.FORMATS + 1 + len(pii.KINDS) + 8
+    candidate = F.struct(
+        F.lit(5).alias("start"), F.lit(0).alias("kind"), F.lit(9).alias("end"),
+        F.array(n, *[F.lit(0.0)] * (width - 1)).alias("features"), F.when(n == 1, 1).otherwise(-1).alias("label"),
+    )
+    scanned = spark.range(60_000).select(F.col("id").alias("doc"), F.array(candidate).alias("candidates"))
+    held = scanned.where((F.col("doc") % 300 == 0) & (F.pmod(F.xxhash64("doc", F.lit(5), F.lit(0)), F.lit(5)) == 0)).count()
+    selector = pii.fit_selector(scanned, support=held)
+    assert list(selector.thresholds) == [0]
+    assert not pii.fit_selector(scanned, support=held + 1).thresholds
+
+
 def test_trees_as_expressions_equal_the_model(spark, learned):
     text = F.col("text")
     scanned = learned.select(F.col("doc_id").alias("doc"), "text", F.array_sort(F.concat(*pii.base_spans(text).values())).alias("base"))
