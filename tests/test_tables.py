@@ -1,6 +1,7 @@
 """Sources, sinks, reports and change feeds."""
 
 import json
+import re
 import tempfile
 
 import pytest
@@ -327,3 +328,20 @@ def test_document_frequencies(spark):
     df = spark.createDataFrame([("Rare word WORD",), ("word é éééé",), (None,)], "content string")
     got = {r["word"]: r["weight"] for r in document_frequencies(df).collect()}
     assert got == {"rare": 693147, "word": 287682, "éééé": 693147}
+
+
+def test_summary_shuffles_no_word_twice(spark):
+    """Rows of words meet the table of frequencies and go back to their chunk; no other exchange has any."""
+    df = spark.createDataFrame([(1, "One two three. Four five.")], "chunk_id int, content string")
+    plan = with_summary(df, 5, ["chunk_id"])._jdf.queryExecution().executedPlan().toString()
+    exchanges = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
+    assert exchanges and all(re.fullmatch(r"_key_*#\d+|word#\d+", e) for e in exchanges)
+
+
+def test_summary_of_keys_that_repeat_or_are_null(spark):
+    """Chunks of one key share their scores; without a key there are none, so the first sentences win."""
+    text = "Common words here. Gamma delta first. Common words again. Gamma delta."
+    rows = [(1, text), (1, text), (None, text), (2, "Common words again here.")]
+    df = spark.createDataFrame(rows, "chunk_id int, content string")
+    got = sorted((r.chunk_id or 0, r.summary) for r in with_summary(df, 3, ["chunk_id"]).collect())
+    assert got == [(0, "Common words here."), (1, "Gamma delta."), (1, "Gamma delta."), (2, "Common words again")]
