@@ -90,23 +90,35 @@ def _scorer(hit_schema: T.StructType, tile: int = 256, batch_bytes: int = BATCH_
 
         return SimpleNamespace(add=add, rows=rows)
 
+    def stretches(lengths):
+        """Places at which to cut rows of so many values, into stretches of about ``batch_bytes``."""
+        import numpy as np
+
+        ends = np.cumsum(lengths)
+        places, at = [0], 0
+        while at < len(ends):
+            before = ends[at - 1] if at else 0
+            at = max(at + 1, int(np.searchsorted(ends, before + batch_bytes // 8, side="right")))
+            places.append(at)
+        return places
+
     def usable(vectors):
         """Row numbers and vectors, by their length, of those without a hole, so many bytes at
-        a time."""
+        a time: a batch may hold any number of values."""
         import numpy as np
         import pyarrow.compute as pc
 
         lengths = pc.fill_null(pc.list_value_length(vectors), 0).to_numpy(zero_copy_only=False)
-        ends = np.cumsum(lengths)
-        flat = vectors.flatten().to_numpy(zero_copy_only=False)
-        holes = np.concatenate([[0], np.cumsum(~np.isfinite(flat))])
-        sound = (lengths > 0) & (holes[ends] == holes[ends - lengths])
-        for n in np.unique(lengths[sound]).tolist():
-            rows = np.flatnonzero(sound & (lengths == n))
-            step = max(1, batch_bytes // (8 * n))
-            for at in range(0, len(rows), step):
-                some = rows[at : at + step]
-                yield n, some, flat[(ends[some] - n)[:, None] + np.arange(n)].astype(np.float64)
+        places = stretches(lengths)
+        for first, last in zip(places, places[1:]):
+            sizes = lengths[first:last]
+            ends = np.cumsum(sizes)
+            flat = vectors.slice(first, last - first).flatten().to_numpy(zero_copy_only=False)
+            holes = np.concatenate([[0], np.cumsum(~np.isfinite(flat), dtype=np.int32)])
+            sound = (sizes > 0) & (holes[ends] == holes[ends - sizes])
+            for n in np.unique(sizes[sound]).tolist():
+                rows = np.flatnonzero(sound & (sizes == n))
+                yield n, rows + first, flat[(ends[rows] - n)[:, None] + np.arange(n)].astype(np.float64)
 
     def asked(queries):
         """Query rows by the length of their vector."""

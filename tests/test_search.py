@@ -132,6 +132,33 @@ def test_topk_with_string_ids_few_chunks_and_no_queries(spark):
     assert search.similarity_topk(spark.createDataFrame([], schema), chunks).count() == 0
 
 
+def test_a_batch_is_scored_some_megabytes_at_a_time():
+    """A batch of 10,000 vectors of 1,024 values is 41 MB; beside it, not more than that is held at once."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    n, length = 10_000, 1024
+    vectors = np.random.default_rng(1).random((n, length), dtype=np.float32)
+    ends = pa.array(np.arange(0, n * length + 1, length, dtype=np.int32))
+    query = {"query_id": 1, "variant": 0, "embedding": vectors[77].tolist(), "k": 5}
+    asked = pa.array([[query], *[None] * (n - 1)], pa.list_(pa.struct([("query_id", pa.int64()), ("variant", pa.int32()), ("embedding", pa.list_(pa.float32())), ("k", pa.int32())])))
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(n)), pa.ListArray.from_arrays(ends, pa.array(vectors.reshape(-1))), asked], names=["chunk_id", "embedding", "_asked"])
+    names = {"query_id": T.LongType(), "variant": T.IntegerType(), "chunk_id": T.LongType(), "similarity_score": T.DoubleType(), "k": T.IntegerType()}
+    scorer = search._scorer(T.StructType([T.StructField(c, t) for c, t in names.items()]))
+    tracemalloc.start()
+    try:
+        found = pa.Table.from_batches(scorer.score_scan(iter([batch]))).to_pylist()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 48 << 20
+    best = np.argsort(-(vectors.astype(float) @ vectors[77].astype(float)))[:5]
+    assert {r["chunk_id"] for r in found} == set(best.tolist())
+
+
 def test_unusable_vectors_leave_the_others_alone(spark):
     nan = float("nan")
     chunks = spark.createDataFrame(
