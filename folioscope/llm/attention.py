@@ -18,7 +18,7 @@ PER_HEAD = WIDTH // HEADS
 CLUSTERS, MEMBERS = 32, 32
 CLASSES = CLUSTERS * MEMBERS
 #: Windows that are scored side by side.
-WINDOWS = 512
+WINDOWS = 128
 #: Classes with a meaning of their own: the end (and start) of a text, and no token. The last
 #: ``SHARED`` classes are those of rare ids.
 END, NONE, SHARED = 0, CLASSES, 256
@@ -58,24 +58,12 @@ def start(counts: np.ndarray, seed: int = 3) -> Weights:
     }
 
 
-def _heads(x: np.ndarray, places: int) -> np.ndarray:
-    """(windows, places, WIDTH) as (windows, HEADS, places, PER_HEAD)."""
-    return x.reshape(-1, places, HEADS, PER_HEAD).transpose(0, 2, 1, 3)
-
-
-def _softmax(s: np.ndarray) -> np.ndarray:
-    s -= s.max(axis=-1, keepdims=True)
-    np.exp(s, out=s)
-    s /= s.sum(axis=-1, keepdims=True)
-    return s
-
-
 #: Scores are cut off here instead of being set off by their maximum: far beyond what training
 #: reaches, and within what an exponential of 32 bits holds.
 _TOP = np.float32(60)
 
 
-#: Rows that are multiplied together when texts are scored.
+#: Rows that are multiplied together.
 TILE = 128
 
 
@@ -92,14 +80,44 @@ def _times(h: np.ndarray, weight: np.ndarray) -> np.ndarray:
 def _log_softmax_at(h: np.ndarray, weight: np.ndarray, bias: np.ndarray, at: np.ndarray) -> np.ndarray:
     s = _times(h, weight)
     s += bias
-    np.minimum(s, _TOP, out=s)
+    if s.max() > _TOP:
+        np.minimum(s, _TOP, out=s)
     picked = s[np.arange(len(s)), at]
     np.exp(s, out=s)
-    return picked - np.log(s.sum(axis=1))
+    return picked - np.log(np.einsum("ij->i", s))
 
 
 def _bias(p: Weights) -> np.ndarray:
-    return np.where(_CAUSAL, p["near"][:, _FAR], np.float32(-1e9)).astype(np.float32)
+    """By distance, none for what comes later; the places attended to first."""
+    return np.where(_CAUSAL, p["near"][:, _FAR], -1e9).astype(p["near"].dtype).transpose(2, 0, 1).reshape(SPAN, HEADS * STRIDE)
+
+
+#: Rows and columns of each head where all heads of a window share one product.
+_PARTS = [(slice(h * STRIDE, (h + 1) * STRIDE), slice(h * PER_HEAD, (h + 1) * PER_HEAD)) for h in range(HEADS)]
+
+
+def _apart(x: np.ndarray) -> np.ndarray:
+    """(windows, STRIDE, WIDTH) with a row for each head, which is zero in the columns of others."""
+    out = np.zeros((len(x), HEADS * STRIDE, WIDTH), x.dtype)
+    for rows, columns in _PARTS:
+        out[:, rows, columns] = x[:, :, columns]
+    return out
+
+
+def _apart_turned(x: np.ndarray) -> np.ndarray:
+    """``_apart`` with rows and columns exchanged: products with a turned factor are slow."""
+    out = np.zeros((len(x), WIDTH, HEADS * STRIDE), x.dtype)
+    for rows, columns in _PARTS:
+        out[:, columns, rows] = x[:, :, columns].transpose(0, 2, 1)
+    return out
+
+
+def _together(x: np.ndarray) -> np.ndarray:
+    """(windows * STRIDE, WIDTH) from a row for each head, whose columns of others are dropped."""
+    out = np.empty((len(x), STRIDE, WIDTH), x.dtype)
+    for rows, columns in _PARTS:
+        out[:, :, columns] = x[:, rows, columns]
+    return out.reshape(-1, WIDTH)
 
 
 class Scorer:
@@ -107,41 +125,39 @@ class Scorer:
     at a full block; every block is the later half of a window over it and the block before."""
 
     def __init__(self, p: Weights):
-        self.p = p
-        # what comes later has less weight than a sum of 32 bits can tell from none
-        self.bias = np.where(_CAUSAL, p["near"][:, _FAR], np.float32(-85)).astype(np.float32)
+        self.p, self.bias = p, _bias(p)
         self.queries = (p["embed"] @ p["query"] * np.float32(PER_HEAD**-0.5)).astype(np.float32)
         self.keys = (p["embed"] @ p["key"]).astype(np.float32)
-        values = np.split((p["embed"] @ p["value"]).astype(np.float32), HEADS, axis=1)
-        one = np.ones((CLASSES + 1, 1), np.float32)
         # the last column sums the weights; an absent token has none
-        self.values = np.concatenate([x for v in values for x in (v, one)], axis=1)
+        self.values = np.concatenate([p["embed"] @ p["value"], np.ones((CLASSES + 1, 1))], axis=1).astype(np.float32)
         self.values[NONE] = 0
         reach = np.linalg.norm(self.queries, axis=1).max() * np.linalg.norm(self.keys, axis=1).max()
-        self.bounded = reach + np.abs(p["near"]).max() < 20
+        self.bounded = reach + np.abs(p["near"]).max() < _TOP
 
-    def _attend(self, q: np.ndarray, k: np.ndarray, v: np.ndarray, head: int) -> np.ndarray:
-        def windows(x: np.ndarray, width: int) -> np.ndarray:
-            x = x[:, head * width : (head + 1) * width]
+    def _attend(self, stream: np.ndarray) -> np.ndarray:
+        def windows(x: np.ndarray) -> np.ndarray:
             row = x.strides[0]
-            return np.lib.stride_tricks.as_strided(x, (len(x) // STRIDE - 1, SPAN, width), (STRIDE * row, row, x.strides[1]))
+            return np.lib.stride_tricks.as_strided(x, (len(x) // STRIDE - 1, SPAN, x.shape[1]), (STRIDE * row, row, x.strides[1]))
 
-        late = q[STRIDE:, head * PER_HEAD : (head + 1) * PER_HEAD].reshape(-1, STRIDE, PER_HEAD)
-        s = np.matmul(late, windows(k, PER_HEAD).transpose(0, 2, 1))
-        s += self.bias[head]
+        q = self.queries.take(stream[STRIDE:], axis=0).reshape(-1, STRIDE, WIDTH)
+        a = np.matmul(windows(self.keys.take(stream, axis=0)), _apart_turned(q))
+        a += self.bias
         if not self.bounded:
-            np.clip(s, -_TOP, _TOP, out=s)
-        np.exp(s, out=s)
+            np.clip(a, -_TOP, _TOP, out=a)
+        np.exp(a, out=a)
         if not self.bounded:
-            s *= _CAUSAL
-        o = np.matmul(s, windows(v, PER_HEAD + 1)).reshape(-1, PER_HEAD + 1)
-        return o[:, :PER_HEAD] / np.maximum(o[:, PER_HEAD:], 1e-30)
+            a *= self.bias > -1e8
+        o = np.matmul(a.transpose(0, 2, 1), windows(self.values.take(stream, axis=0)))
+        total = np.maximum(o[:, :, WIDTH:], np.float32(1e-30))
+        out = np.empty((len(o), STRIDE, WIDTH), o.dtype)
+        for rows, columns in _PARTS:
+            np.divide(o[:, rows, columns], total[:, rows], out=out[:, :, columns])
+        return out.reshape(-1, WIDTH)
 
     def _hidden(self, stream: np.ndarray) -> np.ndarray:
         p = self.p
-        q, k, v = self.queries[stream], self.keys[stream], self.values[stream]
-        h = p["embed"][stream[STRIDE:]]
-        h += _times(np.concatenate([self._attend(q, k, v, head) for head in range(HEADS)], axis=1), p["mix"])
+        h = p["embed"].take(stream[STRIDE:], axis=0)
+        h += _times(self._attend(stream), p["mix"])
         inner = _times(h, p["wide"])
         inner += p["wide_b"]
         np.maximum(inner, 0, out=inner)
@@ -167,87 +183,158 @@ class Scorer:
         return out
 
 
+def _runs(cluster: np.ndarray, size: int) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """An order by cluster, and the places in it of each cluster that occurs."""
+    order = np.argsort(cluster.astype(np.uint8), kind="stable")
+    ends = np.cumsum(np.bincount(cluster, minlength=size)).tolist()
+    return order, [(c, slice(a, b)) for c, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
+
+
 def _sums(places: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     """The sum of the rows of each place."""
     order = np.argsort(places.astype(np.int16), kind="stable")
-    heads = np.flatnonzero(np.diff(places[order], prepend=-1))
+    places = places[order]
+    heads = np.flatnonzero(np.diff(places, prepend=-1))
     out = np.zeros((size, rows.shape[1]), rows.dtype)
     if len(heads):
-        out[places[order[heads]]] = np.add.reduceat(rows[order], heads, axis=0)
+        out[places[heads]] = np.add.reduceat(rows.take(order, axis=0), heads, axis=0)
     return out
 
 
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a.T @ b`` of long columns, in tiles, which is faster."""
+    n = len(a) - len(a) % TILE
+    whole = np.matmul(a[:n].reshape(-1, TILE, a.shape[1]).transpose(0, 2, 1), b[:n].reshape(-1, TILE, b.shape[1])).sum(axis=0)
+    return whole + a[n:].T @ b[n:] if n < len(a) else whole
+
+
+def _softmax(s: np.ndarray) -> None:
+    """In place. Rows are set off by their maximum only if some score needs it."""
+    if not (s.max() < _TOP and s.min() > -_TOP):
+        s -= s.max(axis=1, keepdims=True)
+    np.exp(s, out=s)
+    s /= (s @ np.ones(s.shape[1], s.dtype))[:, None]
+
+
 def gradients(p: Weights, inputs: np.ndarray, targets: np.ndarray, mask: np.ndarray) -> tuple[float, Weights]:
-    """Mean negative log probability of the targets under the mask, and its gradients."""
-    n, scale = len(inputs), np.float32(PER_HEAD**-0.5)
-    late = inputs[:, STRIDE:]
-    e, el = p["embed"][inputs], p["embed"][late]
-    q, k, v = _heads(el @ p["query"], STRIDE) * scale, _heads(e @ p["key"], SPAN), _heads(e @ p["value"], SPAN)
-    s = q @ k.transpose(0, 1, 3, 2) + _bias(p)
-    s += np.where(inputs == NONE, np.float32(-1e9), np.float32(0))[:, None, None, :]
-    a = _softmax(s)
-    mixed = (a @ v).transpose(0, 2, 1, 3).reshape(-1, WIDTH)
-    h1 = el.reshape(-1, WIDTH) + mixed @ p["mix"]
-    inner = np.maximum(h1 @ p["wide"] + p["wide_b"], 0)
-    h2 = h1 + inner @ p["narrow"]
-
-    target, weight = targets.ravel(), (mask / max(1, mask.sum())).ravel().astype(h2.dtype)
+    """Mean negative log probability of the targets under the mask, and its gradients.
+
+    Queries, keys and values are those of classes, made once. Attention weights lie as (windows,
+    SPAN, HEADS * STRIDE), the places attended to first."""
+    n, embed, kind = len(inputs), p["embed"], p["embed"].dtype
+    scale, ones = kind.type(PER_HEAD**-0.5), np.ones(n * STRIDE, kind)
+    turned = {name: np.ascontiguousarray(p[name].T) for name in ("query", "key", "value", "mix", "wide", "narrow", "group")}
+    places, late = inputs.ravel(), inputs[:, STRIDE:].ravel()
+    queries, keys, values = _times(embed, p["query"] * scale), _times(embed, p["key"]), _times(embed, p["value"])
+    q = queries.take(late, axis=0).reshape(n, STRIDE, WIDTH)
+    k, v = (x.take(places, axis=0).reshape(n, SPAN, WIDTH) for x in (keys, values))
+    a = np.matmul(k, _apart_turned(q))
+    a += _bias(p)
+    absent = inputs == NONE
+    led = np.flatnonzero(absent.any(axis=1))
+    a[led] += np.where(absent[led], kind.type(-1e9), kind.type(0))[:, :, None]
+    reach = np.sqrt(np.einsum("ij,ij->i", queries, queries).max() * np.einsum("ij,ij->i", keys, keys).max())
+    if not reach + np.abs(p["near"]).max() < _TOP:
+        a -= a.max(axis=1, keepdims=True)
+    np.exp(a, out=a)
+    a /= np.maximum(np.matmul(np.ones((1, SPAN), kind), a), kind.type(1e-30))
+    mixed = _together(np.matmul(a.transpose(0, 2, 1), v))
+    el = embed.take(late, axis=0)
+    h1 = _times(mixed, p["mix"])
+    h1 += el
+    inner = _times(h1, p["wide"])
+    inner += p["wide_b"]
+    np.maximum(inner, 0, out=inner)
+    h2 = _times(inner, p["narrow"])
+    h2 += h1
+
+    # from here to the gradient of h2 in the order of clusters
+    target, weight = targets.ravel(), (mask / max(1, mask.sum())).ravel().astype(kind)
+    order, runs = _runs(target // MEMBERS, CLUSTERS)
+    target, weight, h2 = target[order], weight[order], h2.take(order, axis=0)
     cluster, member = target // MEMBERS, target % MEMBERS
     rows = np.arange(len(target))
-    g = _softmax(h2 @ p["group"] + p["group_b"])
-    loss = -(np.log(g[rows, cluster] + 1e-30) * weight).sum()
+    g = _times(h2, p["group"])
+    g += p["group_b"]
+    _softmax(g)
+    m = np.empty_like(g)
+    for c, at in runs:
+        np.matmul(h2[at], p["member"][c], out=m[at])
+    m += p["member_b"].take(cluster, axis=0)
+    _softmax(m)
+    loss = -((np.log(g[rows, cluster] + 1e-30) + np.log(m[rows, member] + 1e-30)) * weight).sum()
     g[rows, cluster] -= 1
     g *= weight[:, None]
-    d: Weights = {"group": h2.T @ g, "group_b": g.sum(axis=0)}
-    d_h = g @ p["group"].T
+    m[rows, member] -= 1
+    m *= weight[:, None]
+    d: Weights = {"group": _product(h2, g), "group_b": ones @ g}
+    d_h2 = _times(g, turned["group"])
     d["member"], d["member_b"] = np.zeros_like(p["member"]), np.zeros_like(p["member_b"])
-    for c in np.unique(cluster):
-        at = np.flatnonzero(cluster == c)
-        m = _softmax(h2[at] @ p["member"][c] + p["member_b"][c])
-        inside = np.arange(len(at)), member[at]
-        loss -= (np.log(m[inside] + 1e-30) * weight[at]).sum()
-        m[inside] -= 1
-        m *= weight[at, None]
-        d["member"][c], d["member_b"][c] = h2[at].T @ m, m.sum(axis=0)
-        d_h[at] += m @ p["member"][c].T
-
-    d["narrow"] = inner.T @ d_h
-    d_inner = (d_h @ p["narrow"].T) * (inner > 0)
-    d["wide"], d["wide_b"] = h1.T @ d_inner, d_inner.sum(axis=0)
-    d_h = d_h + d_inner @ p["wide"].T
-    d["mix"] = mixed.T @ d_h
-    d_mixed = _heads((d_h @ p["mix"].T).reshape(n, STRIDE, WIDTH), STRIDE)
-    d_a = d_mixed @ v.transpose(0, 1, 3, 2)
-    d_v = a.transpose(0, 1, 3, 2) @ d_mixed
-    d_s = a * (d_a - (d_a * a).sum(axis=-1, keepdims=True))
-    by_place = (d_s * _CAUSAL).sum(axis=0)
-    d["near"] = np.stack([np.bincount(_FAR.ravel(), by_place[head].ravel(), SPAN) for head in range(HEADS)]).astype(h2.dtype)
-    d_q, d_k = (d_s @ k) * scale, d_s.transpose(0, 1, 3, 2) @ q
-
-    def flat(x: np.ndarray) -> np.ndarray:
-        return x.transpose(0, 2, 1, 3).reshape(-1, WIDTH)
-
-    d_q, d_k, d_v = flat(d_q), flat(d_k), flat(d_v)
-    e_flat, l_flat = e.reshape(-1, WIDTH), el.reshape(-1, WIDTH)
-    d["query"], d["key"], d["value"] = l_flat.T @ d_q, e_flat.T @ d_k, e_flat.T @ d_v
-    d_e = (d_k @ p["key"].T + d_v @ p["value"].T).reshape(n, SPAN, WIDTH)
-    d_e[:, STRIDE:] += (d_h + d_q @ p["query"].T).reshape(n, STRIDE, WIDTH)
-    d["embed"] = _sums(inputs.ravel(), d_e.reshape(-1, WIDTH), len(p["embed"]))
+    members, d_members = np.ascontiguousarray(p["member"].transpose(0, 2, 1)), np.empty_like(h2)
+    for c, at in runs:
+        np.matmul(h2[at].T, m[at], out=d["member"][c])
+        np.matmul(ones[: at.stop - at.start], m[at], out=d["member_b"][c])
+        np.matmul(m[at], members[c], out=d_members[at])
+    d_h2 += d_members
+    d_h = np.empty_like(d_h2)
+    d_h[order] = d_h2
+
+    d["narrow"] = _product(inner, d_h)
+    d_inner = _times(d_h, turned["narrow"])
+    d_inner *= inner > 0
+    d["wide"], d["wide_b"] = _product(h1, d_inner), ones @ d_inner
+    d_h += _times(d_inner, turned["wide"])
+    d["mix"] = _product(mixed, d_h)
+    d_mixed = _times(d_h, turned["mix"])
+    per_head = np.repeat(np.eye(HEADS, dtype=kind), PER_HEAD, axis=0)
+    back = ((d_mixed * mixed) @ per_head).reshape(n, STRIDE, HEADS).transpose(0, 2, 1).reshape(n, 1, -1)
+    d_mixed = d_mixed.reshape(n, STRIDE, WIDTH)
+    d_v = np.matmul(a, _apart(d_mixed))
+    d_s = np.matmul(v, _apart_turned(d_mixed))
+    d_s -= back
+    d_s *= a
+    by_place = (ones[:n] @ d_s.reshape(n, -1)).reshape(SPAN, HEADS, STRIDE)
+    d["near"] = np.stack([np.bincount(_FAR.ravel(), by_place[:, head].T.ravel(), SPAN) for head in range(HEADS)]).astype(kind)
+    d_q, d_k = _together(np.matmul(d_s.transpose(0, 2, 1), k)), np.matmul(d_s, _apart(q))
+
+    d_k, d_v = d_k.reshape(-1, WIDTH), d_v.reshape(-1, WIDTH)
+    d_q *= scale
+    e = embed.take(places, axis=0)
+    d["query"], d["key"], d["value"] = _product(el, d_q), _product(e, d_k), _product(e, d_v)
+    d_h += _times(d_q, turned["query"])
+    d_e = _times(d_k, turned["key"])
+    d_e += _times(d_v, turned["value"])
+    d_e.reshape(n, SPAN, WIDTH)[:, STRIDE:] += d_h.reshape(n, STRIDE, WIDTH)
+    d["embed"] = _sums(places, d_e, len(embed))
     return float(loss), d
 
 
 class Adam:
+    """Steps on all weights as one vector; ``p`` gets views of it."""
+
     def __init__(self, p: Weights, rate: float = 0.003):
-        self.p, self.rate, self.step = p, rate, 0
-        self.first, self.second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
+        self.rate, self.step, self.names = rate, 0, list(p)
+        self.flat = np.concatenate([p[name].ravel() for name in self.names])
+        self.first, self.second, self.grad, self.room = (np.zeros_like(self.flat) for _ in range(4))
+        at = 0
+        for name in self.names:
+            shape, size = p[name].shape, p[name].size
+            p[name] = self.flat[at : at + size].reshape(shape)
+            at += size
 
     def update(self, grads: Weights, factor: float = 1.0) -> None:
         self.step += 1
-        norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
-        shrink = min(1.0, 1.0 / (norm + 1e-9))
+        grad, room = self.grad, self.room
+        np.concatenate([grads[name].ravel() for name in self.names], out=grad)
+        grad *= min(1.0, 1.0 / (float(np.sqrt(grad @ grad)) + 1e-9))
         correct = np.sqrt(1 - 0.99**self.step) / (1 - 0.9**self.step)
-        for name, grad in grads.items():
-            grad = grad * shrink
-            self.first[name] += 0.1 * (grad - self.first[name])
-            self.second[name] += 0.01 * (grad * grad - self.second[name])
-            self.p[name] -= self.rate * factor * correct * self.first[name] / (np.sqrt(self.second[name]) + 1e-7)
+        for mean, part in ((self.first, 0.1), (self.second, 0.01)):
+            np.subtract(grad, mean, out=room)
+            room *= part
+            mean += room
+            grad *= grad
+        np.sqrt(self.second, out=room)
+        room += 1e-7
+        np.divide(self.first, room, out=room)
+        room *= float(self.rate * factor * correct)
+        self.flat -= room

@@ -269,7 +269,7 @@ def _score(path: str, shared):
                 ids = [np.frombuffer(subwords.of(raw[a:b].split()), "<u4") for a, b in zip(offsets[:-1], offsets[1:])]
                 inputs, targets, owner = _streams(ids, own, subwords.end)
                 logs_of = []
-                step = 4 * attention.WINDOWS * STRIDE
+                step = 16 * attention.WINDOWS * STRIDE
                 for begin in range(0, len(inputs) - STRIDE, step):
                     end = min(begin + step, len(inputs) - STRIDE)
                     logp = scorer.log_probabilities(inputs[begin : end + STRIDE], targets[begin + STRIDE : end + STRIDE])
